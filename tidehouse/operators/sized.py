@@ -1,0 +1,23 @@
+"""Broadcast a join side only after its size was checked."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, functions as F
+
+#: Largest side that is broadcast, by the optimizer's size estimate.
+BROADCAST_LIMIT_BYTES = 32 * 1024 * 1024
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """Size of a DataFrame as the optimizer estimates it from file sizes and table statistics."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
+def small_side(df: DataFrame, limit_bytes: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
+    """Mark a join side for broadcast when it is small enough.
+
+    A bigger side is returned as it is: Spark then shuffles both sides by the join key and AQE splits skewed keys.
+    """
+    if df.isStreaming or estimated_bytes(df) > limit_bytes:
+        return df
+    return F.broadcast(df)
