@@ -18,5 +18,8 @@ def whitelist(data: Column | str, names: Column | str, mode: str = "exact") -> C
     data = F.col(data) if isinstance(data, str) else data
     names = F.col(names) if isinstance(names, str) else names
     if mode == "exact":
-        return F.map_filter(data, lambda key, _: F.array_contains(F.split(names, ","), key))
+        # Pad both with the separator: one search in the list, nothing to split for every row.
+        padded = F.concat(F.lit(","), names, F.lit(","))
+        return F.map_filter(data, lambda key, _: F.contains(padded, F.concat(F.lit(","), key, F.lit(","))) & ~(
+            F.contains(key, F.lit(","))))
     return F.map_filter(data, lambda key, _: F.contains(names, key))

@@ -10,7 +10,6 @@ from tidehouse.operators import (  # noqa: F401
     learn,
     logs,
     parse,
-    sized,
     trade,
     traffic,
     user,

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidehouse.functions import mapfns
-from tidehouse.operators import sized
+from tidehouse import sized
 
 # Types of the change events that mark a table snapshot.
 SNAPSHOT_START, SNAPSHOT_END, SNAPSHOT_ROW = "bootstrap-start", "bootstrap-complete", "bootstrap-insert"

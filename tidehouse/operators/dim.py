@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from tidehouse.operators import sized
+from tidehouse import sized
 from tidehouse.sources import tables
 
 #: Order of writes inside a dimension log, and whether a write removes the row.

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tidehouse.functions import textfns, timefns
-from tidehouse.operators import sized
+from tidehouse import sized
 
 # Fixed value: source name of keywords that were typed into the search box.
 SEARCH = "SEARCH"

@@ -75,16 +75,9 @@ def split_log(df: DataFrame, action_ts: bool = False) -> dict[str, DataFrame]:
     }
 
 
-def _object_text(**fields: Column) -> Column:
-    """JSON text of an object; null members are left out."""
-    return F.to_json(F.struct(*[value.alias(name) for name, value in fields.items()]))
-
-
-def _with_json_members(text: Column, **members: Column) -> Column:
-    """Add members that already are JSON text (or null) to the text of an object."""
-    body = F.nullif(F.substring(text, F.lit(2), F.length(text) - 2), F.lit(""))
-    parts = [F.concat(F.lit(f'"{name}":'), value) for name, value in members.items()]
-    return F.concat(F.lit("{"), F.concat_ws(",", body, *parts), F.lit("}"))
+def _object(*members: str) -> Column:
+    """JSON text of an object from columns that hold its members as text; null members are left out."""
+    return F.concat(F.lit("{"), F.concat_ws(",", *members), F.lit("}"))
 
 
 def split_tagged(df: DataFrame, action_ts: bool = False) -> DataFrame:
@@ -92,30 +85,39 @@ def split_tagged(df: DataFrame, action_ts: bool = False) -> DataFrame:
 
     One record is parsed once and fans out in place, without a shuffle and without reading the input once per output.
     """
-    common, page, ts = F.col("common"), F.col("page"), F.col("ts")
-    whole = _object_text(common=common, page=page, appVideo=F.col("appVideo"), ts=ts)
-    arrays = {name: F.when(F.col(name).isNotNull(), F.concat(F.lit("["), F.array_join(name, ","), F.lit("]")))
-              for name in ("displays", "actions")}
-    full = _with_json_members(whole, start=F.col("start"), **arrays)
-
-    def rows(condition: Column, output: str, value: Column) -> Column:
-        return F.when(condition, F.array(F.struct(F.lit(output).alias("output"), value.alias("value"))))
-
-    def item_rows(array: str, item: str, outer: Column) -> Column:
-        return F.when(_is_page(), F.transform(F.col(array), lambda x: F.struct(
-            F.lit(item).alias("output"), _with_json_members(outer, **{item: x}).alias("value"))))
-
-    start = F.col("start").isNotNull()
+    def member(name: str, text: Column) -> Column:
+        return F.concat(F.lit(f'"{name}":'), text).alias(f"_{name}")
+
+    def array_text(name: str) -> Column:
+        return F.concat(F.lit("["), F.array_join(name, ","), F.lit("]"))
+
+    # Every part is written once, and outputs are put together from the parts.
+    parts = df.select(
+        *[member(name, F.to_json(name)) for name in ("common", "page", "appVideo")],
+        *[member(name, F.col(name)) for name in ("start", "err")],
+        *[member(name, array_text(name)) for name in ("displays", "actions")],
+        member("ts", F.col("ts").cast("string")),
+        "displays", "actions")
+
+    def tagged(output: str, value: Column) -> Column:
+        return F.struct(F.lit(output).alias("output"), value.alias("value"))
+
+    def items(array: str, item: str, *rest: str) -> Column:
+        return F.when(is_page, F.transform(array, lambda x: tagged(item, F.concat(
+            F.lit(f'{{"{item}":'), x, F.lit(","), F.concat_ws(",", *rest), F.lit("}")))))
+
+    whole = ("_common", "_page", "_appVideo", "_start", "_displays", "_actions", "_ts")
+    has_start, has_video = F.col("_start").isNotNull(), F.col("_appVideo").isNotNull()
+    is_page = ~has_start & ~has_video
     outputs = [
-        rows(F.col("err").isNotNull(), "error", _with_json_members(full, err=F.col("err"))),
-        rows(start, "start", full),
-        rows(~start & F.col("appVideo").isNotNull(), "video", full),
-        item_rows("displays", "display", _object_text(common=common, page=page, ts=ts)),
-        item_rows("actions", "action", _object_text(common=common, page=page, **({"ts": ts} if action_ts else {}))),
-        rows(_is_page(), "page", _object_text(common=common, page=page, ts=ts)),
+        F.when(F.col("_err").isNotNull(), F.array(tagged("error", _object(*whole, "_err")))),
+        F.array(F.when(has_start, tagged("start", _object(*whole))).when(has_video, tagged("video", _object(*whole)))
+                .otherwise(tagged("page", _object("_common", "_page", "_ts")))),
+        items("displays", "display", "_common", "_page", "_ts"),
+        items("actions", "action", "_common", "_page", *(["_ts"] if action_ts else [])),
     ]
-    empty = F.array().cast("array<struct<output:string,value:string>>")
-    return df.select(F.explode(F.concat(*[F.coalesce(o, empty) for o in outputs])).alias("o")).select("o.*")
+    none = F.array().cast("array<struct<output:string,value:string>>")
+    return parts.select(F.explode(F.concat(*[F.coalesce(o, none) for o in outputs])).alias("o")).select("o.*")
 
 
 # ---------------------------------------------------------------- slices

@@ -14,13 +14,13 @@ def unique_visitors(df: DataFrame, tz: str = timefns.DEFAULT_TZ, tie: Sequence[s
     """First session start of every device on every day; ``tie`` orders rows of one instant.
 
     Batch: ranking with a limit of one, which Spark applies on the map side too, so a hot device sends at most one row
-    per day and map task. Stream: needs ``row_time`` with a watermark; see ``streaming.stateful.unique_visitors`` for the
-    exact arrival-order rule.
+    per day and map task. Stream: state per device, dropped a day after the last visit; needs ``row_time`` with a
+    watermark.
     """
     starts = logs.session_starts(df)
     if df.isStreaming:
         from tidehouse.streaming import stateful
-        return stateful.unique_visitors(starts, tz)
+        return stateful.unique_visitors(starts, tz, tie)
     per_day = Window.partitionBy("common.mid", timefns.local_day("ts", tz)).orderBy("ts", *tie)
     return starts.withColumn("_rank", F.row_number().over(per_day)).where(F.col("_rank") == 1).drop("_rank")
 

@@ -73,7 +73,7 @@ def first_login(df: DataFrame, key: str = "common.mid", hold: str = "1 day", wai
     logins = logs.page_slice(df, logged_in=True)
     if df.isStreaming:
         from tidehouse.streaming import stateful
-        return stateful.first_login(logins, key, hold, wait)
+        return stateful.first_login(logins, key, hold, wait, tie)
     logins = logins.where(F.col(key).isNotNull())
     times = login_times(logins, F.col(key), hold, slots_per_hold)
     opened = logins.join(times, (F.col(key) == F.col("_key")) & (F.col("ts") == F.col("_ts")))

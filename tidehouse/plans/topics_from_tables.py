@@ -8,10 +8,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tidehouse import sources
+
 
 
 def stored(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return sources.spread(spark.read.parquet(f"{folder}/{name}.parquet"))
 
 
 def utc_ms(time: str) -> Column:

@@ -1,6 +1,6 @@
 """Sources: text topics, JSON tables on topics, stored tables."""
 
-from tidehouse.sources.tables import lookup_rows, table  # noqa: F401
+from tidehouse.sources.tables import lookup_rows, spread, table  # noqa: F401
 from tidehouse.sources.topics import (  # noqa: F401
     change_events,
     json_table,

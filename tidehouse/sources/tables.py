@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tidehouse import sized
+
 
 def table(spark: SparkSession, name_or_path: str, fmt: str | None = None, **options: str) -> DataFrame:
     """Whole table: a catalog table by name, or files of format ``fmt`` (``parquet``, ``json``, ``jdbc``, ...)."""
@@ -14,6 +16,18 @@ def table(spark: SparkSession, name_or_path: str, fmt: str | None = None, **opti
     return spark.read.format(fmt).options(**options).load(name_or_path)
 
 
+def spread(df: DataFrame, worth_bytes: int = 1_500_000) -> DataFrame:
+    """Spread an input that comes in fewer splits than there are cores, such as one file with a single row group.
+
+    Any input with enough splits, and any that is too small to be worth it, is returned as it is. Filters and column
+    pruning still reach the scan.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.isStreaming or sized.estimated_bytes(df) < worth_bytes or df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores)
+
+
 def lookup_rows(df: DataFrame, *pairs: tuple[str, object], **equals: object) -> DataFrame:
     """Rows where every named column equals its value. The predicates reach the scan of a columnar or JDBC source."""
     for name, value in [*pairs, *equals.items()]:
