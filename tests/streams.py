@@ -22,13 +22,13 @@ def log_row(mid, ts, *, last=None, uid=None, is_new="0", page="home", sid=None,
 
 
 def write_files(folder, batches):
-    """One file per batch; file times keep the order."""
+    """One file per batch, of records or of plain text; file times keep the order."""
     os.makedirs(folder, exist_ok=True)
     start = time.time() - 10_000
     for n, batch in enumerate(batches):
         path = os.path.join(folder, f"{n:05d}.json")
         with open(path, "w") as out:
-            out.write("".join(json.dumps(row) + "\n" for row in batch))
+            out.write("".join((row if isinstance(row, str) else json.dumps(row)) + "\n" for row in batch))
         os.utime(path, (start + n, start + n))
 
 

@@ -37,9 +37,13 @@ def jump_metrics(jumps: DataFrame) -> DataFrame:
 def traffic_window(pages: DataFrame, visitors: DataFrame, jumps: DataFrame, width: str = "10 seconds",
                    delay: str = "15 seconds", tz: str = timefns.DEFAULT_TZ, emit_time: bool = True) -> DataFrame:
     """Five sums per tumbling window and key. Rows of the three inputs are added up in one aggregate, which Spark
-    combines on the map side: a hot key sends one row per window and map task."""
-    rows = page_metrics(pages).unionByName(visitor_metrics(visitors)).unionByName(jump_metrics(jumps))
-    timed = timefns.with_event_time(rows, delay=delay)
+    combines on the map side: a hot key sends one row per window and map task.
+
+    On streams each input has its own watermark and the slowest one counts, because visitors and bounces are made from
+    the pages and come later than they do."""
+    inputs = [timefns.with_event_time(rows, delay=delay) for rows in (
+        page_metrics(pages), visitor_metrics(visitors), jump_metrics(jumps))]
+    timed = inputs[0].unionByName(inputs[1]).unionByName(inputs[2])
     summed = timed.groupBy(F.window("row_time", width).alias("window"), *KEYS).agg(
         *[F.sum(name).alias(name) for name in COUNTERS])
     emit = [timefns.emit_time_ms().alias("ts")] if emit_time else []

@@ -1 +1 @@
-"""Named pipelines."""
+"""Pipelines from topic to topic, and the registered queries."""

@@ -3,11 +3,13 @@
 from tidehouse.sinks.files import (  # noqa: F401
     append,
     fan_out,
+    for_each_batch,
     kafka_message,
     kafka_sink_options,
     ordered_append,
     read_upserted,
     routed,
+    routed_text,
     to_json_value,
     upsert,
 )

@@ -5,7 +5,7 @@ The Kafka sink of Spark is at-least-once; ``kafka_message`` therefore gives mess
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -53,14 +53,25 @@ def append(df: DataFrame, path: str, checkpoint: str | None = None, fmt: str = "
     return _start(writer.outputMode("append").option("path", path).option("checkpointLocation", checkpoint), trigger)
 
 
-def routed(df: DataFrame, path: str, checkpoint: str | None = None, trigger: dict | None = None) -> StreamingQuery | None:
-    """Rows of ``cdc.route_detail`` as JSON text, each to the output its ``sink_table`` names.
+def routed_text(df: DataFrame) -> DataFrame:
+    """Rows of ``cdc.route_detail`` as ``(sink_table, value)``: the target's name is not part of the text, ``ts`` is."""
+    record = F.map_concat(F.map_filter("data", lambda key, _: key != "ts"), F.create_map(F.lit("ts"), F.col("ts")))
+    return df.select("sink_table", F.to_json(record).alias("value"))
+
+
+def routed(df: DataFrame, path: str, checkpoint: str | None = None, trigger: dict | None = None,
+           route: Callable[[DataFrame], DataFrame] | None = None) -> StreamingQuery | None:
+    """Rows of ``cdc.route_detail`` as JSON text, each in the folder its ``sink_table`` names.
 
-    The target's name chooses the folder and is not part of the text; ``ts`` is.
+    With ``route``, ``df`` holds events and ``route`` is applied to every batch anew, so that rules may change while
+    the stream runs. A batch that is retried replaces its own folders.
     """
-    record = F.map_concat(F.map_filter("data", lambda key, _: key != "ts"), F.create_map(F.lit("ts"), F.col("ts")))
-    text = df.select("sink_table", F.to_json(record).alias("value"))
-    return append(text, path, checkpoint, "text", trigger, ["sink_table"])
+    def write(batch: DataFrame, batch_id: int) -> None:
+        rows = routed_text(route(batch) if route else batch).withColumn(BATCH, F.lit(batch_id))
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+            .partitionBy("sink_table", BATCH).text(path)
+
+    return for_each_batch(df, write, checkpoint, trigger)
 
 
 def fan_out(tagged: DataFrame, path: str, checkpoint: str | None = None,
@@ -69,7 +80,7 @@ def fan_out(tagged: DataFrame, path: str, checkpoint: str | None = None,
     return append(tagged.select("output", "value"), path, checkpoint, "text", trigger, ["output"])
 
 
-def _for_each_batch(df: DataFrame, write, checkpoint: str | None, trigger: dict | None) -> StreamingQuery | None:
+def for_each_batch(df: DataFrame, write, checkpoint: str | None, trigger: dict | None) -> StreamingQuery | None:
     if not df.isStreaming:
         write(df, 0)
         return None
@@ -87,7 +98,7 @@ def upsert(df: DataFrame, path: str, key: Sequence[str] | str, order: Sequence[s
     def write(batch: DataFrame, batch_id: int) -> None:
         changelog.latest_by_key(batch, key, order).write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
 
-    return _for_each_batch(df, write, checkpoint, trigger)
+    return for_each_batch(df, write, checkpoint, trigger)
 
 
 def read_upserted(spark: SparkSession, path: str, key: Sequence[str] | str, order: Sequence[str] | str) -> DataFrame:
@@ -113,4 +124,4 @@ def ordered_append(df: DataFrame, path: str, columns: Sequence[str], transient:
         else:
             batch.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
 
-    return _for_each_batch(rows, write, checkpoint, trigger)
+    return for_each_batch(rows, write, checkpoint, trigger)
