@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidehouse import schemas
+from tidehouse import schemas, sized
 
 # Kinds of cell records.
 PUT, DELETE, DELETE_COLUMN, DELETE_FAMILY = "Put", "Delete", "DeleteColumn", "DeleteFamily"
@@ -40,23 +40,27 @@ def _range(cells: DataFrame, start: str | None, stop: str | None) -> DataFrame:
     return cells.select(*schemas.CELL.fieldNames())
 
 
-def _live(cells: DataFrame) -> DataFrame:
-    """Puts that no tombstone hides.
+def _newest(cells: DataFrame, versions: int) -> DataFrame:
+    newest = Window.partitionBy(*_CELL).orderBy(F.col("ts").desc(), F.col("type"), F.col("value").desc_nulls_last())
+    return cells.withColumn("_rank", F.row_number().over(newest)).where(F.col("_rank") <= versions).drop("_rank")
+
 
-    Tombstones are reduced to one row per family and per column before they meet the puts, so both joins have a side
-    with unique keys.
+def _live(cells: DataFrame, versions: int) -> DataFrame:
+    """Newest puts that no tombstone hides.
+
+    Family and column tombstones hide everything up to their time, so the newest versions can be picked before they are
+    applied: the pick works on the map side and leaves few rows to join. Tombstones of single versions come first.
+    All tombstones are reduced to unique keys before they meet the puts; AQE splits a row with very many cells.
     """
     gone = cells.where(F.col("type") != PUT)
     family = gone.where(F.col("type") == DELETE_FAMILY).groupBy("row", "family").agg(F.max("ts").alias("_family_ts"))
     column = gone.where(F.col("type") == DELETE_COLUMN).groupBy(*_CELL).agg(F.max("ts").alias("_column_ts"))
     version = gone.where(F.col("type") == DELETE).select(*_CELL, "ts").distinct()
-    puts = cells.where(F.col("type") == PUT)
-    return (
-        puts.join(family, ["row", "family"], "left").where(F.coalesce(F.col("ts") > F.col("_family_ts"), F.lit(True)))
-        .join(column, _CELL, "left").where(F.coalesce(F.col("ts") > F.col("_column_ts"), F.lit(True)))
-        .join(version, [*_CELL, "ts"], "left_anti")
-        .select(*schemas.CELL.fieldNames())
-    )
+    puts = cells.where(F.col("type") == PUT).join(version, [*_CELL, "ts"], "left_anti")
+    shown = _newest(puts, versions).join(column, _CELL, "left").join(
+        sized.splittable(family, "row", "family"), ["row", "family"], "left")
+    is_live = [F.coalesce(F.col("ts") > F.col(when), F.lit(True)) for when in ("_column_ts", "_family_ts")]
+    return shown.where(is_live[0] & is_live[1]).select(*schemas.CELL.fieldNames())
 
 
 def scan(cells: DataFrame, start: str | None = None, stop: str | None = None, versions: int = 1,
@@ -67,9 +71,7 @@ def scan(cells: DataFrame, start: str | None = None, stop: str | None = None, ve
     column and instant are ordered by value.
     """
     cells = _range(cells, start, stop)
-    shown = cells if raw else _live(cells)
-    newest = Window.partitionBy(*_CELL).orderBy(F.col("ts").desc(), F.col("type"), F.col("value").desc_nulls_last())
-    return shown.withColumn("_rank", F.row_number().over(newest)).where(F.col("_rank") <= versions).drop("_rank")
+    return _newest(cells, versions) if raw else _live(cells, versions)
 
 
 def latest(cells: DataFrame, row: str | None = None) -> DataFrame:

@@ -106,7 +106,8 @@ def lookup_rows(dim: DataFrame, *pairs: tuple[str, object], **equals: object) ->
     return tables.lookup_rows(dim, *pairs, **equals)
 
 
-def enrich(df: DataFrame, dim: DataFrame, on: Mapping[str, str], add: Mapping[str, str]) -> DataFrame:
+def enrich(df: DataFrame, dim: DataFrame, on: Mapping[str, str], add: Mapping[str, str],
+           limit_bytes: int = sized.BROADCAST_LIMIT_BYTES) -> DataFrame:
     """Left outer lookup: ``on`` maps columns of ``df`` to key columns of ``dim``, ``add`` maps new columns to ``dim``
     columns. A miss gives nulls; of several dimension rows with one key the smallest is taken.
 
@@ -121,5 +122,5 @@ def enrich(df: DataFrame, dim: DataFrame, on: Mapping[str, str], add: Mapping[st
     for name, column in zip(names, on):
         equal = F.col(column) == F.col(name)
         condition = equal if condition is None else condition & equal
-    joined = df.join(sized.small_side(unique), condition, "left")
+    joined = df.join(sized.small_side(sized.splittable(unique, *names), limit_bytes), condition, "left")
     return joined.select(*df.columns, *[F.col(f"_v.{name}").alias(name) for name in add])

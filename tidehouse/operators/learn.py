@@ -31,7 +31,7 @@ def _result(grouped: DataFrame) -> DataFrame:
     return grouped.select(*[value[name].alias(name) for name in schemas.PLAY_COLUMNS])
 
 
-def play_sessions(df: DataFrame, gap: str = "3 seconds", tie: Sequence[str] = (), span: int = 200) -> DataFrame:
+def play_sessions(df: DataFrame, gap: str = "3 seconds", tie: Sequence[str] = (), span: int = 40) -> DataFrame:
     """One row per play session: rows of a session id no further apart than ``gap``. Seconds played are summed, the
     position comes from the latest row, everything else from the first; ``tie`` orders rows of one instant.
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidehouse import schemas
+from tidehouse import schemas, sized
 from tidehouse.functions import timefns
 
 OUTPUTS = ("error", "start", "video", "display", "action", "page")
@@ -30,7 +30,7 @@ def repair_is_new(df: DataFrame, tz: str = timefns.DEFAULT_TZ) -> DataFrame:
     """Set ``common.is_new`` to ``'0'`` on records that claim a new visitor on a day after the device's first.
 
     Batch form. Only records that claim ``'1'`` can change, so only they are shuffled to meet the first day of their
-    device; all others pass by. The join has one row per device on one side, so AQE can split a hot device.
+    device; all others pass by. The join has one row per device on one side, and AQE splits a hot device on the other.
     On a stream the state processor does the same in arrival order.
     """
     if df.isStreaming:
@@ -38,7 +38,7 @@ def repair_is_new(df: DataFrame, tz: str = timefns.DEFAULT_TZ) -> DataFrame:
         return stateful.repair_is_new(df, tz)
     claims_new = F.coalesce(F.col("common.is_new") == "1", F.lit(False))
     flagged, rest = df.where(claims_new), df.where(~claims_new)
-    joined = flagged.join(first_days(df, tz), F.col("common.mid") == F.col("_mid"), "left")
+    joined = flagged.join(sized.splittable(first_days(df, tz), "_mid"), F.col("common.mid") == F.col("_mid"), "left")
     is_new = F.when(timefns.local_day("ts", tz) != F.col("_first_day"), "0").otherwise(F.col("common.is_new"))
     repaired = joined.withColumn("common", F.col("common").withField("is_new", is_new))
     return repaired.select(*df.columns).unionByName(rest)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tidehouse import schemas
+from tidehouse import schemas, sized
 from tidehouse.functions import timefns
 from tidehouse.operators import cdc, changelog, logs
 
@@ -68,8 +68,8 @@ def order_detail(details: DataFrame, orders: DataFrame, pages: DataFrame, within
         pages = changelog.latest_by_key(pages, "page_session", ["page_ts", "source_id"])
         orders = orders.withColumn("_order_at", F.col("order_ts").try_cast("bigint"))
         orders = changelog.latest_by_key(orders, "id", ["_order_at", "out_trade_no"]).withColumnRenamed("id", "_oid")
-        sourced = orders.join(pages, F.col("session_id") == F.col("page_session"), "left")
-        joined = details.join(sourced, F.col("order_id") == F.col("_oid"))
+        sourced = orders.join(sized.splittable(pages, "page_session"), F.col("session_id") == F.col("page_session"), "left")
+        joined = details.join(sized.splittable(sourced, "_oid"), F.col("order_id") == F.col("_oid"))
         return _stamp(_pick(joined, schemas.ORDER_DETAIL_COLUMNS, renamed), op_time)
 
     span = timefns.interval(within)
@@ -102,7 +102,7 @@ def pay_success(payments: DataFrame, details: DataFrame, within: str | None = No
             raise ValueError("a stream needs 'within'")
         payments = changelog.latest_by_key(payments.withColumn("_at", F.col("ts").try_cast("bigint")), "_paid_order",
                                            order)
-        joined = details.join(payments, F.col("order_id") == F.col("_paid_order"))
+        joined = details.join(sized.splittable(payments, "_paid_order"), F.col("order_id") == F.col("_paid_order"))
     else:
         span = timefns.interval(within)
         details = details.withColumnRenamed("row_time", "_detail_time")

@@ -40,7 +40,8 @@ def traffic_window(pages: DataFrame, visitors: DataFrame, jumps: DataFrame, widt
     combines on the map side: a hot key sends one row per window and map task.
 
     On streams each input has its own watermark and the slowest one counts, because visitors and bounces are made from
-    the pages and come later than they do."""
+    the pages and come later than they do. An input without any rows holds all windows back; with
+    ``spark.sql.streaming.multipleWatermarkPolicy=max`` the fastest one counts instead."""
     inputs = [timefns.with_event_time(rows, delay=delay) for rows in (
         page_metrics(pages), visitor_metrics(visitors), jump_metrics(jumps))]
     timed = inputs[0].unionByName(inputs[1]).unionByName(inputs[2])

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidehouse import schemas
+from tidehouse import schemas, session, sinks
 from tidehouse.functions import timefns
 from tidehouse.operators import cdc, cells, changelog, config, dim, keywords, learn, logs, parse, trade, traffic, user
 from tidehouse.operators import window_sums
@@ -562,6 +562,71 @@ def time_functions(spark, folder):
        CASE WHEN last_page_id IS NULL THEN '' ELSE ',"last_page_id":"' || last_page_id || '"' END ||
        ',"ts":' || ts || '}}' AS value FROM page_log""")
 def json_value(spark, folder):
-    from tidehouse import sinks
     rows = topics.page_log(spark, folder).select("event_id", "common.mid", "page.last_page_id", "ts")
     return sinks.to_json_value(rows, "event_id")
+
+
+# ================================================================ streaming forms
+#
+# The stored table is read as a stream until its end. What waits for the watermark to pass at the end of the input is not
+# given out, so the SQL leaves out what is younger than the last event by the delay.
+
+def _streamed(df: DataFrame) -> DataFrame:
+    """Run a stream to the end of its input and read what it wrote."""
+    spark = df.sparkSession
+    spark.conf.set(session.STATE_STORE_CONF, session.RECOMMENDED[session.STATE_STORE_CONF])
+    target = session.shared_dir(spark, "stream")
+    sinks.append(df, f"{target}/out", f"{target}/checkpoint", "parquet").awaitTermination()
+    return spark.read.schema(df.schema).parquet(f"{target}/out")
+
+
+@query(SQL["is_new_repair"])
+def stream_is_new_repair(spark, folder):
+    return _streamed(logs.repair_is_new(topics.page_stream(spark, folder), UTC).select(
+        "common.mid", "ts", "event_id", "common.is_new"))
+
+
+@query(SQL["unique_visitors"])
+def stream_unique_visitors(spark, folder):
+    pages = timefns.with_event_time(topics.page_stream(spark, folder), delay="15 seconds")
+    return _streamed(_view(traffic.unique_visitors(pages, UTC, ["event_id"])))
+
+
+@query(f"WITH {PAGE_LOG_SQL}, {_JUMP} SELECT mid, page_id, ts, event_id FROM jump "
+       "WHERE ts + 21600000 < (SELECT max(ts) FROM page_log)")
+def stream_user_jumps(spark, folder):
+    pages = timefns.with_event_time(topics.page_stream(spark, folder), delay="0 seconds")
+    return _streamed(_view(traffic.user_jumps(pages, "6 hours", ["event_id"])))
+
+
+@query(f"SELECT * FROM ({_LOGINS}) WHERE ts + 15000 < (SELECT max(epoch_us(ts) // 1000) FROM events)")
+def stream_first_login(spark, folder):
+    pages = timefns.with_event_time(topics.page_stream(spark, folder), delay="5 seconds")
+    return _streamed(user.first_login(pages, tie=["event_id"]).select("common.mid", "ts", "event_id"))
+
+
+@query(f"""WITH {PAGE_LOG_SQL} SELECT strftime(make_timestamp((ts // 3600000) * 3600000000), '%Y-%m-%d %H:%M:%S') AS stt,
+       vc AS "versionCode", sc AS "sourceId", ar, is_new AS "isNew", count(*) AS "pageViewCount",
+       CAST(sum(during_time) AS BIGINT) AS "totalDuringTime",
+       count(*) FILTER (last_page_id IS NULL) AS "uvCount", count(*) FILTER (page_id = 'order') AS "jumpSessionCount"
+       FROM page_log WHERE (ts // 3600000 + 1) * 3600000 <= (
+         SELECT least(max(ts) FILTER (last_page_id IS NULL), max(ts) FILTER (page_id = 'order')) - 15000 FROM page_log)
+       GROUP BY ALL""")
+def stream_traffic_window(spark, folder):
+    """Three streams in one window; session starts and order pages stand for the two detail topics."""
+    pages = topics.page_stream(spark, folder)
+    sums = window_sums.traffic_window(pages, logs.session_starts(pages), logs.page_slice(pages, "order"), "1 hour",
+                                      "15 seconds", UTC, emit_time=False)
+    return _streamed(sums.select("stt", "versionCode", "sourceId", "ar", "isNew", "pageViewCount", "totalDuringTime",
+                                 "uvCount", "jumpSessionCount"))
+
+
+@query(f"""WITH {_WORDS} SELECT strftime(make_timestamp((doc_id // 100) * 100000000), '%Y-%m-%d %H:%M:%S') AS stt,
+       keyword, count(*) AS keyword_count FROM words
+       WHERE (doc_id // 100 + 1) * 100 <= (SELECT max(doc_id) - 5 FROM documents) GROUP BY ALL""")
+def stream_keyword_window(spark, folder):
+    texts = topics.stored_stream(spark, folder, "documents").select(
+        F.col("text").alias("full_word"), F.timestamp_seconds("doc_id").alias("row_time"))
+    words = keywords.explode_tokens(texts.withWatermark("row_time", "5 seconds"))
+    return _streamed(keywords.keyword_window(words, "100 seconds", tz=UTC, emit_time=False).select(
+        "stt", "keyword", "keyword_count"))

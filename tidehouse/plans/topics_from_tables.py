@@ -16,6 +16,13 @@ def stored(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return sources.spread(spark.read.parquet(f"{folder}/{name}.parquet"))
 
 
+def stored_stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """The same table as a stream of files."""
+    file = f"{name}.parquet"
+    schema = spark.read.parquet(f"{folder}/{file}").schema
+    return spark.readStream.schema(schema).option("pathGlobFilter", file).parquet(folder)
+
+
 def utc_ms(time: str) -> Column:
     """Epoch milliseconds of a zoneless time meant as UTC, whatever the zone of the session."""
     return F.unix_millis(F.convert_timezone(F.lit("UTC"), F.current_timezone(), F.col(time)).cast("timestamp"))
@@ -63,7 +70,16 @@ def _page() -> Column:
 
 def page_log(spark: SparkSession, folder: str) -> DataFrame:
     """Typed page views; ``event_id`` stands for the position in the topic."""
-    return stored(spark, folder, "events").select(_common(), _page(), utc_ms("ts").alias("ts"), "event_id")
+    return _pages(stored(spark, folder, "events"))
+
+
+def page_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """The page log as a stream."""
+    return _pages(stored_stream(spark, folder, "events"))
+
+
+def _pages(events: DataFrame) -> DataFrame:
+    return events.select(_common(), _page(), utc_ms("ts").alias("ts"), "event_id")
 
 
 PAGE_LOG_SQL = """

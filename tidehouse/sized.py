@@ -1,8 +1,8 @@
-"""Broadcast a join side only after its size was checked."""
+"""Join sides: broadcast only after a size check, and keep skewed shuffle joins splittable."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 #: Largest side that is broadcast, by the optimizer's size estimate.
 BROADCAST_LIMIT_BYTES = 32 * 1024 * 1024
@@ -21,3 +21,18 @@ def small_side(df: DataFrame, limit_bytes: int = BROADCAST_LIMIT_BYTES) -> DataF
     if df.isStreaming or estimated_bytes(df) > limit_bytes:
         return df
     return F.broadcast(df)
+
+
+def splittable(df: DataFrame, *keys: str) -> DataFrame:
+    """Let a join on ``keys`` shuffle this side anew, although it is already distributed by them.
+
+    AQE splits a hot key of a join only where both inputs come straight from a shuffle. The result of an aggregate or a
+    ranking by the join key would be joined in place, and a hot key on the other side would then stay in one task. Here
+    the keys are written as expressions the planner does not see through. Meant for reduced sides with unique keys: their
+    second shuffle is small against what the split saves.
+    """
+    kinds = {field.name: field.dataType for field in df.schema.fields}
+    rewritten = {
+        key: F.concat(key, F.lit("")) if isinstance(kinds[key], T.StringType) else F.when(F.col(key).isNotNull(), F.col(key))
+        for key in keys}
+    return df.withColumns(rewritten)

@@ -16,14 +16,14 @@ def table(spark: SparkSession, name_or_path: str, fmt: str | None = None, **opti
     return spark.read.format(fmt).options(**options).load(name_or_path)
 
 
-def spread(df: DataFrame, worth_bytes: int = 1_500_000) -> DataFrame:
-    """Spread an input that comes in fewer splits than there are cores, such as one file with a single row group.
+def spread(df: DataFrame, at_least: int = 1_500_000, at_most: int = 256 * 1024 * 1024) -> DataFrame:
+    """Spread a small input that cannot be split, such as one file with a single row group, over the cores.
 
-    Any input with enough splits, and any that is too small to be worth it, is returned as it is. Filters and column
-    pruning still reach the scan.
+    Only for inputs between ``at_least`` and ``at_most`` bytes: below it is not worth it, and bigger ones come in enough
+    splits of their own and are never shuffled here. Filters and column pruning still reach the scan.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.isStreaming or sized.estimated_bytes(df) < worth_bytes or df.rdd.getNumPartitions() >= cores:
+    if df.isStreaming or not at_least <= sized.estimated_bytes(df) <= at_most or df.rdd.getNumPartitions() >= cores:
         return df
     return df.repartition(cores)
 

@@ -9,15 +9,21 @@ All of these need the RocksDB state store (``session.RECOMMENDED``). Those with
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
 from tidehouse.functions import timefns
 
 EVENT_TIME = "row_time"
+DAY_MS = timefns.DAY_MS
+
+# Workers get the processors with the job, so the package need not be installed on them.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 # ---------------------------------------------------------------- packing
@@ -104,7 +110,7 @@ class UniqueVisitors(StatefulProcessor):
             newest = accepted.iloc[-1]
             if state is not None:
                 self.handle.deleteTimer(state[1])
-            expires = int(newest["t"]) + timefns.DAY_MS
+            expires = int(newest["t"]) + DAY_MS
             self.last.update((int(newest["day"]), expires))
             self.handle.registerTimer(expires)
             yield _bodies(accepted["body"])
