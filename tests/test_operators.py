@@ -139,6 +139,15 @@ def test_keywords(spark):
     assert got(keywords.explode_tokens(words, dictionary=known), "keyword") == [("apple",), ("手机",)]
 
 
+def test_keywords_in_sql(spark):
+    textfns.register_sql(spark, "keywords_of")
+    text = "Don't stop: iPhone 深空灰色 \\\\ Ｆｕｌｌ 灰"
+    spark.createDataFrame([(text, 1), (None, 2)], "full_word string, n int").createOrReplaceTempView("search_table")
+    rows = spark.sql("SELECT keyword, n FROM search_table, LATERAL keywords_of(full_word) AS t(keyword)")
+    assert [r.keyword for r in rows.collect()] == spark.table("search_table").select(
+        textfns.keywords("full_word")).first()[0] == ["don", "t", "stop", "iphone", "深空", "空灰", "灰色", "full", "灰"]
+
+
 # ---------------------------------------------------------------- log
 
 def test_is_new_repair(spark):

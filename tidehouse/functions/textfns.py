@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, SparkSession, functions as F
 
 # Unicode blocks of scripts written without spaces (CJK ideographs, kana, Hangul syllables).
 _CJK = r"一-鿿぀-ヿ가-힯"
@@ -33,3 +33,20 @@ def _pieces(run: Column) -> Column:
 def keywords(text: Column | str) -> Column:
     """Keyword list of a text; order and repeats are kept."""
     return F.flatten(F.transform(runs(text), _pieces))
+
+
+def register_sql(spark: SparkSession, name: str = "keywords_of") -> None:
+    """Make keyword lists available to SQL as a table function with one column ``word``:
+
+    ``SELECT keyword, row_time FROM search_table, LATERAL keywords_of(full_word) AS t(keyword)``
+
+    It is a SQL function over built-ins, so the query stays in the JVM.
+    """
+    def literal(text: str) -> str:
+        return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+    found = f"regexp_extract_all(lower(translate(text, {literal(_WIDE)}, {literal(_NARROW)})), {literal(_TOKEN)}, 0)"
+    pieces = ("transform(" + found + ", run -> CASE WHEN run RLIKE '^[a-z0-9]' OR length(run) < 2 THEN array(run) "
+              "ELSE transform(sequence(1, length(run) - 1), at -> substring(run, at, 2)) END)")
+    spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(text STRING) RETURNS TABLE(word STRING) "
+              f"RETURN SELECT explode(flatten({pieces}))")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidehouse import schemas, session, sinks
-from tidehouse.functions import timefns
+from tidehouse.functions import textfns, timefns
 from tidehouse.operators import cdc, cells, changelog, config, dim, keywords, learn, logs, parse, trade, traffic, user
 from tidehouse.operators import window_sums
 from tidehouse.plans import topics_from_tables as topics
@@ -511,6 +511,16 @@ def keyword_window(spark, folder):
     return keywords.keyword_window(words, "100 seconds", tz=UTC, emit_time=False)
 
 
+@query(SQL["keyword_window"])
+def keyword_window_sql(spark, folder):
+    """The same through SQL, with the keyword function in a lateral join."""
+    textfns.register_sql(spark, "keywords_of")
+    searches = _searches(spark, folder).drop("doc_id")
+    words = spark.sql("SELECT keyword, row_time FROM {searches}, LATERAL keywords_of(full_word) AS t(keyword)",
+                      searches=searches)
+    return keywords.keyword_window(words, "100 seconds", tz=UTC, emit_time=False)
+
+
 @query(f"""WITH {_WORDS}, known AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS keyword
                                     FROM benchmark)
        SELECT keyword, count(*) AS times FROM words WHERE keyword IN (SELECT keyword FROM known) GROUP BY ALL""")

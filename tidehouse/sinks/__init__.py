@@ -11,5 +11,6 @@ from tidehouse.sinks.files import (  # noqa: F401
     routed,
     routed_text,
     to_json_value,
+    to_kafka,
     upsert,
 )

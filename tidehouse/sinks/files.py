@@ -53,6 +53,18 @@ def append(df: DataFrame, path: str, checkpoint: str | None = None, fmt: str = "
     return _start(writer.outputMode("append").option("path", path).option("checkpointLocation", checkpoint), trigger)
 
 
+def to_kafka(df: DataFrame, servers: str, topic: str | None = None, checkpoint: str | None = None,
+             trigger: dict | None = None, **extra: str) -> StreamingQuery | None:
+    """Write messages (see ``kafka_message``) to a topic, or each to the topic in its column ``topic``."""
+    settings = kafka_sink_options(servers, topic, **extra)
+    if not df.isStreaming:
+        df.write.format("kafka").options(**settings).save()
+        return None
+    if checkpoint is None:
+        raise ValueError("a stream needs a checkpoint folder")
+    return _start(df.writeStream.format("kafka").options(**settings).option("checkpointLocation", checkpoint), trigger)
+
+
 def routed_text(df: DataFrame) -> DataFrame:
     """Rows of ``cdc.route_detail`` as ``(sink_table, value)``: the target's name is not part of the text, ``ts`` is."""
     record = F.map_concat(F.map_filter("data", lambda key, _: key != "ts"), F.create_map(F.lit("ts"), F.col("ts")))
