@@ -13,7 +13,9 @@ from tidehouse import sources
 
 
 def stored(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return sources.spread(spark.read.parquet(f"{folder}/{name}.parquet"))
+    df = spark.read.parquet(f"{folder}/{name}.parquet")
+    # The first column of every table is an id.
+    return sources.spread(df, df.columns[0])
 
 
 def stored_stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
