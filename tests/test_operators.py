@@ -260,6 +260,19 @@ def test_small_side_checks_size(spark):
     assert sized.estimated_bytes(df) == 8000
     assert "ResolvedHint" in sized.small_side(df)._jdf.queryExecution().analyzed().toString()
     assert "ResolvedHint" not in sized.small_side(df, 100)._jdf.queryExecution().analyzed().toString()
+    unknown = spark.createDataFrame([(n,) for n in range(5)], "n int")
+    for probe, hinted in ((0, False), (4, False), (5, True)):
+        analyzed = sized.small_side(unknown, probe_rows=probe)._jdf.queryExecution().analyzed().toString()
+        assert ("ResolvedHint" in analyzed) == hinted
+
+
+def test_rule_changes_from_text(spark):
+    raw = spark.createDataFrame([
+        ('{"op":"r","before":null,"after":{"source_table":"a","source_type":"insert","sink_table":"x","sink_columns":"id"},"ts_ms":1}',),
+        ('{"op":"u","before":{"source_table":"a"},"after":{"source_table":"a","source_type":"update","sink_table":"y","sink_columns":"id"},"ts_ms":2}',),
+    ], "value string")
+    rules = config.load_rules(changes=sources.rule_changes(raw, schemas.DETAIL_RULE))
+    assert got(rules, *schemas.DETAIL_RULE.fieldNames()) == [("a", "update", "y", "id")]
 
 
 # ---------------------------------------------------------------- keyed tables, dimensions, sinks

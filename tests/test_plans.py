@@ -30,6 +30,12 @@ def test_ranking_is_limited_before_the_shuffle(spark, folder, name):
     assert re.search(r"WindowGroupLimit.*Partial", text)
 
 
+@pytest.mark.parametrize("name", ["route_detail", "route_dim"])
+def test_routing_does_not_shuffle_events(spark, folder, name):
+    text = plan(catalog.QUERIES[name](spark, folder))
+    assert "BuildRight" in text and "Exchange hashpartitioning" not in text
+
+
 def pages(spark, folder):
     return catalog.topics.page_log(spark, folder)
 

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import streams
-from tidehouse.operators import logs, traffic, user
+from tidehouse.operators import logs, traffic, user, window_sums
 
 DAY = 86_400_000
 BASE = 1_700_000_000_000
@@ -63,3 +63,15 @@ def test_restart_loses_and_repeats_nothing(spark, tmp_path):
     streams.write_files(src, all_batches)
     got = streams.run(job(), str(tmp_path / "out"), str(tmp_path / "cp"))
     assert keys(got) == keys(traffic.user_jumps(streams.read_batch(spark, src)))
+
+
+def test_late_rows_are_dropped(spark, tmp_path):
+    row, src = streams.log_row, str(tmp_path / "src")
+    # A batch judges lateness by the watermark the batch before it started with.
+    streams.write_files(src, [[row("a", BASE)], [row("a", BASE + 120_000)], [row("a", BASE + 120_001)],
+                              [row("a", BASE + 1_000)], [row("a", streams.FAR)]])
+    rows = streams.read_stream(spark, src)
+    sums = window_sums.traffic_window(rows, rows, rows, tz="UTC", emit_time=False)
+    got = streams.run(sums, str(tmp_path / "out"), str(tmp_path / "cp"))
+    assert sorted((r.stt, r.pageViewCount) for r in got.collect()) == [
+        ("2023-11-14 22:13:20", 1), ("2023-11-14 22:15:20", 2)]

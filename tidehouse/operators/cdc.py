@@ -48,7 +48,7 @@ def route_detail(events: DataFrame, rules: DataFrame, mode: str = "exact") -> Da
     """
     rule = sized.small_side(rules.select(
         F.col("source_table").alias("_table"), F.col("source_type").alias("_type"), "sink_table",
-        F.col("sink_columns").alias("_columns")))
+        F.col("sink_columns").alias("_columns")), probe_rows=sized.RULE_ROWS)
     matched = events.join(rule, (F.col("table") == F.col("_table")) & (F.col("type") == F.col("_type")))
     return whitelist(matched, F.col("_columns"), mode).select("sink_table", "ts", "data")
 
@@ -61,7 +61,8 @@ def route_dim(events: DataFrame, rules: DataFrame, apply_deletes: bool = False)
     """
     rule = sized.small_side(rules.select(
         F.col("source_table").alias("_table"), "sink_table",
-        F.coalesce("sink_pk", F.lit("id")).alias("sink_pk"), F.col("sink_columns").alias("_columns")))
+        F.coalesce("sink_pk", F.lit("id")).alias("sink_pk"), F.col("sink_columns").alias("_columns")),
+        probe_rows=sized.RULE_ROWS)
     matched = events.where(F.col("type").isNotNull()).join(rule, F.col("table") == F.col("_table"))
     deleted = (F.col("type") == "delete") if apply_deletes else F.lit(False)
     return whitelist(matched, F.col("_columns")).select(

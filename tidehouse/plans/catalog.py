@@ -576,6 +576,48 @@ def json_value(spark, folder):
     return sinks.to_json_value(rows, "event_id")
 
 
+# ================================================================ sinks: written and read back
+
+@query(SQL["latest_by_key"])
+def upsert_sink(spark, folder):
+    orders = stored(spark, folder, "orders").select(
+        "o_custkey", "o_orderkey", "o_orderstatus", F.date_format("o_orderdate", "yyyy-MM-dd").alias("o_day"))
+    path = session.shared_dir(spark, "upsert")
+    sinks.upsert(orders, path, "o_custkey", ["o_day", "o_orderkey"])
+    return sinks.read_upserted(spark, path, "o_custkey", ["o_day", "o_orderkey"])
+
+
+@query(f"""WITH {CHANGES_SQL} SELECT id, name, nation, segment FROM user_info
+       WHERE type IN ('insert', 'bootstrap-insert')""")
+def dim_sink(spark, folder):
+    path = session.shared_dir(spark, "dims")
+    dim.upsert_dims(_dim_routed(spark, folder), 0, path, _DIM_RULES)
+    return dim.read_dim(spark, path, "dim_user_info", "id,name,nation,segment")
+
+
+@query(f"""WITH {CHANGES_SQL} SELECT 'dwd_order_info' AS sink_table,
+       '{{"id":"' || id || '","session_id":"' || session_id || '","ts":"' || ts || '"}}' AS value FROM order_info
+       UNION ALL SELECT 'dwd_user', '{{"id":"' || id || '","name":"' || name || '","ts":"' || ts || '"}}'
+       FROM user_info WHERE type = 'insert'
+       UNION ALL SELECT 'dwd_order_detail',
+         '{{"order_id":"' || order_id || '","final_amount":"' || final_amount || '","ts":"' || ts || '"}}'
+       FROM order_detail""")
+def routed_sink(spark, folder):
+    rules = spark.createDataFrame(_DETAIL_RULES, schemas.DETAIL_RULE)
+    path = session.shared_dir(spark, "routed")
+    sinks.routed(cdc.drop_control(topics.change_log(spark, folder)), path,
+                 route=lambda batch: cdc.route_detail(batch, rules))
+    return spark.read.text(path).select("sink_table", "value")
+
+
+@query(SQL["log_split_one_pass"])
+def fan_out_sink(spark, folder):
+    path = session.shared_dir(spark, "outputs")
+    sinks.fan_out(logs.split_tagged(parse.drop_bad(topics.raw_log(spark, folder))), path)
+    return spark.read.text(path).groupBy("output", F.get_json_object("value", "$.common.mid").alias("mid")).agg(
+        F.count(F.lit(1)).alias("records"))
+
+
 # ================================================================ streaming forms
 #
 # The stored table is read as a stream until its end. What waits for the watermark to pass at the end of the input is not

@@ -7,20 +7,27 @@ from pyspark.sql import DataFrame, functions as F, types as T
 #: Largest side that is broadcast, by the optimizer's size estimate.
 BROADCAST_LIMIT_BYTES = 32 * 1024 * 1024
 
+#: Largest rule table that is broadcast when its size is unknown; a rule is a few short texts.
+RULE_ROWS = 10_000
+
 
 def estimated_bytes(df: DataFrame) -> int:
     """Size of a DataFrame as the optimizer estimates it from file sizes and table statistics."""
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
-def small_side(df: DataFrame, limit_bytes: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
+def small_side(df: DataFrame, limit_bytes: int = BROADCAST_LIMIT_BYTES, probe_rows: int = 0) -> DataFrame:
     """Mark a join side for broadcast when it is small enough.
 
-    A bigger side is returned as it is: Spark then shuffles both sides by the join key and AQE splits skewed keys.
+    A side of unknown size (a JDBC table, rows from the driver) has an estimate beyond any limit. With ``probe_rows`` it is
+    broadcast after all if it has no more rows than that; the probe reads one row more at most. Anything bigger is returned
+    as it is: Spark then shuffles both sides by the join key and AQE splits skewed keys.
     """
-    if df.isStreaming or estimated_bytes(df) > limit_bytes:
+    if df.isStreaming:
         return df
-    return F.broadcast(df)
+    if estimated_bytes(df) <= limit_bytes or (probe_rows and df.limit(probe_rows + 1).count() <= probe_rows):
+        return F.broadcast(df)
+    return df
 
 
 def splittable(df: DataFrame, *keys: str) -> DataFrame:

@@ -7,4 +7,5 @@ from tidehouse.sources.topics import (  # noqa: F401
     kafka_options,
     page_log,
     raw_topic,
+    rule_changes,
 )

@@ -47,3 +47,9 @@ def change_events(raw: DataFrame, database: str | None = None, strict: bool = Tr
 def page_log(raw: DataFrame, delay: str | None = None, strict: bool = True) -> DataFrame:
     """Page views as structs plus ``row_time``, the event time in whole seconds."""
     return timefns.with_event_time(json_table(raw, schemas.PAGE, strict), delay=delay, whole_seconds=True)
+
+
+def rule_changes(raw: DataFrame, rule: T.StructType, strict: bool = True) -> DataFrame:
+    """Changes of a rule table as ``op``, ``before``, ``after`` and ``ts_ms``, the time of the change."""
+    schema = T.StructType([*schemas.rule_change(rule).fields, T.StructField("ts_ms", T.LongType())])
+    return json_table(raw, schema, strict)
