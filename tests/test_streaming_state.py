@@ -49,10 +49,13 @@ def test_stream_equals_batch(spark, tmp_path, name, delay, step):
 
 def test_is_new_stream_equals_batch_in_order(spark, tmp_path):
     src = str(tmp_path / "src")
-    streams.write_files(src, batches(3, step=1_800_000, disorder=1))
+    nobody = [streams.log_row(None, BASE + n * DAY, is_new="1") for n in range(3)]
+    streams.write_files(src, batches(3, step=1_800_000, disorder=1) + [nobody])
     got = streams.run(logs.repair_is_new(streams.read_stream(spark, src), "UTC"), str(tmp_path / "out"), str(tmp_path / "cp"))
     want = logs.repair_is_new(streams.read_batch(spark, src), "UTC")
     assert keys(got) == keys(want)
+    for df in (got, want):
+        assert [r.is_new for r in df.where("common.mid is null").select("common.is_new").collect()] == ["1"] * 3
 
 
 def test_restart_loses_and_repeats_nothing(spark, tmp_path):

@@ -65,6 +65,11 @@ class IsNewRepair(StatefulProcessor):
         self.first = handle.getValueState("first_day", "day INT")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        if key[0] is None:
+            # Records without a device belong to no device; as in batch they stay as they are.
+            for pdf in rows:
+                yield pd.DataFrame({"body": pdf["body"], "stale": False})
+            return
         if not self.first.exists():
             # The first batch of a device must be seen whole to know its first record.
             rows = list(rows)
@@ -154,7 +159,7 @@ class FirstLogin(StatefulProcessor):
             self.handle.deleteTimer(at)
 
     def handleInputRows(self, key, rows, timerValues):
-        batch = pd.concat(list(rows)).sort_values(["t", "pos"], kind="stable")
+        batch = pd.concat([pdf[["t", "pos", "body"]] for pdf in rows]).sort_values(["t", "pos"], kind="stable")
         times, bodies = batch["t"].to_numpy(), batch["body"].to_numpy()
         episode = self.episode.get() if self.episode.exists() else None
         out, at = [], 0
