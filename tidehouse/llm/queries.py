@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidehouse import session
-from tidehouse.llm import packing, token_counts, token_files
+from tidehouse.llm import decontaminate, exact_copies, packing, token_counts, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -32,6 +32,25 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(_table(spark, sf_dir, "documents"))
 
 
+@query
+def op4_exact_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_copies.exact_copies(_table(spark, sf_dir, "documents"), keep="largest")
+
+
+SQL["op4_exact_copies"] = """
+SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
+       doc_id = max(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256
+FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents)
+"""
+
+
+@query
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.benchmark_matches(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    longest = F.array_max(F.transform("matches", lambda m: m["n_words"]))
+    return found.withColumn("longest_match", F.coalesce(longest, F.lit(0).cast("long"))).drop("matches")
+
+
 @query
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = session.shared_dir(spark, "token-files")
