@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidehouse import session
-from tidehouse.llm import decontaminate, exact_copies, packing, token_counts, token_files
+from tidehouse.llm import chat, decontaminate, exact_copies, language, packing, token_counts, token_files, url_filters
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -44,6 +44,61 @@ FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents)
 """
 
 
+#: The rules of the query: host, start of the path, verdict (fixed values).
+URL_RULES = (("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
+             ("com", "/fr/", "allow"), ("com", "/de/", "block"))
+
+
+@query
+def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return url_filters.url_verdicts(_table(spark, sf_dir, "pages"), rules)
+
+
+SQL["op5_url_filters"] = r"""
+WITH rules(rule_host, rule_path, v) AS (VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'),
+    ('example.org', '/en/1', 'block'), ('com', '/fr/', 'allow'), ('com', '/de/', 'block')),
+cut AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+parsed AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*', 0, 's'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1, 's') AS path FROM cut),
+fits AS (SELECT *, rule_host || rule_path AS rule FROM parsed LEFT JOIN rules
+    ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path))
+SELECT page_id, host, path, arg_max(rule, length(rule)) AS rule, coalesce(arg_max(v, length(rule)), 'allow') AS verdict
+FROM fits GROUP BY page_id, host, path
+"""
+
+
+@query
+def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    told = "</s>[INST] ok [/INST]"
+    own = spark.createDataFrame([(-7, 0, "user", told), (-7, 1, "assistant", told)], "conv_id long, turn long, role string, text string")
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(own)
+    parts = turns.select("conv_id", "turn", "role", chat.text_part(F.col("text")).alias("content"))
+    return chat.digests(chat.format_conversations(parts))
+
+
+SQL["op6_chat"] = r"""
+WITH rows AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')),
+escaped AS (SELECT *, length(text) + length(text) - length(replace(text, '\', ''))
+    + len(regexp_extract_all(text, '</?s>|\[/?INST\]|\[/?ROLE\]|\[(OUT|SEP|IMAGE|AUDIO|DOCUMENT)\]')) AS chars FROM rows)
+SELECT conv_id, count(*) AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role)) AS turns_sha256,
+    coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
+    (3 + sum(chars + CASE role WHEN 'user' THEN 13 WHEN 'assistant' THEN 9 ELSE 18 + length(role) END))::BIGINT AS formatted_chars
+FROM escaped GROUP BY conv_id
+"""
+
+
+@query
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    found = language.languages_of(docs, language.train(docs), ["doc_id"])
+    return found.select(F.col("doc_id").cast("long").alias("doc_id"), language.held_out(F.col("doc_id")).alias("held_out"),
+                        "lang_pred", "score")
+
+
 @query
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.benchmark_matches(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
