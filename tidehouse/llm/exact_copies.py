@@ -214,12 +214,22 @@ def owners(docs: DataFrame, keep: str = "smallest", trie_bytes: int = TRIE_BYTES
     return dealt.mapInArrow(_owners(keep == "smallest", trie_bytes), _OWNER)
 
 
-def exact_copies(docs: DataFrame, keep: str = "smallest", carry: tuple[str, ...] = (), **limits: int) -> DataFrame:
-    """``doc_id, keep_id, group_size, kept, text_sha256`` of every document, and its ``carry`` columns."""
+def _resolved(docs: DataFrame, keep: str, **limits: int) -> DataFrame:
+    """Columns ``_c0, _c1 ...`` of every document with those of its owner, and its identifier as ``doc_id``."""
     text = arrow.text_column()
-    own = docs.select(F.col("doc_id").cast("long").alias("_id"), F.octet_length(text).cast("long").alias("n_bytes"),
-                      F.sha2(text.cast("binary"), 256).alias("text_sha256"), *(F.col(c).alias(f"_carry_{c}") for c in carry))
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.octet_length(text).cast("long").alias("n_bytes"),
+                      F.sha2(text.cast("binary"), 256).alias("text_sha256"),
+                      *(F.col(c).alias(f"_c{i}") for i, c in enumerate(docs.columns)))
     joined = own.join(owners(docs, keep, **limits), ["n_bytes", "text_sha256"])
-    return joined.select(F.col("_id").alias("doc_id"), "keep_id", "group_size",
-                         F.col("_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256",
-                         *(F.col(f"_carry_{c}").alias(c) for c in carry if c != "doc_id"))
+    return joined.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("keep_id")))
+
+
+def exact_copies(docs: DataFrame, keep: str = "smallest", **limits: int) -> DataFrame:
+    """``doc_id, keep_id, group_size, kept, text_sha256`` of every document."""
+    return _resolved(docs, keep, **limits).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+def without_copies(docs: DataFrame, keep: str = "smallest", **limits: int) -> DataFrame:
+    """The documents that stay, with all their columns."""
+    kept = _resolved(docs, keep, **limits).where("kept")
+    return kept.select([f"_c{i}" for i in range(len(docs.columns))]).toDF(*docs.columns)

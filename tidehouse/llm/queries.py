@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidehouse import session
-from tidehouse.llm import chat, decontaminate, exact_copies, language, near_copies, packing, token_counts, token_files, url_filters
+from tidehouse.llm import chat, decontaminate, exact_copies, language, near_copies, packing, passages, token_counts, token_files, url_filters
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -104,6 +104,12 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "lang_pred", "score")
 
 
+@query
+def op8_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = passages.without_repeats(_table(spark, sf_dir, "documents"))
+    return left.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
 @query
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.benchmark_matches(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
