@@ -11,7 +11,9 @@ windows have equal anchors at one place, so a window recurs only where its ancho
    are marked. This, too, is a stream in which only the windows of one anchor are held.
 3. Marked spans return to their documents, whose covered words are left out.
 
-Steps 2 and 3 read documents by one and the same shuffle. Windows are compared by 64-bit hashes within one anchor.
+What recurs within a slice of a task is settled there: one row goes to its group, the others are dealt out evenly, so an
+anchor that a third of all documents share reaches its group once a slice. Steps 2 and 3 read documents by one and the
+same shuffle. Windows are compared by 64-bit hashes within one anchor.
 
 Defined results: null has no words; a document of fewer than 20 words loses none; rows that repeat identifier and text are
 one document with repeated results; rows of one identifier with different texts are ordered by a hash of the text; rows
@@ -32,9 +34,10 @@ WINDOW, PHRASE = 20, 8
 SHARD_BYTES = 8 << 20
 _NONE = -(1 << 63)
 
-_ANCHOR = pa.schema([("anchor", pa.int64()), ("doc", pa.int64()), ("text_key", pa.int64()), ("place", pa.int32())])
+_ANCHOR = pa.schema([("anchor", pa.int64()), ("doc", pa.int64()), ("text_key", pa.int64()), ("place", pa.int32()),
+                     ("sure", pa.bool_())])
 _WINDOWS = pa.schema([("anchor", pa.int64()), ("doc", pa.int64()), ("text_key", pa.int64()), ("start", pa.int32()),
-                      ("hashes", pa.binary())])
+                      ("windows", pa.int32()), ("hashes", pa.binary())])
 _SPANS = pa.schema([("doc", pa.int64()), ("text_key", pa.int64()), ("start", pa.int32()), ("windows", pa.int32())])
 
 
@@ -59,11 +62,30 @@ class Windows:
         self.anchor = _least_places(self.phrases, window - phrase + 1) if len(hashes) >= window else np.zeros(0, int)
 
 
+class _Numbers(dict):
+    """Numbers of words, in the order of their first appearance."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = number = len(self)
+        return number
+
+
+def _repeats(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For every value, the place of its first appearance, and how often it appears."""
+    _, first, inverse, counts = np.unique(values, return_index=True, return_inverse=True, return_counts=True)
+    return first[inverse], counts[inverse]
+
+
+def _spread(doc: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """A key that deals rows out evenly, for rows that need to meet no others."""
+    return word_hashes.mix(doc.astype(np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + place.astype(np.uint64)).view(np.int64)
+
+
 def _anchors(batches):
+    """Anchors of all windows. Of anchors that recur within a slice, one goes to the anchor's group and the others anywhere."""
     hashes = word_hashes.WordHashes()
     for part in arrow.slices(batches, "text"):
-        found, counts = [], []
-        places = []
+        found, counts, places = [], [], []
         for text in arrow.raw(part.column("text")):
             windows = Windows(hashes.of(text.split()))
             own = windows.anchor
@@ -72,13 +94,16 @@ def _anchors(batches):
             places.append(own)
             counts.append(len(own))
         docs, keys = (np.repeat(part.column(n).to_numpy(), counts) for n in ("doc", "text_key"))
-        yield arrow.batch(_ANCHOR, np.concatenate(found).view(np.int64), docs, keys, np.concatenate(places).astype(np.int32))
+        anchor, place = np.concatenate(found).view(np.int64), np.concatenate(places).astype(np.int32)
+        first, times = _repeats(anchor)
+        anchor = np.where(first == np.arange(len(anchor)), anchor, _spread(docs, place))
+        yield arrow.batch(_ANCHOR, anchor, docs, keys, place, times > 1)
 
 
 def _recurring(batches):
-    """Rows sorted by anchor to those whose anchor is not alone."""
+    """Rows sorted by anchor to those that are sure to recur or whose anchor is not alone."""
     held = None  # the last row, while its anchor has been seen once
-    last, again = None, False
+    last = None
     out = pa.schema([_ANCHOR.field(n) for n in ("doc", "text_key", "place")])
     for part in batches:
         if not part.num_rows:
@@ -86,27 +111,34 @@ def _recurring(batches):
         anchor = part.column("anchor").to_numpy()
         same = anchor[1:] == anchor[:-1]
         many = np.append(same, False) | np.insert(same, 0, False)
+        many |= part.column("sure").to_numpy(zero_copy_only=False)
         if anchor[0] == last:
             many[:int(np.searchsorted(anchor, last, "right"))] = True
-            if not again:
+            if held is not None:
                 yield held
         rest = part.select(["doc", "text_key", "place"])
         yield pa.RecordBatch.from_arrays([c.filter(pa.array(many)) for c in rest.columns], schema=out)
-        if not many[-1]:
-            held = pa.RecordBatch.from_arrays(rest.slice(part.num_rows - 1).columns, schema=out)
-        last, again = anchor[-1], bool(many[-1])
+        held = None if many[-1] else pa.RecordBatch.from_arrays(rest.slice(part.num_rows - 1).columns, schema=out)
+        last = anchor[-1]
+
+
+def _runs(row: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Where runs of consecutive places in one row begin."""
+    return np.flatnonzero(np.insert((row[1:] != row[:-1]) | (place[1:] != place[:-1] + 1), 0, True)) if len(row) else \
+        np.zeros(0, np.int64)
 
 
 def _locate(batches):
-    """``doc, text_key, text, places`` to the windows at recurring phrases, by an automaton a shard."""
+    """``doc, text_key, text, places`` to the windows at recurring phrases, by an automaton a shard.
+
+    Of windows that recur within a shard, the first goes to its anchor's group; the others are later ones already and go
+    anywhere, as spans.
+    """
     hashes = word_hashes.WordHashes()
     for part in arrow.slices(batches, "text", SHARD_BYTES):
-        numbers: dict[bytes, int] = {}
-        sequences, words = [], []
-        for text in arrow.raw(part.column("text")):
-            own = text.split()
-            words.append(own)
-            sequences.append(tuple(numbers.setdefault(w, len(numbers)) for w in own))
+        numbers = _Numbers()
+        words = [text.split() for text in arrow.raw(part.column("text"))]
+        sequences = [tuple(map(numbers.__getitem__, own)) for own in words]
         automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
         for sequence, places in zip(sequences, part.column("places").to_pylist(), strict=True):
             for place in places:
@@ -114,9 +146,8 @@ def _locate(batches):
         if not len(automaton):
             continue
         automaton.make_automaton()
-        columns: list[list] = [[] for _ in _WINDOWS]
-        ids = (part.column(n).to_pylist() for n in ("doc", "text_key"))
-        for doc, key, sequence, own in zip(*ids, sequences, words, strict=True):
+        rows, places, anchors, wholes = [], [], [], []
+        for row, (sequence, own) in enumerate(zip(sequences, words, strict=True)):
             if len(sequence) < WINDOW:
                 continue
             ends = np.fromiter((end for end, _ in automaton.iter(sequence)), np.int64)
@@ -124,30 +155,56 @@ def _locate(batches):
             located[ends - PHRASE + 1] = True
             own_hashes = hashes.of(own)
             windows = Windows(own_hashes)
-            chosen = located[windows.anchor]
-            starts = np.flatnonzero(chosen)
-            if not len(starts):
-                continue
-            anchor = windows.anchor[starts]
-            whole = word_hashes.runs(own_hashes, WINDOW)[starts]
-            first = np.flatnonzero(np.insert((anchor[1:] != anchor[:-1]) | (starts[1:] != starts[:-1] + 1), 0, True))
-            for a, b in zip(first, [*first[1:], len(starts)], strict=True):
-                row = (int(windows.phrases[anchor[a]].view(np.int64)), doc, key, int(starts[a]), whole[a:b].tobytes())
-                for column, value in zip(columns, row, strict=True):
-                    column.append(value)
-        yield arrow.batch(_WINDOWS, *columns)
+            starts = np.flatnonzero(located[windows.anchor])
+            if len(starts):
+                rows.append(np.full(len(starts), row))
+                places.append(starts)
+                anchors.append(windows.phrases[windows.anchor[starts]])
+                wholes.append(word_hashes.runs(own_hashes, WINDOW)[starts])
+        if not rows:
+            continue
+        row, place, anchor, whole = (np.concatenate(x) for x in (rows, places, anchors, wholes))
+        doc, key = part.column("doc").to_numpy(), part.column("text_key").to_numpy()
+        first, _ = _repeats(whole)
+        leads = first == np.arange(len(whole))
+        # A repeated row is the same document at the same place, and no earlier start.
+        later = ~leads & ((doc[row] != doc[row[first]]) | (key[row] != key[row[first]]) | (place != place[first]))
+        own = np.flatnonzero(later)
+        begins = _runs(row[own], place[own])
+        spans = own[begins]
+        lengths = np.diff(np.append(begins, len(own)))
+        yield arrow.batch(_WINDOWS, _spread(doc[row[spans]], place[spans]), doc[row[spans]], key[row[spans]],
+                          place[spans].astype(np.int32), lengths.astype(np.int32), pa.nulls(len(spans), pa.binary()))
+        own = np.flatnonzero(leads)
+        begins = np.flatnonzero(np.insert((anchor[own][1:] != anchor[own][:-1]) | (row[own][1:] != row[own][:-1])
+                                          | (place[own][1:] != place[own][:-1] + 1), 0, True))
+        firsts = own[begins]
+        offsets = np.append(begins, len(own)).astype(np.int32) * 8
+        packed = pa.Array.from_buffers(pa.binary(), len(firsts), [None, pa.py_buffer(offsets), pa.py_buffer(whole[own].tobytes())])
+        yield arrow.batch(_WINDOWS, anchor[firsts].view(np.int64), doc[row[firsts]], key[row[firsts]],
+                          place[firsts].astype(np.int32), np.zeros(len(firsts), np.int32), packed)
+
+
+def _hashes(column: pa.BinaryArray) -> tuple[np.ndarray, np.ndarray]:
+    """(all hashes, how many each row has) of a column of packed hashes without nulls."""
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + len(column) + 1]
+    data = column.buffers()[2]
+    whole = np.frombuffer(data, np.uint8)[offsets[0]:offsets[-1]].copy().view(np.uint64) if data else np.zeros(0, np.uint64)
+    return whole, np.diff(offsets) // 8
 
 
 def _later(batches):
-    """Windows sorted by (anchor, document, text, place) to spans of windows that also start earlier."""
-    last, seen, at = None, np.zeros(0, np.uint64), None
+    """Windows sorted by (anchor, document, text, place) to spans of windows that also start earlier; spans go through."""
+    last, seen, at = None, np.zeros(0, np.uint64), {}
     for part in arrow.slices(batches, "hashes"):
-        anchor = part.column("anchor").to_numpy()
-        doc, key = part.column("doc").to_numpy(), part.column("text_key").to_numpy()
-        start = part.column("start").to_numpy()
-        hashes = part.column("hashes").to_pylist()
-        counts = np.array([len(h) // 8 for h in hashes])
-        whole = np.frombuffer(b"".join(hashes), np.uint64)
+        ready = part.filter(part.column("hashes").is_null())
+        if ready.num_rows:
+            yield arrow.batch(_SPANS, *(ready.column(n) for n in ("doc", "text_key", "start", "windows")))
+        part = part.filter(part.column("hashes").is_valid())
+        if not part.num_rows:
+            continue
+        anchor, doc, key, start = (part.column(n).to_numpy() for n in ("anchor", "doc", "text_key", "start"))
+        whole, counts = _hashes(part.column("hashes"))
         row = np.repeat(np.arange(len(counts)), counts)
         place = start[row] + np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
         # Equal windows of one anchor, in order of appearance.
@@ -156,24 +213,21 @@ def _later(batches):
         new = np.insert((a[1:] != a[:-1]) | (w[1:] != w[:-1]), 0, True)
         leader = order[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
         marked = np.zeros(len(row), bool)
-        # A repeated row is the same document at the same place, and no earlier start.
-        moved = (doc[row[leader]] != doc[row[order]]) | (key[row[leader]] != key[row[order]]) | (place[leader] != place[order])
-        marked[order] = moved
-        if anchor[0] == last:
+        marked[order] = (doc[row[leader]] != doc[row[order]]) | (key[row[leader]] != key[row[order]]) | (place[leader] != place[order])
+        if anchor[0] == last:  # the anchor's windows in earlier batches
             own = np.flatnonzero(anchor[row] == last)
             spot = np.minimum(np.searchsorted(seen, whole[own]), len(seen) - 1)
             known = seen[spot] == whole[own]
-            repeats = np.array([(int(doc[row[i]]), int(key[row[i]]), int(place[i])) == at[int(h)] if k else False
-                                for i, h, k in zip(own, whole[own], known, strict=True)], bool)
-            marked[own] |= known & ~repeats
+            for i in own[known]:
+                marked[i] = (int(doc[row[i]]), int(key[row[i]]), int(place[i])) != at[int(whole[i])]
         ends = np.flatnonzero(anchor[row] == anchor[-1])
-        firsts = {} if anchor[-1] != last else at
+        at = at if anchor[-1] == last else {}
         for i in ends:
-            firsts.setdefault(int(whole[i]), (int(doc[row[i]]), int(key[row[i]]), int(place[i])))
-        last, at, seen = anchor[-1], firsts, np.sort(np.fromiter(firsts, np.uint64, len(firsts)))
+            at.setdefault(int(whole[i]), (int(doc[row[i]]), int(key[row[i]]), int(place[i])))
+        last, seen = anchor[-1], np.sort(np.fromiter(at, np.uint64, len(at)))
         hit = np.flatnonzero(marked)
         if len(hit):
-            begins = np.flatnonzero(np.insert((row[hit][1:] != row[hit][:-1]) | (place[hit][1:] != place[hit][:-1] + 1), 0, True))
+            begins = _runs(row[hit], place[hit])
             lengths = np.diff(np.append(begins, len(hit)))
             own = hit[begins]
             yield arrow.batch(_SPANS, doc[row[own]], key[row[own]], place[own].astype(np.int32), lengths.astype(np.int32))
@@ -205,16 +259,18 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     """``doc_id, n_words, n_removed, kept_text`` of every document; kept words are joined by one blank."""
     text = arrow.text_column()
     keyed = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NONE)).alias("doc"), F.xxhash64(text).alias("text_key"),
-                        F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
+                        text.alias("text"))
     key = ["doc", "text_key"]
-    anchors = keyed.select(*key, "text").mapInArrow(_anchors, "anchor long, doc long, text_key long, place int")
+    anchors = keyed.mapInArrow(_anchors, "anchor long, doc long, text_key long, place int, sure boolean")
     recurring = anchors.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(
         _recurring, "doc long, text_key long, place int")
     places = recurring.groupBy(*key).agg(F.collect_set("place").alias("places"))
-    located = keyed.join(places.hint("merge"), key).select(*key, "text", "places").mapInArrow(
-        _locate, "anchor long, doc long, text_key long, start int, hashes binary")
+    # Both joins shuffle the same columns of the documents, so Spark shuffles them once.
+    located = keyed.join(places.hint("merge"), key).mapInArrow(
+        _locate, "anchor long, doc long, text_key long, start int, windows int, hashes binary")
     spans = located.repartition("anchor").sortWithinPartitions("anchor", "doc", "text_key", "start").mapInArrow(
         _later, "doc long, text_key long, start int, windows int")
     marked = spans.groupBy(*key).agg(F.collect_set(F.struct("start", "windows")).alias("spans"))
-    return keyed.join(marked.hint("merge"), key, "left").select("doc_id", "text", "spans").mapInArrow(
+    doc_id = F.nullif("doc", F.lit(_NONE)).alias("doc_id")
+    return keyed.join(marked.hint("merge"), key, "left").select(doc_id, "text", "spans").mapInArrow(
         _remove, "doc_id long, n_words long, n_removed long, kept_text string")

@@ -228,5 +228,6 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
     manifest = spark.read.schema(_MANIFEST).parquet(f"{folder}/manifest")
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # one row per shard
     based = manifest.withColumn("base", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))
-    dealt = based.repartition("shard")  # files are read where there is room, not all where the sums were made
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = based.repartition(tasks, "shard")  # files are read side by side, not all where the sums were made
     return dealt.mapInArrow(_read, _READ)
