@@ -13,7 +13,8 @@ is confirmed that would join what is joined already, so copies are not expanded
    and the least node are paired with all others. Each node confirms its nearest and its least partner first.
 2. Pairs of different components that are still open are confirmed.
 3. Large buckets that hold several components give the pairs between those, most likely ones first, a bounded number a
-   node and round, twice as many each round, until none is left. So no link is lost to a bound.
+   node and round, twice as many each round, until none is left. So no link is lost to a bound. Here a byte of every
+   signature value is compared as well, as documents that share a passage meet in such buckets.
 
 Confirmed links are joined to components after each step.
 
@@ -43,15 +44,18 @@ DIFFERENT_BITS = 35
 SMALL = 16
 #: Pairs a node of a large bucket may give in the first round of step 3.
 FIRST_PAIRS = 32
+#: Signature values, one byte of each, that may differ: the expected 32 of 128 at 0.75 and five and a half deviations.
+DIFFERENT_VALUES = 59
 
 _rng = np.random.default_rng(20240229)
 _A = (_rng.integers(0, 1 << 32, PERMUTATIONS, dtype=np.uint32) | np.uint32(1))
 _B = _rng.integers(0, 1 << 32, PERMUTATIONS, dtype=np.uint32)
 del _rng
 
-_SIGNATURE = "doc_id long, n_shingles long, set_a long, set_b long, bands binary, sketch_a long, sketch_b long"
-_SIGNATURE_ARROW = pa.schema([(n, pa.binary() if n == "bands" else pa.int64()) for n in
-                              ("doc_id", "n_shingles", "set_a", "set_b", "bands", "sketch_a", "sketch_b")])
+_SIGNATURE = ("doc_id long, n_shingles long, set_a long, set_b long, bands binary, sketch_a long, sketch_b long, "
+              "signature binary")
+_SIGNATURE_ARROW = pa.schema([(n, pa.binary() if n in ("bands", "signature") else pa.int64()) for n in
+                              ("doc_id", "n_shingles", "set_a", "set_b", "bands", "sketch_a", "sketch_b", "signature")])
 _FOUND = "u long, v long, bits int, bucket long, node long, n_shingles long, sketch_a long, sketch_b long"
 _FOUND_ARROW = pa.schema([(n, pa.int32() if n == "bits" else pa.int64()) for n in
                           ("u", "v", "bits", "bucket", "node", "n_shingles", "sketch_a", "sketch_b")])
@@ -101,9 +105,10 @@ def _signatures(batches):
                 key = xxhash.xxh3_128_digest(own.tobytes())
                 a, b = np.frombuffer(key, "<i8").tolist()
                 least, greatest = signature(own)
-                row = (doc_id, len(own), a, b, bands(least, greatest).tobytes(), *sketch(least, greatest))
+                row = (doc_id, len(own), a, b, bands(least, greatest).tobytes(), *sketch(least, greatest),
+                       np.concatenate([least, greatest]).astype(np.uint8).tobytes())
             else:
-                row = (doc_id, 0, None, None, None, None, None)
+                row = (doc_id, 0, None, None, None, None, None, None)
             for column, value in zip(columns, row, strict=True):
                 column.append(value)
         yield arrow.batch(_SIGNATURE_ARROW, *columns)
@@ -120,7 +125,7 @@ def _exploded(batches):
 
 def _whole_buckets(batches):
     """Column arrays of batches cut so that no bucket is torn; buckets of one node are left out."""
-    names = ("bucket", "node", "n_shingles", "sketch_a", "sketch_b", "label")
+    names = ("bucket", "node", "n_shingles", "sketch_a", "sketch_b", "label", "signature")
     held: list[list[np.ndarray]] = []
     last = None
 
@@ -134,7 +139,7 @@ def _whole_buckets(batches):
     for part in batches:
         if not part.num_rows:
             continue
-        columns = [part.column(n).to_numpy() for n in names if n in part.schema.names]
+        columns = [part.column(n).to_numpy(zero_copy_only=n != "signature") for n in names if n in part.schema.names]
         end = int(np.searchsorted(columns[0], columns[0][-1], "left"))  # the last bucket may go on
         if end or columns[0][0] != last:
             if held and columns[0][0] != last:
@@ -198,7 +203,8 @@ def _pairs_between(limit: int):
     out = pa.schema([("u", pa.int64()), ("v", pa.int64()), ("bits", pa.int32()), ("open", pa.bool_())])
 
     def work(batches):
-        for bucket, node, size, a, b, label in _whole_buckets(batches):
+        for bucket, node, size, a, b, label, signatures in _whole_buckets(batches):
+            values = np.frombuffer(b"".join(signatures), np.uint8).reshape(-1, 2 * PERMUTATIONS)
             starts = np.flatnonzero(np.insert(bucket[1:] != bucket[:-1], 0, True)) if len(bucket) else []
             for start, end in zip(starts, [*starts[1:], len(bucket)], strict=True):
                 own = slice(start, end)
@@ -214,6 +220,7 @@ def _pairs_between(limit: int):
                     good = _alike(size[own], size[start + k], bits) & (label[own] != label[start + k])
                     good &= inside | (np.arange(n) > k)
                     hit = np.flatnonzero(good)
+                    hit = hit[(values[own][hit] != values[start + k]).sum(1) <= DIFFERENT_VALUES]
                     if len(hit):
                         found.append(np.stack([np.minimum(node[own][hit], node[start + k]),
                                                np.maximum(node[own][hit], node[start + k]), bits[hit]]))
@@ -337,7 +344,8 @@ def near_copies(docs: DataFrame) -> DataFrame:
         labelled = links.labelled(large, "node", "label")
         # Only buckets that still hold several components go on.
         several = labelled.groupBy("bucket").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a <> b")
-        members = labelled.join(sized.splittable(several.select("bucket"), "bucket"), "bucket", "left_semi")
+        members = labelled.join(sized.splittable(several.select("bucket"), "bucket"), "bucket", "left_semi").join(
+            known.select(F.col("doc_id").alias("node"), "signature"), "node").select(*large.columns, "label", "signature")
         between = stored(members.repartition("bucket").sortWithinPartitions("bucket", "node").mapInArrow(
             _pairs_between(limit), "u long, v long, bits int, open boolean"), "between", "u long, v long, bits int, open boolean")
         open_ones = not between.where("open").isEmpty()
