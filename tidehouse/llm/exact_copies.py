@@ -106,10 +106,23 @@ class PatriciaTrie:
             node = middle
 
     @staticmethod
-    def _below(node: _Node) -> Iterator[tuple[bytes, tuple]]:
+    def _spilled(path: str) -> Iterator[tuple[bytes, tuple]]:
+        """What a file holds; the file goes."""
+        with open(path, "rb") as source:
+            while True:
+                try:
+                    yield pickle.load(source)
+                except EOFError:
+                    break
+        os.unlink(path)
+
+    @classmethod
+    def _below(cls, node: _Node) -> Iterator[tuple[bytes, tuple]]:
         stack = [(b"", node)]
         while stack:
             prefix, node = stack.pop()
+            if node.spilled:
+                yield from ((prefix + rest, value) for rest, value in cls._spilled(node.spilled))
             if node.value is not None:
                 yield prefix, node.value
             stack.extend((prefix + label, child) for label, child in node.children.values())
@@ -148,14 +161,8 @@ class PatriciaTrie:
             prefix, node = stack.pop()
             if node.spilled:
                 sub = PatriciaTrie(self._smallest, self._budget, self._folder)
-                with open(node.spilled, "rb") as source:
-                    while True:
-                        try:
-                            rest, value = pickle.load(source)
-                        except EOFError:
-                            break
-                        sub.insert(rest, *value)
-                os.unlink(node.spilled)
+                for rest, value in self._spilled(node.spilled):
+                    sub.insert(rest, *value)
                 yield from ((prefix + rest, value) for rest, value in sub.terminals())
                 continue
             if node.value is not None:
