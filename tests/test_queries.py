@@ -12,7 +12,7 @@ spec = importlib.util.spec_from_file_location("entry_module", os.path.join(HERE,
 entry_module = importlib.util.module_from_spec(spec)
 spec.loader.exec_module(entry_module)
 
-QUERIES, SQL = entry_module.queries(), entry_module.oracle_sql()
+QUERIES, SQL = entry_module.catalog.QUERIES, entry_module.catalog.SQL
 
 
 @pytest.fixture(scope="module")
