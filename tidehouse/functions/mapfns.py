@@ -19,7 +19,7 @@ def whitelist(data: Column | str, names: Column | str, mode: str = "exact") -> C
     names = F.col(names) if isinstance(names, str) else names
     if mode == "exact":
         # Pad both with the separator: one search in the list, nothing to split for every row.
-        padded = F.concat(F.lit(","), names, F.lit(","))
+        padded = F.concat(F.lit(","), F.regexp_replace(F.trim(names), r"\s*,\s*", ","), F.lit(","))
         return F.map_filter(data, lambda key, _: F.contains(padded, F.concat(F.lit(","), key, F.lit(","))) & ~(
             F.contains(key, F.lit(","))))
     return F.map_filter(data, lambda key, _: F.contains(names, key))

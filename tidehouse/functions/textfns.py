@@ -6,7 +6,8 @@ from pyspark.sql import Column, SparkSession, functions as F
 
 # Unicode blocks of scripts written without spaces (CJK ideographs, kana, Hangul syllables).
 _CJK = r"一-鿿぀-ヿ가-힯"
-_TOKEN = rf"[a-z0-9]+|[{_CJK}]+"
+# A run holds letters of any script with their marks, and digits.
+_TOKEN = rf"[{_CJK}]+|(?:(?![{_CJK}])[\p{{L}}\p{{M}}\p{{N}}])+"
 
 # Full-width forms of the printable ASCII characters, by rule: U+FF01..U+FF5E map to U+0021..U+007E.
 _WIDE = "".join(chr(code) for code in range(0xFF01, 0xFF5F))
@@ -27,7 +28,7 @@ def runs(text: Column | str) -> Column:
 def _pieces(run: Column) -> Column:
     # A CJK run has no word boundaries: cut it into overlapping pairs (a run of one character is kept).
     pairs = F.transform(F.sequence(F.lit(1), F.length(run) - 1), lambda at: F.substring(run, at, F.lit(2)))
-    return F.when(run.rlike("^[a-z0-9]") | (F.length(run) < 2), F.array(run)).otherwise(pairs)
+    return F.when(~run.rlike(f"^[{_CJK}]") | (F.length(run) < 2), F.array(run)).otherwise(pairs)
 
 
 def keywords(text: Column | str) -> Column:
@@ -46,7 +47,7 @@ def register_sql(spark: SparkSession, name: str = "keywords_of") -> None:
         return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
     found = f"regexp_extract_all(lower(translate(text, {literal(_WIDE)}, {literal(_NARROW)})), {literal(_TOKEN)}, 0)"
-    pieces = ("transform(" + found + ", run -> CASE WHEN run RLIKE '^[a-z0-9]' OR length(run) < 2 THEN array(run) "
+    pieces = ("transform(" + found + ", run -> CASE WHEN NOT run RLIKE " + literal(f"^[{_CJK}]") + " OR length(run) < 2 THEN array(run) "
               "ELSE transform(sequence(1, length(run) - 1), at -> substring(run, at, 2)) END)")
     spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(text STRING) RETURNS TABLE(word STRING) "
               f"RETURN SELECT explode(flatten({pieces}))")

@@ -23,7 +23,7 @@ def _parsed(raw: DataFrame, wire: T.StructType, value: str) -> DataFrame:
     with_bad = T.StructType([*wire.fields, T.StructField(_BAD, T.StringType())])
     record = F.from_json(value, with_bad, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD})
     # A JSON array or scalar is no record either, although the parser would unwrap an array of one object.
-    record = F.when(F.ltrim(value).startswith("{"), record)
+    record = F.when(F.col(value).rlike(r"^[ \t\r\n]*\{"), record)
     # A generator's output is computed once; a plain column would be parsed again in every filter pushed below it.
     return raw.select("*", F.explode(F.array(record)).alias("_r"))
 

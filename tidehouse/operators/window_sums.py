@@ -35,16 +35,20 @@ def jump_metrics(jumps: DataFrame) -> DataFrame:
 
 
 def traffic_window(pages: DataFrame, visitors: DataFrame, jumps: DataFrame, width: str = "10 seconds",
-                   delay: str = "15 seconds", tz: str = timefns.DEFAULT_TZ, emit_time: bool = True) -> DataFrame:
+                   delay: str = "15 seconds", tz: str = timefns.DEFAULT_TZ, emit_time: bool = True,
+                   one_watermark: bool = False) -> DataFrame:
     """Five sums per tumbling window and key. Rows of the three inputs are added up in one aggregate, which Spark
     combines on the map side: a hot key sends one row per window and map task.
 
     On streams each input has its own watermark and the slowest one counts, because visitors and bounces are made from
-    the pages and come later than they do. An input without any rows holds all windows back; with
-    ``spark.sql.streaming.multipleWatermarkPolicy=max`` the fastest one counts instead."""
-    inputs = [timefns.with_event_time(rows, delay=delay) for rows in (
-        page_metrics(pages), visitor_metrics(visitors), jump_metrics(jumps))]
+    the pages and come later than they do; an input without any rows then holds all windows back. ``one_watermark`` sets one
+    over the union instead: a quiet input holds nothing back, and ``delay`` is to cover how much later the others come."""
+    inputs = [page_metrics(pages), visitor_metrics(visitors), jump_metrics(jumps)]
+    if not one_watermark:
+        inputs = [timefns.with_event_time(rows, delay=delay) for rows in inputs]
     timed = inputs[0].unionByName(inputs[1]).unionByName(inputs[2])
+    if one_watermark:
+        timed = timefns.with_event_time(timed, delay=delay)
     summed = timed.groupBy(F.window("row_time", width).alias("window"), *KEYS).agg(
         *[F.sum(name).alias(name) for name in COUNTERS])
     emit = [timefns.emit_time_ms().alias("ts")] if emit_time else []

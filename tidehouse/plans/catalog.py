@@ -488,7 +488,8 @@ def dim_enrich_multi_key(spark, folder):
 
 # ================================================================ keywords
 
-_WORDS = r"""words AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS keyword FROM documents)"""
+_RUN = r"[\p{L}\p{M}\p{N}]+"
+_WORDS = r"""words AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{M}\p{N}]+')) AS keyword FROM documents)"""
 
 
 def _searches(spark, folder) -> DataFrame:
@@ -521,7 +522,7 @@ def keyword_window_sql(spark, folder):
     return keywords.keyword_window(words, "100 seconds", tz=UTC, emit_time=False)
 
 
-@query(f"""WITH {_WORDS}, known AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS keyword
+@query(f"""WITH {_WORDS}, known AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '{_RUN}')) AS keyword
                                     FROM benchmark)
        SELECT keyword, count(*) AS times FROM words WHERE keyword IN (SELECT keyword FROM known) GROUP BY ALL""")
 def keyword_dictionary(spark, folder):

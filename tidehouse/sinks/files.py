@@ -5,6 +5,8 @@ The Kafka sink of Spark is at-least-once; ``kafka_message`` therefore gives mess
 
 from __future__ import annotations
 
+import time
+import zlib
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -79,7 +81,7 @@ def routed(df: DataFrame, path: str, checkpoint: str | None = None, trigger: dic
     the stream runs. A batch that is retried replaces its own folders.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = routed_text(route(batch) if route else batch).withColumn(BATCH, F.lit(batch_id))
+        rows = routed_text(route(batch) if route else batch).withColumn(BATCH, F.lit(batch_id).cast("bigint"))
         rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
             .partitionBy("sink_table", BATCH).text(path)
 
@@ -92,13 +94,23 @@ def fan_out(tagged: DataFrame, path: str, checkpoint: str | None = None,
     return append(tagged.select("output", "value"), path, checkpoint, "text", trigger, ["output"])
 
 
+def stream_batch(checkpoint: str, number: int) -> int:
+    """The number of a stream's batch in a log: the same on a retry, and never one of another checkpoint's."""
+    return (zlib.crc32(checkpoint.rstrip("/").encode()) & 0x1FFFFFFF) << 31 | number
+
+
 def for_each_batch(df: DataFrame, write, checkpoint: str | None, trigger: dict | None) -> StreamingQuery | None:
+    """Call ``write(rows, batch)`` once for a table, or for every batch of a stream.
+
+    A call with a table is a batch of its own, later than what is there; a stream's batch keeps its number on a retry.
+    """
     if not df.isStreaming:
-        write(df, 0)
+        write(df, time.time_ns())
         return None
     if checkpoint is None:
         raise ValueError("a stream needs a checkpoint folder")
-    return _start(df.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write), trigger)
+    numbered = lambda batch, number: write(batch, stream_batch(checkpoint, number))
+    return _start(df.writeStream.option("checkpointLocation", checkpoint).foreachBatch(numbered), trigger)
 
 
 def upsert(df: DataFrame, path: str, key: Sequence[str] | str, order: Sequence[str] | str,

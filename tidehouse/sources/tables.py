@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidehouse import sized
-
 
 def table(spark: SparkSession, name_or_path: str, fmt: str | None = None, **options: str) -> DataFrame:
     """Whole table: a catalog table by name, or files of format ``fmt`` (``parquet``, ``json``, ``jdbc``, ...)."""
@@ -16,19 +14,6 @@ def table(spark: SparkSession, name_or_path: str, fmt: str | None = None, **opti
     return spark.read.format(fmt).options(**options).load(name_or_path)
 
 
-def spread(df: DataFrame, *by: str, at_least: int = 1_500_000, at_most: int = 256 * 1024 * 1024) -> DataFrame:
-    """Spread a small input that cannot be split, such as one file with a single row group, over the cores.
-
-    Only for inputs between ``at_least`` and ``at_most`` bytes: below it is not worth it, and bigger ones come in enough
-    splits of their own and are never shuffled here. ``by`` names columns to spread by, such as an id; without it rows are
-    dealt out in turn, which sorts them first. Filters and column pruning still reach the scan.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.isStreaming or not at_least <= sized.estimated_bytes(df) <= at_most or df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, *by)
-
-
 def lookup_rows(df: DataFrame, *pairs: tuple[str, object], **equals: object) -> DataFrame:
     """Rows where every named column equals its value. The predicates reach the scan of a columnar or JDBC source."""
     for name, value in [*pairs, *equals.items()]:
