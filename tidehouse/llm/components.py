@@ -29,7 +29,8 @@ def _star(edges: DataFrame, small: bool) -> DataFrame:
             least.select("u", F.col("m").alias("v")))
     else:
         hung = met.where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return hung.where("u <> v").distinct()
+    hung = hung.where("u <> v")
+    return hung.distinct() if small else hung  # a round removes repeats once, at its end
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -304,6 +304,8 @@ class _Links:
             .join(ends.select(F.col("doc_id").alias("u"), F.col("text").alias("text_u")), "u")
         held = self._stored(met.select("u", "v", "text_u", "text_v").mapInArrow(_confirm, "u long, v long"), "links",
                             "u long, v long")
+        if held.isEmpty():
+            return True
         self.links = held if self.links is None else self.links.unionByName(held)
         self.labels = components.components(self.links)
         return True
