@@ -1,48 +1,115 @@
-"""Connected components of an edge table, by alternating large and small stars.
+"""Connected components of an edge table, by contraction and pointer jumping.
 
-Every round hangs nodes under smaller neighbours with two grouped minima; the edges end as one star per component. Edges
-are written to the shared folder after each round, so lineage stays short and a lost executor costs one round at most.
-Only three numbers a round reach the driver. Groups are reduced to their minimum before the shuffle, and the join that
-brings it back may be split by Spark where one node has very many neighbours.
+Edges point from a node to a smaller one. A round does this:
+
+1. Every slice of a task's edges is contracted to stars around the least node of each local component, so that a node
+   has one edge a slice, however many it had before.
+2. Edges are dealt out by their larger end and sorted; a stream hangs every node, and its other smaller neighbours,
+   under the least of them. A node has at most one edge a slice here: no key is hot.
+3. Nodes that are pointed at and point on themselves are found by one grouped minimum with map-side combine. When there
+   are none, and no node points twice, the edges are the components. Otherwise whoever points at such a node is made to
+   point where it points; the join that does so is a broadcast of checked size, or may be split by Spark.
+
+Edges are written to the shared folder after each round, so lineage stays short and a lost executor costs one round at
+most. Two numbers a round reach the driver.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tidehouse import session, sized
+from tidehouse.llm import arrow
 
 MAX_ROUNDS = 60
+#: Edges that are contracted at once.
+SLICE = 1_000_000
+
+_EDGES = "u long, v long"
+_EDGES_ARROW = pa.schema([("u", pa.int64()), ("v", pa.int64())])
+
+
+def local_stars(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Edges to (node, least node reachable), for every node that is not itself the least."""
+    ids, at = np.unique(np.concatenate([u, v]), return_inverse=True)
+    a, b = at[:len(u)], at[len(u):]
+    parent = np.arange(len(ids))
+    while True:
+        low, high = np.minimum(parent[a], parent[b]), np.maximum(parent[a], parent[b])
+        apart = low < high
+        if not apart.any():
+            break
+        np.minimum.at(parent, high[apart], low[apart])
+        while True:
+            jumped = parent[parent]
+            if (jumped == parent).all():
+                break
+            parent = jumped
+    child = np.flatnonzero(parent != np.arange(len(ids)))
+    return ids[child], ids[parent[child]]
+
+
+def _contracted(edges):
+    """(u, v) arrays to batches of stars, a slice at a time."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    for u, v in edges:
+        held.append((u, v))
+        if sum(len(x) for x, _ in held) >= SLICE:
+            yield arrow.batch(_EDGES_ARROW, *local_stars(*map(np.concatenate, zip(*held, strict=True))))
+            held = []
+    if held:
+        yield arrow.batch(_EDGES_ARROW, *local_stars(*map(np.concatenate, zip(*held, strict=True))))
+
 
+def _arrays(batches):
+    for part in batches:
+        if part.num_rows:
+            yield part.column("u").to_numpy(), part.column("v").to_numpy()
 
-def _star(edges: DataFrame, small: bool) -> DataFrame:
-    """``u, v`` to ``u, v``: neighbours of ``u`` are hung under the least of ``u`` and them."""
-    both = edges.where("u <> v")
-    if small:
-        sided = both.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    else:
-        sided = both.unionByName(both.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = sided.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("m", "u"))
-    met = sided.join(sized.splittable(least, "u"), "u")
-    if small:
-        hung = met.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
-            least.select("u", F.col("m").alias("v")))
-    else:
-        hung = met.where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-    hung = hung.where("u <> v")
-    return hung.distinct() if small else hung  # a round removes repeats once, at its end
+
+def _contract(batches):
+    yield from _contracted(_arrays(batches))
+
+
+def _least(batches):
+    """Edges sorted by (u, v): each node, and its other neighbours, below its least neighbour."""
+
+    def hung():
+        last, least = None, None
+        for u, v in _arrays(batches):
+            first = np.insert(u[1:] != u[:-1], 0, u[0] != last)
+            start = np.maximum.accumulate(np.where(first, np.arange(len(u)), -1))
+            under = np.where(start < 0, least if least is not None else 0, v[np.maximum(start, 0)])
+            last, least = u[-1], under[-1]
+            other = ~first & (v != under)
+            yield np.concatenate([u[first], v[other]]), np.concatenate([under[first], under[other]])
+
+    yield from _contracted(hung())
 
 
 def components(edges: DataFrame) -> DataFrame:
     """Edges ``u, v`` (longs) to ``id, component``: the least node reachable, for every node that is not itself the least."""
     spark = edges.sparkSession
-    seen, current = None, edges.select("u", "v")
+
+    def stored(df: DataFrame, what: str, schema: str) -> DataFrame:
+        path = session.shared_dir(spark, what)
+        df.write.parquet(path)
+        return spark.read.schema(schema).parquet(path)
+
+    current = edges.where("u <> v").select("u", "v")
     for _ in range(MAX_ROUNDS):
-        path = session.shared_dir(spark, "edges")
-        _star(_star(current, small=False), small=True).write.parquet(path)
-        current = spark.read.schema("u long, v long").parquet(path)
-        state = current.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state == seen:
+        dealt = current.mapInArrow(_contract, _EDGES).repartition("u").sortWithinPartitions("u", "v")
+        current = stored(dealt.mapInArrow(_least, _EDGES), "edges", _EDGES)
+        ends = current.select(F.col("u").alias("id"), F.col("v").alias("m"), F.lit(False).alias("met")).unionByName(
+            current.select(F.col("v").alias("id"), F.lit(None).cast("long").alias("m"), F.lit(True).alias("met")))
+        state = ends.groupBy("id").agg(F.min("m").alias("m"), F.count("m").alias("n"), F.max("met").alias("met"))
+        loose = stored(state.where("n > 1 or n = 1 and met"), "loose", "id long, m long, n long, met boolean")
+        several, on = loose.agg(F.count_if(F.col("n") > 1), F.count_if("met")).first()
+        if not several and not on:
             return current.select(F.col("u").alias("id"), F.col("v").alias("component"))
-        seen = state
+        if on:
+            jumps = sized.small_side(loose.where("met").select(F.col("id").alias("v"), "m"))
+            current = current.join(jumps, "v", "left").select("u", F.coalesce("m", "v").alias("v"))
     raise RuntimeError("components did not settle")

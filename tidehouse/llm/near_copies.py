@@ -269,11 +269,10 @@ def _confirm(batches):
 
 
 class _Links:
-    """Confirmed links so far, their components, and the pairs that were looked at; all in the shared folder."""
+    """Components of the links confirmed so far, and the pairs that were looked at; all in the shared folder."""
 
     def __init__(self, spark: SparkSession, texts: DataFrame):
         self._spark, self._texts = spark, texts
-        self.links: DataFrame | None = None
         self.labels: DataFrame | None = None
         self.tested: DataFrame | None = None
 
@@ -306,8 +305,9 @@ class _Links:
                             "u long, v long")
         if held.isEmpty():
             return True
-        self.links = held if self.links is None else self.links.unionByName(held)
-        self.labels = components.components(self.links)
+        if self.labels is not None:  # components so far are stars; new links tie them together
+            held = held.unionByName(self.labels.select(F.col("id").alias("u"), F.col("component").alias("v")))
+        self.labels = components.components(held)
         return True
 
 
