@@ -4,8 +4,8 @@ Edges point from a node to a smaller one. A round does this:
 
 1. Every slice of a task's edges is contracted to stars around the least node of each local component, so that a node
    has one edge a slice, however many it had before.
-2. Edges are dealt out by their larger end and sorted; a stream hangs every node, and its other smaller neighbours,
-   under the least of them. A node has at most one edge a slice here: no key is hot.
+2. Every node, and its other smaller neighbours, are hung under the least of these by a window over its edges. A node
+   has at most one edge a slice here: no key is hot.
 3. Nodes that are pointed at and point on themselves are found by one grouped minimum with map-side combine. When there
    are none, and no node points twice, the edges are the components. Otherwise whoever points at such a node is made to
    point where it points; the join that does so is a broadcast of checked size, or may be split by Spark.
@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tidehouse import session, sized
 from tidehouse.llm import arrow
@@ -51,42 +51,29 @@ def local_stars(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return ids[child], ids[parent[child]]
 
 
-def _contracted(edges):
-    """(u, v) arrays to batches of stars, a slice at a time."""
-    held: list[tuple[np.ndarray, np.ndarray]] = []
-    for u, v in edges:
-        held.append((u, v))
-        if sum(len(x) for x, _ in held) >= SLICE:
-            yield arrow.batch(_EDGES_ARROW, *local_stars(*map(np.concatenate, zip(*held, strict=True))))
-            held = []
-    if held:
-        yield arrow.batch(_EDGES_ARROW, *local_stars(*map(np.concatenate, zip(*held, strict=True))))
-
-
-def _arrays(batches):
-    for part in batches:
-        if part.num_rows:
-            yield part.column("u").to_numpy(), part.column("v").to_numpy()
-
-
 def _contract(batches):
-    yield from _contracted(_arrays(batches))
+    """Edges to stars, a slice at a time."""
+    held: list[pa.RecordBatch] = []
 
+    def stars():
+        u, v = (np.concatenate([part.column(n).to_numpy() for part in held]) for n in ("u", "v"))
+        return arrow.batch(_EDGES_ARROW, *local_stars(u, v))
 
-def _least(batches):
-    """Edges sorted by (u, v): each node, and its other neighbours, below its least neighbour."""
+    for part in batches:
+        held.append(part)
+        if sum(x.num_rows for x in held) >= SLICE:
+            yield stars()
+            held.clear()
+    if held:
+        yield stars()
 
-    def hung():
-        last, least = None, None
-        for u, v in _arrays(batches):
-            first = np.insert(u[1:] != u[:-1], 0, u[0] != last)
-            start = np.maximum.accumulate(np.where(first, np.arange(len(u)), -1))
-            under = np.where(start < 0, least if least is not None else 0, v[np.maximum(start, 0)])
-            last, least = u[-1], under[-1]
-            other = ~first & (v != under)
-            yield np.concatenate([u[first], v[other]]), np.concatenate([under[first], under[other]])
 
-    yield from _contracted(hung())
+def _least(edges: DataFrame) -> DataFrame:
+    """Each node, and its other neighbours, below its least neighbour."""
+    near = Window.partitionBy("u").orderBy("v")
+    ranked = edges.select("u", "v", F.first("v").over(near).alias("m"), F.row_number().over(near).alias("rank"))
+    return ranked.where("rank = 1 or v <> m").select(F.when(F.col("rank") == 1, F.col("u")).otherwise(F.col("v")).alias("u"),
+                                                     F.col("m").alias("v"))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -100,8 +87,7 @@ def components(edges: DataFrame) -> DataFrame:
 
     current = edges.where("u <> v").select("u", "v")
     for _ in range(MAX_ROUNDS):
-        dealt = current.mapInArrow(_contract, _EDGES).repartition("u").sortWithinPartitions("u", "v")
-        current = stored(dealt.mapInArrow(_least, _EDGES), "edges", _EDGES)
+        current = stored(_least(current.mapInArrow(_contract, _EDGES)), "edges", _EDGES)
         ends = current.select(F.col("u").alias("id"), F.col("v").alias("m"), F.lit(False).alias("met")).unionByName(
             current.select(F.col("v").alias("id"), F.lit(None).cast("long").alias("m"), F.lit(True).alias("met")))
         state = ends.groupBy("id").agg(F.min("m").alias("m"), F.count("m").alias("n"), F.max("met").alias("met"))
