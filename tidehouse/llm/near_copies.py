@@ -287,10 +287,13 @@ class _Links:
         names = self.labels.select(F.col("id").alias(node), F.col("component").alias("_c"))
         return df.join(names, node, "left").withColumn(label, F.coalesce("_c", node)).drop("_c")
 
-    def confirm(self, pairs: DataFrame) -> bool:
-        """Confirm those pairs that join different components and were not looked at; whether there were any."""
+    def confirm(self, pairs: DataFrame, apart: bool = False) -> bool:
+        """Confirm those pairs that join different components and were not looked at; whether there were any.
+
+        ``apart`` says that the pairs were chosen between different components of now.
+        """
         new = pairs.select("u", "v").distinct()
-        if self.labels is not None:
+        if self.labels is not None and not apart:
             new = self.labelled(self.labelled(new, "u", "lu"), "v", "lv").where("lu <> lv").select("u", "v")
         if self.tested is not None:
             new = new.join(self.tested, ["u", "v"], "left_anti")
@@ -351,7 +354,7 @@ def near_copies(docs: DataFrame) -> DataFrame:
         between = stored(members.repartition("bucket").sortWithinPartitions("bucket", "node").mapInArrow(
             _pairs_between(limit), "u long, v long, bits int, open boolean"), "between", "u long, v long, bits int, open boolean")
         open_ones = not between.where("open").isEmpty()
-        links.confirm(between)
+        links.confirm(between, apart=True)
         limit *= 2
     named = known.select("doc_id", "n_shingles", "set_a", "set_b").join(sized.splittable(nodes, "set_a", "set_b"), ["set_a", "set_b"])
     named = links.labelled(named, "node", "component_id").select("doc_id", "n_shingles", "component_id")
