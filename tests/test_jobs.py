@@ -3,6 +3,8 @@
 import json
 import random
 
+import pytest
+
 import streams
 from tidehouse import schemas, sinks, sources
 from tidehouse.functions import timefns
@@ -197,3 +199,26 @@ def test_routing_jobs(spark, tmp_path):
         table = dim.read_dim(spark, root, "DIM_BASE_SOURCE", rule[2])
         assert table.columns == ["id", "source_site", "url"]
         assert sorted(map(tuple, table.collect())) == expected
+
+
+def test_table_jobs_are_strict_and_know_the_unit_of_time(spark, tmp_path):
+    created = {"create_time": "2023-11-14 22:13:20"}
+    seconds = BASE // 1000
+
+    def events(ts):
+        return [change("order_detail", "insert", ts, id="d1", order_id="o1", **created),
+                change("order_info", "insert", ts, id="o1", session_id="s1")]
+
+    db, log = str(tmp_path / "db"), str(tmp_path / "log")
+    far = [change(t, "insert", streams.FAR // 1000, id="far", order_id="far") for t in ("order_detail", "order_info")]
+    streams.write_files(db, [[*events(seconds), "{broken"], far, far])
+    streams.write_files(log, [[streams.log_row("m1", BASE + 200, page="order", sid="s1", uid="u1")],
+                              [streams.log_row("flush", streams.FAR, uid="far", page="order", sid="far")]])
+    out = str(tmp_path / "out")
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+        done(jobs.order_detail(topic(spark, db), topic(spark, log), out, str(tmp_path / "cp1"), ts_unit="s"))
+    done(jobs.order_detail(topic(spark, db), topic(spark, log), out, str(tmp_path / "cp2"), ts_unit="s", strict=False))
+    rows = {r.id: r for r in sinks.read_upserted(spark, f"{out}/{jobs.ORDER_DETAIL}", "id", "row_op_ts").collect()}
+    assert rows["d1"].source_id == "2"  # log times are milliseconds, and the two meet
+    with pytest.raises(ValueError, match="ts_unit"):
+        jobs.order_detail(topic(spark, db), topic(spark, log), out, str(tmp_path / "cp3"), ts_unit="m")

@@ -110,16 +110,35 @@ def sink_dims(raw: DataFrame, load_rules: Callable[[], DataFrame], out: str, che
                                 trigger)
 
 
-def _change_time(raw: DataFrame, delay: str) -> DataFrame:
-    events = _events(raw).withColumn("_ms", F.col("ts").try_cast("bigint"))
-    return timefns.with_event_time(events, "_ms", delay=delay)
+#: Milliseconds of a unit of a change event's ``ts``. Logs always count milliseconds.
+TS_UNITS = {"ms": 1, "s": 1000}
+
+
+def _with_change_time(df: DataFrame, delay: str, ts_unit: str) -> DataFrame:
+    if ts_unit not in TS_UNITS:
+        raise ValueError(f"ts_unit must be one of {tuple(TS_UNITS)}, not {ts_unit!r}")
+    in_ms = df.withColumn("_ms", F.col("ts").try_cast("bigint") * TS_UNITS[ts_unit])
+    return timefns.with_event_time(in_ms, "_ms", delay=delay)
+
+
+def _change_time(raw: DataFrame, delay: str, ts_unit: str, strict: bool) -> DataFrame:
+    return _with_change_time(parse.strict(raw, schemas.CHANGE, schemas.CHANGE) if strict else _events(raw), delay, ts_unit)
+
+
+def _page_table(pages: DataFrame, delay: str, strict: bool) -> DataFrame:
+    return _timed((parse.strict if strict else parse.drop_bad)(pages, typed=schemas.PAGE), delay)
 
 
 def order_detail(changes: DataFrame, pages: DataFrame, out: str, checkpoint: str, within: str = "10 seconds",
-                 delay: str = "10 seconds", trigger: dict | None = None) -> StreamingQuery:
-    """Order lines joined with orders and order pages, as an upsert log by line id."""
-    events = _change_time(changes, delay)
-    page_log = _timed(parse.drop_bad(pages, typed=schemas.PAGE), delay)
+                 delay: str = "10 seconds", trigger: dict | None = None, ts_unit: str = "ms",
+                 strict: bool = True) -> StreamingQuery:
+    """Order lines joined with orders and order pages, as an upsert log by line id.
+
+    ``ts_unit`` is the unit in which change events count ``ts``. A malformed record fails the job, or is dropped without
+    ``strict``; so in the other jobs over tables.
+    """
+    events = _change_time(changes, delay, ts_unit, strict)
+    page_log = _page_table(pages, delay, strict)
     wide = trade.order_detail(trade.detail_slice(events, "row_time"), trade.order_slice(events, "row_time"),
                               trade.order_pages(page_log, "row_time"), within, op_time=True)
     return sinks.upsert(wide, f"{out}/{ORDER_DETAIL}", "id", ["row_op_ts", "ts", "source_id"],
@@ -127,21 +146,22 @@ def order_detail(changes: DataFrame, pages: DataFrame, out: str, checkpoint: str
 
 
 def pay_success(changes: DataFrame, details: DataFrame, out: str, checkpoint: str, within: str = "905 seconds",
-                delay: str = "10 seconds", trigger: dict | None = None) -> StreamingQuery:
+                delay: str = "10 seconds", trigger: dict | None = None, ts_unit: str = "ms",
+                strict: bool = True) -> StreamingQuery:
     """Paid order lines, as an upsert log by line id. ``details`` is a stream over the order-line log."""
-    events = _change_time(changes, delay)
-    lines = timefns.with_event_time(details.withColumn("_ms", F.col("ts").try_cast("bigint")), "_ms", delay=delay) \
-        .drop("_ms")
+    events = _change_time(changes, delay, ts_unit, strict)
+    lines = _with_change_time(details, delay, ts_unit).drop("_ms")
     paid = trade.pay_success(trade.payment_slice(events, "row_time"), lines, within, op_time=True)
     return sinks.upsert(paid, f"{out}/{PAY_SUCCESS}", "id", ["row_op_ts", "ts", "callback_time"],
                         f"{checkpoint}/{PAY_SUCCESS}", trigger)
 
 
 def register(changes: DataFrame, pages: DataFrame, out: str, checkpoint: str, within: str = "10 seconds",
-             delay: str = "10 seconds", page_id: str | None = None, trigger: dict | None = None) -> StreamingQuery:
+             delay: str = "10 seconds", page_id: str | None = None, trigger: dict | None = None, ts_unit: str = "ms",
+             strict: bool = True) -> StreamingQuery:
     """Registrations with device data, as an upsert log by user."""
-    events = _change_time(changes, delay)
-    page_log = _timed(parse.drop_bad(pages, typed=schemas.PAGE), delay)
+    events = _change_time(changes, delay, ts_unit, strict)
+    page_log = _page_table(pages, delay, strict)
     rows = user.register(user.user_slice(events, "row_time"), user.login_dims(page_log, page_id, "row_time"), within,
                          op_time=True)
     return sinks.upsert(rows, f"{out}/{REGISTRATIONS}", "user_id", ["row_op_ts", "ts", "mid_id"],

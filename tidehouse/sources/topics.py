@@ -8,8 +8,12 @@ from tidehouse import schemas
 from tidehouse.functions import timefns
 
 
-def kafka_options(servers: str, topic: str, starting: str = "latest", **extra: str) -> dict[str, str]:
-    """Options of a Kafka source. Committed offsets live in the stream's checkpoint; ``starting`` is used without one."""
+def kafka_options(servers: str, topic: str, starting: str | None = None, table: bool = False, **extra: str) -> dict[str, str]:
+    """Options of a Kafka source. Committed offsets live in the stream's checkpoint; ``starting`` is used without one.
+
+    By default a topic that is read as a ``table`` starts at its earliest record, any other at its latest.
+    """
+    starting = starting or ("earliest" if table else "latest")
     if starting not in ("latest", "earliest"):
         raise ValueError("starting must be 'latest' or 'earliest'")
     return {"kafka.bootstrap.servers": servers, "subscribe": topic, "startingOffsets": starting, **extra}
