@@ -76,6 +76,8 @@ def test_sources(spark, tmp_path):
     assert sources.change_events(event, "a").first().data == {"id": "1"}
     assert sources.change_events(event, "b").count() == 0
     assert sources.kafka_options("h:1", "t", "earliest")["startingOffsets"] == "earliest"
+    starts = [sources.kafka_options("h:1", "t", table=table)["startingOffsets"] for table in (False, True)]
+    assert starts == ["latest", "earliest"]
     with pytest.raises(ValueError):
         sources.kafka_options("h:1", "t", "middle")
     with pytest.raises(ValueError):
