@@ -12,9 +12,10 @@ is confirmed that would join what is joined already, so copies are not expanded
 1. Buckets of up to 16 nodes give all pairs that pass; in a larger one, the node nearest to the majority of the sketches
    and the least node are paired with all others. Each node confirms its nearest and its least partner first.
 2. Pairs of different components that are still open are confirmed.
-3. Large buckets that hold several components give the pairs between those, most likely ones first, a bounded number a
-   node and round, twice as many each round, until none is left. So no link is lost to a bound. Here a byte of every
-   signature value is compared as well, as documents that share a passage meet in such buckets.
+3. In large buckets that hold several components, every node outside the largest one asks all nodes of the bucket. The
+   bucket is cut into slices of bounded size; who asks visits each. Sketches and a byte of every signature value leave out
+   rows that meet nothing likely, as documents that share a passage meet in such buckets. The rest is compared on full
+   sets by an index of a slice's shingles, and a slice returns links between components, never pairs of nodes.
 
 Confirmed links are joined to components after each step.
 
@@ -42,8 +43,10 @@ PERMUTATIONS, BANDS = 64, 32
 DIFFERENT_BITS = 35
 #: Nodes of a bucket all of whose pairs are compared at once.
 SMALL = 16
-#: Pairs a node of a large bucket may give in the first round of step 3.
-FIRST_PAIRS = 32
+#: Shingles in a slice of a large bucket, 50 more for each node: what a task of step 3 holds at once.
+SLICE = 1 << 18
+#: Links that a slice gathers before they are contracted.
+GATHERED = 100_000
 #: Signature values, one byte of each, that may differ: the expected 32 of 128 at 0.75 and five and a half deviations.
 DIFFERENT_VALUES = 59
 
@@ -59,6 +62,8 @@ _SIGNATURE_ARROW = pa.schema([(n, pa.binary() if n in ("bands", "signature") els
 _FOUND = "u long, v long, bits int, bucket long, node long, n_shingles long, sketch_a long, sketch_b long"
 _FOUND_ARROW = pa.schema([(n, pa.int32() if n == "bits" else pa.int64()) for n in
                           ("u", "v", "bits", "bucket", "node", "n_shingles", "sketch_a", "sketch_b")])
+_SLICED = "bucket long, slice long, asks boolean, node long, label long"
+_SLICED_ARROW = pa.schema([(n, pa.bool_() if n == "asks" else pa.int64()) for n in ("bucket", "slice", "asks", "node", "label")])
 
 
 def shingle_set(text: bytes, hashes: word_hashes.WordHashes, length: int = SHINGLE) -> np.ndarray:
@@ -125,7 +130,7 @@ def _exploded(batches):
 
 def _whole_buckets(batches):
     """Column arrays of batches cut so that no bucket is torn; buckets of one node are left out."""
-    names = ("bucket", "node", "n_shingles", "sketch_a", "sketch_b", "label", "signature")
+    names = ("bucket", "node", "n_shingles", "sketch_a", "sketch_b")
     held: list[list[np.ndarray]] = []
     last = None
 
@@ -139,7 +144,7 @@ def _whole_buckets(batches):
     for part in batches:
         if not part.num_rows:
             continue
-        columns = [part.column(n).to_numpy(zero_copy_only=n != "signature") for n in names if n in part.schema.names]
+        columns = [part.column(n).to_numpy() for n in names]
         end = int(np.searchsorted(columns[0], columns[0][-1], "left"))  # the last bucket may go on
         if end or columns[0][0] != last:
             if held and columns[0][0] != last:
@@ -198,47 +203,100 @@ def _pairs_of_buckets(batches):
                           a[large], b[large])
 
 
-def _pairs_between(limit: int):
-    """Step 3: pairs of different components in large buckets; ``open`` says that a bucket has more than ``limit`` a node."""
-    out = pa.schema([("u", pa.int64()), ("v", pa.int64()), ("bits", pa.int32()), ("open", pa.bool_())])
-
-    def work(batches):
-        for bucket, node, size, a, b, label, signatures in _whole_buckets(batches):
-            values = np.frombuffer(b"".join(signatures), np.uint8).reshape(-1, 2 * PERMUTATIONS)
-            starts = np.flatnonzero(np.insert(bucket[1:] != bucket[:-1], 0, True)) if len(bucket) else []
-            for start, end in zip(starts, [*starts[1:], len(bucket)], strict=True):
-                own = slice(start, end)
-                labels, counts = np.unique(label[own], return_counts=True)
-                if len(labels) < 2:
-                    continue
-                main = labels[counts.argmax()]
-                inside = label[own] == main
-                rest, n = np.flatnonzero(~inside), end - start
-                room, found, more = limit * n, [], False
-                for k in rest:  # one node against all of the bucket at a time
-                    bits = _bits(a[own], b[own], a[start + k], b[start + k])
-                    good = _alike(size[own], size[start + k], bits) & (label[own] != label[start + k])
-                    good &= inside | (np.arange(n) > k)
-                    hit = np.flatnonzero(good)
-                    hit = hit[(values[own][hit] != values[start + k]).sum(1) <= DIFFERENT_VALUES]
-                    if len(hit):
-                        found.append(np.stack([np.minimum(node[own][hit], node[start + k]),
-                                               np.maximum(node[own][hit], node[start + k]), bits[hit]]))
-                    if sum(f.shape[1] for f in found) > 4 * room:
-                        found, more = [_likely(found, room)], True
-                if not found:
-                    continue
-                if sum(f.shape[1] for f in found) > room:
-                    found, more = [_likely(found, room)], True
-                u, v, bits = np.concatenate(found, axis=1)
-                yield arrow.batch(out, u, v, bits.astype(np.int32), np.full(len(u), more))
-
-    return work
-
-
-def _likely(found: list[np.ndarray], room: int) -> np.ndarray:
-    every = np.concatenate(found, axis=1)
-    return every[:, np.argsort(every[2], kind="stable")[:room]]
+def _cut(batches):
+    """Batches sorted by bucket, slice and ``asks``, cut where one of these changes: ``(bucket, slice), asks, part``."""
+    for part in batches:
+        if not part.num_rows:
+            continue
+        keys = [part.column(n).to_numpy(zero_copy_only=False) for n in ("bucket", "slice", "asks")]
+        starts = np.flatnonzero(np.insert(np.any([k[1:] != k[:-1] for k in keys], axis=0), 0, True))
+        for start, end in zip(starts, [*starts[1:], part.num_rows], strict=True):
+            yield (int(keys[0][start]), int(keys[1][start])), bool(keys[2][start]), part.slice(start, end - start)
+
+
+def _likely(batches):
+    """Step 3: the rows of a slice that may be similar to a row of another component, by sketch, size and signature."""
+    names = ("node", "label", "n_shingles", "sketch_a", "sketch_b")
+
+    def columns(part):
+        values = np.frombuffer(b"".join(part.column("signature").to_pylist()), np.uint8).reshape(-1, 2 * PERMUTATIONS)
+        return [*(part.column(n).to_numpy() for n in names), values]
+
+    def rows(key, asks, node, label, chosen):
+        n = int(chosen.sum())
+        return arrow.batch(_SLICED_ARROW, np.full(n, key[0]), np.full(n, key[1]), np.full(n, asks), node[chosen], label[chosen])
+
+    key, held, members, met = None, [], None, None
+    for now, asks, part in _cut(batches):
+        if now != key:
+            if members is not None:
+                yield rows(key, False, *members[:2], met)
+            key, held, members = now, [], None
+        if not asks:
+            held.append(columns(part))
+            continue
+        if members is None:
+            if not held:
+                continue
+            members = [np.concatenate(c) for c in zip(*held, strict=True)]
+            met, held = np.zeros(len(members[0]), bool), []
+        node, label, size, a, b, values = members
+        own = columns(part)
+        yes = np.zeros(part.num_rows, bool)
+        for k, (_, its_label, its_size, its_a, its_b, its_values) in enumerate(zip(*own, strict=True)):
+            near = np.flatnonzero(_alike(size, its_size, _bits(a, b, its_a, its_b)) & (label != its_label))
+            near = near[(values[near] != its_values).sum(1) <= DIFFERENT_VALUES]
+            met[near] = True
+            yes[k] = len(near) > 0
+        yield rows(key, True, *own[:2], yes)
+    if members is not None:
+        yield rows(key, False, *members[:2], met)
+
+
+class _Index:
+    """The shingles of a slice's members, each with who holds it."""
+
+    def __init__(self, sets: list[np.ndarray], labels: np.ndarray):
+        self._labels, self._sizes = labels, np.array([len(s) for s in sets])
+        every = np.concatenate(sets)
+        order = np.argsort(every, kind="stable")
+        self._shingles, self._owners = every[order], np.repeat(np.arange(len(sets)), self._sizes)[order]
+
+    def similar(self, own: np.ndarray) -> np.ndarray:
+        """Labels of the members whose sets are similar to ``own``."""
+        low = np.searchsorted(self._shingles, own, "left")
+        n = np.searchsorted(self._shingles, own, "right") - low
+        at = np.repeat(low - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        shared = np.bincount(self._owners[at], minlength=len(self._sizes))
+        return np.unique(self._labels[100 * shared >= SIMILAR * (len(own) + self._sizes - shared)])
+
+
+def _links_of_slices(batches):
+    """Step 3: links between components that hold on full sets, as stars."""
+    out = pa.schema([("u", pa.int64()), ("v", pa.int64())])
+    hashes = word_hashes.WordHashes()
+    key, held, index, ends, gathered = None, [], None, [], 0
+    for now, asks, part in _cut(arrow.slices(batches, "text")):
+        if now != key:
+            key, held, index = now, [], None
+        sets = [shingle_set(text, hashes) for text in arrow.raw(part.column("text"))]
+        labels = part.column("label").to_numpy()
+        if not asks:
+            held.append((sets, labels))
+            continue
+        if index is None:
+            if not held:
+                continue
+            index, held = _Index([s for part_sets, _ in held for s in part_sets], np.concatenate([x for _, x in held])), []
+        for own, label in zip(sets, labels, strict=True):
+            others = index.similar(own)
+            ends.append((np.full(len(others), label), others))
+            gathered += len(others)
+        if gathered > GATHERED:
+            yield arrow.batch(out, *components.local_stars(*(np.concatenate(x) for x in zip(*ends, strict=True))))
+            ends, gathered = [], 0
+    if ends:
+        yield arrow.batch(out, *components.local_stars(*(np.concatenate(x) for x in zip(*ends, strict=True))))
 
 
 def _confirm(batches):
@@ -287,31 +345,44 @@ class _Links:
         names = self.labels.select(F.col("id").alias(node), F.col("component").alias("_c"))
         return df.join(names, node, "left").withColumn(label, F.coalesce("_c", node)).drop("_c")
 
-    def confirm(self, pairs: DataFrame, apart: bool = False) -> bool:
-        """Confirm those pairs that join different components and were not looked at; whether there were any.
-
-        ``apart`` says that the pairs were chosen between different components of now.
-        """
+    def confirm(self, pairs: DataFrame) -> None:
+        """Confirm those pairs that join different components and were not looked at."""
         new = pairs.select("u", "v").distinct()
-        if self.labels is not None and not apart:
+        if self.labels is not None:
             new = self.labelled(self.labelled(new, "u", "lu"), "v", "lv").where("lu <> lv").select("u", "v")
         if self.tested is not None:
             new = new.join(self.tested, ["u", "v"], "left_anti")
         new = self._stored(new, "pairs", "u long, v long")
         if new.isEmpty():
-            return False
+            return
         self.tested = new if self.tested is None else self.tested.unionByName(new)
         ends = self._texts
         met = new.join(ends.select(F.col("doc_id").alias("v"), F.col("text").alias("text_v")), "v") \
             .join(ends.select(F.col("doc_id").alias("u"), F.col("text").alias("text_u")), "u")
-        held = self._stored(met.select("u", "v", "text_u", "text_v").mapInArrow(_confirm, "u long, v long"), "links",
-                            "u long, v long")
+        self.add(met.select("u", "v", "text_u", "text_v").mapInArrow(_confirm, "u long, v long"))
+
+    def add(self, links: DataFrame) -> None:
+        """Join the components that links ``u, v`` tie together."""
+        held = self._stored(links, "links", "u long, v long")
         if held.isEmpty():
-            return True
+            return
         if self.labels is not None:  # components so far are stars; new links tie them together
             held = held.unionByName(self.labels.select(F.col("id").alias("u"), F.col("component").alias("v")))
         self.labels = components.components(held)
-        return True
+
+
+def _sliced(labelled: DataFrame) -> DataFrame:
+    """Members of buckets with several components, each in one slice; who is not in the largest one asks in every slice."""
+    counts = labelled.groupBy("bucket", "label").agg(F.count("*").alias("n"), F.sum(F.col("n_shingles") + 50).alias("weight"))
+    several = counts.groupBy("bucket").agg(
+        F.max_by("label", F.struct("n", "label")).alias("main"), F.count("*").alias("labels"),
+        F.ceil(F.sum("weight") / SLICE).alias("slices")).where("labels > 1").drop("labels")
+    at = F.array(F.struct(F.pmod(F.xxhash64("node"), F.col("slices")).alias("slice"), F.lit(False).alias("asks")))
+    every = F.transform(F.sequence(F.lit(0).cast("long"), F.col("slices") - 1),
+                        lambda s: F.struct(s.alias("slice"), F.lit(True).alias("asks")))
+    place = F.when(F.col("label") == F.col("main"), at).otherwise(F.concat(at, every))
+    return labelled.join(sized.splittable(several, "bucket"), "bucket").select(
+        *labelled.columns, F.explode(place).alias("_p")).select(*labelled.columns, "_p.slice", "_p.asks")
 
 
 def near_copies(docs: DataFrame) -> DataFrame:
@@ -344,18 +415,14 @@ def near_copies(docs: DataFrame) -> DataFrame:
     links.confirm(chosen.select(F.explode(F.array(F.struct("near.u", "near.v"), F.struct("least.u", "least.v"))).alias("p"))
                   .select("p.u", "p.v"))
     links.confirm(pairs)
-    limit, open_ones = FIRST_PAIRS, not large.isEmpty()
-    while open_ones:
-        labelled = links.labelled(large, "node", "label")
-        # Only buckets that still hold several components go on.
-        several = labelled.groupBy("bucket").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a <> b")
-        members = labelled.join(sized.splittable(several.select("bucket"), "bucket"), "bucket", "left_semi").join(
-            known.select(F.col("doc_id").alias("node"), "signature"), "node").select(*large.columns, "label", "signature")
-        between = stored(members.repartition("bucket").sortWithinPartitions("bucket", "node").mapInArrow(
-            _pairs_between(limit), "u long, v long, bits int, open boolean"), "between", "u long, v long, bits int, open boolean")
-        open_ones = not between.where("open").isEmpty()
-        links.confirm(between, apart=True)
-        limit *= 2
+    if not large.isEmpty():
+        rows = _sliced(links.labelled(large, "node", "label")).join(
+            known.select(F.col("doc_id").alias("node"), "signature"), "node")
+        likely = stored(rows.repartition("bucket", "slice").sortWithinPartitions("bucket", "slice", "asks", "node").mapInArrow(
+            _likely, _SLICED), "likely", _SLICED)
+        met = likely.join(involved.select(F.col("doc_id").alias("node"), "text"), "node")
+        links.add(met.repartition("bucket", "slice").sortWithinPartitions("bucket", "slice", "asks", "node")
+                  .mapInArrow(_links_of_slices, "u long, v long"))
     named = known.select("doc_id", "n_shingles", "set_a", "set_b").join(sized.splittable(nodes, "set_a", "set_b"), ["set_a", "set_b"])
     named = links.labelled(named, "node", "component_id").select("doc_id", "n_shingles", "component_id")
     alone = signed.where("doc_id is null or n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
