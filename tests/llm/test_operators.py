@@ -8,12 +8,13 @@ import zlib
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import EDGES, SMALL
 from pyspark.sql import functions as F
 
-from tidehouse.llm import (chat, decontaminate, encoding, exact_copies, language, near_copies, packing, passages, token_counts,
-                           token_files, url_filters)
+from tidehouse.llm import (chat, components, decontaminate, encoding, exact_copies, language, near_copies, packing, passages,
+                           token_counts, token_files, url_filters, word_hashes)
 
 NAMES = ("byte_bpe_50k.json", "word_bpe_49k.json")
 
@@ -94,8 +95,9 @@ def test_near_copies(edges, small, nothing):
     assert near_copies.near_copies(nothing).count() == 0
 
 
-def test_near_copies_of_a_large_group(spark):
+def test_near_copies_of_a_large_group(spark, monkeypatch):
     """Copies of one text that differ from each other by more than from the text, and a group around a shared passage."""
+    monkeypatch.setattr(near_copies, "SLICE", 3000)
     rng, rows = random.Random(9), []
     base = [f"b{i}" for i in range(120)]
     for d in range(60):
@@ -109,6 +111,34 @@ def test_near_copies_of_a_large_group(spark):
     assert got == brute.near_copies(rows)
 
 
+def test_slices_of_a_large_bucket(spark):
+    """Likely rows and links of sorted slices, torn over batches, are those of comparing each two rows of a bucket."""
+    rng, rows = random.Random(4), []
+    hashes = word_hashes.WordHashes()
+    texts = [" ".join(f"w{i if rng.random() > 0.03 else rng.random()}" for i in range(40 + 3 * (d % 5))) for d in range(40)]
+    sets = [near_copies.shingle_set(t.encode(), hashes) for t in texts]
+    for node, (text, own) in enumerate(zip(texts, sets, strict=True)):
+        least, greatest = near_copies.signature(own)
+        a, b = near_copies.sketch(least, greatest)
+        values = np.concatenate([least, greatest]).astype(np.uint8).tobytes()
+        for at, asks in [(node % 3, False), *((s, True) for s in range(3))]:
+            rows.append((7, at, asks, node, node, len(own), a, b, values, text))
+    rows.sort(key=lambda r: r[:4])
+    names = ["bucket", "slice", "asks", "node", "label", "n_shingles", "sketch_a", "sketch_b", "signature", "text"]
+    table = pa.table({n: list(c) for n, c in zip(names, zip(*rows, strict=True), strict=True)})
+    alike = {(u, v) for u in range(40) for v in range(40) if u != v and
+             100 * len(np.intersect1d(sets[u], sets[v])) >= 75 * len(np.union1d(sets[u], sets[v]))}
+    assert 20 < len(alike) < 1560
+    for size in (7, 1000):
+        likely = pa.Table.from_batches(near_copies._likely(table.to_batches(size)))
+        asked = set(zip(*(likely.filter(likely["asks"])[n].to_pylist() for n in ("node", "slice")), strict=True))
+        assert asked >= {(u, v % 3) for u, v in alike}
+        links = pa.Table.from_batches(near_copies._links_of_slices(table.to_batches(size)))
+        got = components.local_stars(*(links[n].to_numpy() for n in ("u", "v")))
+        want = components.local_stars(*np.array(sorted(alike)).T)
+        assert set(zip(*map(list, got), strict=True)) == set(zip(*map(list, want), strict=True))
+
+
 @pytest.mark.parametrize("keep", ["smallest", "largest"])
 def test_exact_copies(edges, nothing, keep):
     for limits in ({}, {"trie_bytes": 200, "block_bytes": 100}):
