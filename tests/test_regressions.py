@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import functions as F
 
 from tidehouse import sinks
 from tidehouse.functions import mapfns, textfns
-from tidehouse.operators import changelog, parse
+from tidehouse.operators import changelog, logs, parse
 
 
 def rows_of(df):
@@ -75,3 +77,34 @@ def test_quiet_input_holds_nothing_back_under_one_watermark(spark, tmp_path):
     sums = window_sums.traffic_window(*streams, emit_time=False, one_watermark=True)
     sinks.append(sums, f"{tmp_path}/out", f"{tmp_path}/checkpoint").awaitTermination()
     assert spark.read.json(f"{tmp_path}/out").count() == 119  # the last window is still open
+
+
+def test_undeclared_members_reach_the_outputs(spark):
+    sent = ['{"common":{"mid":"a","is_new":"1","ip":"10.0.0.1"},"page":{"page_id":"home","refer_id":7},"err":{"code":1},'
+            '"displays":[{"item":1}],"actions":["x"],"trace":{"id":"12"},"ab":"12","ts":100000000000}',
+            '{"common":{"mid":"a","is_new":1,"ip":"10.0.0.2"},"appVideo":{"play_sec":1,"codec":"h"},"ts":"200000000000"}',
+            '{"common":{"mid":"a","is_new":"0"},"start":{"entry":"x"},"lang":null,"net":[1.5],"ts":200000000001}']
+    records = parse.drop_bad(spark.createDataFrame([(t,) for t in sent], "value string"), record=parse.RECORD)
+    records = logs.repair_is_new(records, "UTC")
+    tagged = [(r.output, json.loads(r.value)) for r in logs.split_tagged(records).collect()]
+    common, page = {"mid": "a", "is_new": "1", "ip": "10.0.0.1"}, {"page_id": "home", "refer_id": 7}
+    rest = {"common": common, "page": page, "trace": {"id": "12"}, "ab": "12", "ts": 100000000000}
+    want = [
+        ("error", rest | {"err": {"code": 1}, "displays": [{"item": 1}], "actions": ["x"]}),
+        ("page", rest),
+        ("display", {"display": {"item": 1}, "common": common, "page": page, "ts": 100000000000}),
+        ("action", {"action": "x", "common": common, "page": page}),
+        ("video", {"common": {"mid": "a", "is_new": "0", "ip": "10.0.0.2"}, "appVideo": {"play_sec": 1, "codec": "h"},
+                   "ts": "200000000000"}),
+        ("start", {"common": {"mid": "a", "is_new": "0"}, "start": {"entry": "x"}, "net": [1.5], "ts": 200000000001}),
+    ]
+    assert sorted(tagged, key=str) == sorted(want, key=str)
+    split = logs.split_log(records)
+    assert sorted(((name, json.loads(r.record)) for name, df in split.items() for r in df.collect()), key=str) == sorted(want, key=str)
+    assert set(split["page"].columns) == {"common", "page", "ts", "record"}
+
+
+def test_name_sent_twice_loses_no_members(spark):
+    raw = spark.createDataFrame([('{"common":{"mid":"a","ip":"1","ip":"2"},"page":{"page_id":"x"},"net":1,"ts":5}',)], "value string")
+    row, = logs.split_tagged(parse.drop_bad(raw, record=parse.RECORD)).collect()
+    assert json.loads(row.value) == {"common": {"mid": "a", "ip": "2"}, "page": {"page_id": "x"}, "net": 1, "ts": 5}

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidehouse import schemas, sized
 from tidehouse.functions import timefns
+from tidehouse.operators.parse import RECORD
 
 OUTPUTS = ("error", "start", "video", "display", "action", "page")
 
@@ -56,68 +57,131 @@ def explode_items(df: DataFrame, array: str, item: str, with_ts: bool = True) ->
     return df.select(F.explode(array).alias(item), *rest)
 
 
+def _object(*members: str) -> Column:
+    """JSON text of an object from columns that hold its members as text; null members are left out."""
+    return F.concat(F.lit("{"), F.concat_ws(",", *members), F.lit("}"))
+
+
+def _item_texts(array: str, item: str, *rest: str) -> Column:
+    return F.transform(array, lambda x: F.concat(F.lit(f'{{"{item}":'), x, F.lit(","), F.concat_ws(",", *rest), F.lit("}")))
+
+
+def _with_members(df: DataFrame) -> DataFrame:
+    """``_m``: all members of the record's own text, declared or not, by name; a repaired visitor flag is put in.
+
+    Null where the text cannot be read so, as when a name is twice in an object (see ``session.RECOMMENDED``).
+    """
+    members = F.map_filter(F.from_json(RECORD, "map<string,variant>"), lambda _, v: v.isNotNull() & ~F.is_variant_null(v))
+    df = df.select("*", F.explode(F.array(members)).alias("_sent"))
+    sent = F.col("_sent")["common"]
+    flag = F.create_map(F.lit("is_new"), F.parse_json(F.lit('"0"')))
+    others = F.map_filter(F.try_variant_get(sent, "$", "map<string,variant>"), lambda name, _: name != "is_new")
+    is_repaired = (F.col("common.is_new") == "0") & ~F.try_variant_get(sent, "$.is_new", "string").eqNullSafe("0")
+    repaired = F.transform_values("_sent", lambda name, v: F.when(
+        name == "common", F.to_variant_object(F.map_concat(others, flag))).otherwise(v))
+    return df.select("*", F.explode(F.array(F.when(is_repaired, repaired).otherwise(F.col("_sent")))).alias("_m"))
+
+
+def _texts(df: DataFrame, action_ts: bool) -> DataFrame:
+    """The columns, and the JSON texts of what a record may give: ``_error``, ``_whole`` (without its error), ``_rest``
+    (a page view), ``_display`` and ``_action`` (arrays). Every part is written once.
+
+    With the record's own text at hand they hold all its members; typed fields alone know the declared ones.
+    """
+    def member(name: str, text: Column) -> Column:
+        return F.concat(F.lit(f'"{name}":'), text)
+
+    def array_text(name: str) -> Column:
+        return F.concat(F.lit("["), F.array_join(name, ","), F.lit("]"))
+
+    parts = {name: F.to_json(name) for name in ("common", "page", "appVideo")}
+    parts |= {name: F.col(name) for name in ("start", "err")} | {name: array_text(name) for name in ("displays", "actions")}
+    arrays = {name: F.col(name) for name in ("displays", "actions")}
+    has_record = RECORD in df.columns
+    columns = df.columns
+    if has_record:
+        df = _with_members(df)
+        columns = [*columns, "_m"]
+        sent = F.col("_m")
+        parts |= {name: F.coalesce(F.to_json(sent[name]), parts[name]) for name in ("common", "page")}
+        arrays = {name: F.coalesce(F.transform(F.try_variant_get(sent[name], "$", "array<variant>"), lambda v: F.coalesce(
+            F.to_json(v), F.lit("null"))), own) for name, own in arrays.items()}
+    parts["ts"] = F.col("ts").cast("string")
+    df = df.select(*columns, *[member(name, text).alias(f"_{name}") for name, text in parts.items()],
+                   *[own.alias(f"_{name}_items") for name, own in arrays.items()])
+
+    def text(own: Column, *without: str) -> Column:
+        if not has_record:
+            return own
+        left = F.map_filter("_m", lambda name, _: ~name.isin(*without)) if without else F.col("_m")
+        return F.coalesce(F.to_json(left), own)
+
+    whole = ("_common", "_page", "_appVideo", "_start", "_displays", "_actions", "_ts")
+    return df.select(
+        *[c for c in columns if c != "_m"],
+        F.when(F.col("err").isNotNull(), text(_object(*whole, "_err"))).alias("_error"),
+        F.when(~_is_page(), text(_object(*whole), "err")).alias("_whole"),
+        F.when(_is_page(), text(_object("_common", "_page", "_ts"), "err", "start", "appVideo", "displays", "actions"))
+        .alias("_rest"),
+        F.when(_is_page(), _item_texts("_displays_items", "display", "_common", "_page", "_ts")).alias("_display"),
+        F.when(_is_page(), _item_texts("_actions_items", "action", "_common", "_page", *(["_ts"] if action_ts else [])))
+        .alias("_action"))
+
+
 def split_log(df: DataFrame, action_ts: bool = False) -> dict[str, DataFrame]:
     """The six detail outputs of the site log, as six DataFrames over one parsed input.
 
     Error records are copied whole and then go on without their error, so a record may show up twice. A start record
     ends there, then a video record; what is left is a page view with its displays and actions. Action rows carry no
     outer time unless ``action_ts``. Columns that are not part of the log schema are carried along in the whole-record
-    outputs.
+    outputs. Where the input has the record's own text (``parse.RECORD``), every output has its own in that column, with
+    all members that the rule leaves, declared or not.
     """
-    pages = df.where(_is_page())
+    has_record = RECORD in df.columns
+    columns = list(df.columns)
+    texts = _texts(df, action_ts) if has_record else df
+
+    def cut(rows: DataFrame, text: str, *without: str) -> DataFrame:
+        return rows.withColumn(RECORD, F.col(text)).select(*[c for c in columns if c not in without]) if has_record \
+            else rows.drop(*without)
+
+    def items(array: str, item: str, with_ts: bool = True) -> DataFrame:
+        if not has_record:
+            return explode_items(pages, array, item, with_ts)
+        rest = ["common", "page"] + (["ts"] if with_ts else [])
+        both = F.arrays_zip(F.col(array).alias(item), F.col(f"_{item}").alias(RECORD))
+        return pages.select(F.explode(both).alias("_i"), *rest).select(f"_i.{item}", *rest, f"_i.{RECORD}")
+
+    pages = texts.where(_is_page())
     return {
-        "error": df.where(F.col("err").isNotNull()),
-        "start": df.where(F.col("start").isNotNull()).drop("err"),
-        "video": df.where(F.col("start").isNull() & F.col("appVideo").isNotNull()).drop("err"),
-        "display": explode_items(pages, "displays", "display"),
-        "action": explode_items(pages, "actions", "action", with_ts=action_ts),
-        "page": pages.drop("err", "start", "appVideo", "displays", "actions"),
+        "error": cut(texts.where(F.col("err").isNotNull()), "_error"),
+        "start": cut(texts.where(F.col("start").isNotNull()), "_whole", "err"),
+        "video": cut(texts.where(F.col("start").isNull() & F.col("appVideo").isNotNull()), "_whole", "err"),
+        "display": items("displays", "display"),
+        "action": items("actions", "action", with_ts=action_ts),
+        "page": cut(pages, "_rest", "err", "start", "appVideo", "displays", "actions"),
     }
 
 
-def _object(*members: str) -> Column:
-    """JSON text of an object from columns that hold its members as text; null members are left out."""
-    return F.concat(F.lit("{"), F.concat_ws(",", *members), F.lit("}"))
-
-
 def split_tagged(df: DataFrame, action_ts: bool = False) -> DataFrame:
     """All six outputs in one pass, as rows ``(output, value)`` with the record as JSON text.
 
     One record is parsed once and fans out in place, without a shuffle and without reading the input once per output.
+    With ``parse.RECORD`` among the columns, its text is read for the members that the schema does not declare.
     """
-    def member(name: str, text: Column) -> Column:
-        return F.concat(F.lit(f'"{name}":'), text).alias(f"_{name}")
-
-    def array_text(name: str) -> Column:
-        return F.concat(F.lit("["), F.array_join(name, ","), F.lit("]"))
+    def tagged(output: Column | str, value: Column) -> Column:
+        return F.struct((F.lit(output) if isinstance(output, str) else output).alias("output"), value.alias("value"))
 
-    # Every part is written once, and outputs are put together from the parts.
-    parts = df.select(
-        *[member(name, F.to_json(name)) for name in ("common", "page", "appVideo")],
-        *[member(name, F.col(name)) for name in ("start", "err")],
-        *[member(name, array_text(name)) for name in ("displays", "actions")],
-        member("ts", F.col("ts").cast("string")),
-        "displays", "actions")
-
-    def tagged(output: str, value: Column) -> Column:
-        return F.struct(F.lit(output).alias("output"), value.alias("value"))
-
-    def items(array: str, item: str, *rest: str) -> Column:
-        return F.when(is_page, F.transform(array, lambda x: tagged(item, F.concat(
-            F.lit(f'{{"{item}":'), x, F.lit(","), F.concat_ws(",", *rest), F.lit("}")))))
-
-    whole = ("_common", "_page", "_appVideo", "_start", "_displays", "_actions", "_ts")
-    has_start, has_video = F.col("_start").isNotNull(), F.col("_appVideo").isNotNull()
-    is_page = ~has_start & ~has_video
+    texts = _texts(df, action_ts)
+    kind = F.when(F.col("start").isNotNull(), "start").when(F.col("appVideo").isNotNull(), "video").otherwise("page")
     outputs = [
-        F.when(F.col("_err").isNotNull(), F.array(tagged("error", _object(*whole, "_err")))),
-        F.array(F.when(has_start, tagged("start", _object(*whole))).when(has_video, tagged("video", _object(*whole)))
-                .otherwise(tagged("page", _object("_common", "_page", "_ts")))),
-        items("displays", "display", "_common", "_page", "_ts"),
-        items("actions", "action", "_common", "_page", *(["_ts"] if action_ts else [])),
+        F.when(F.col("_error").isNotNull(), F.array(tagged("error", F.col("_error")))),
+        F.array(tagged(kind, F.coalesce("_whole", "_rest"))),
+        F.transform("_display", lambda x: tagged("display", x)),
+        F.transform("_action", lambda x: tagged("action", x)),
     ]
     none = F.array().cast("array<struct<output:string,value:string>>")
-    return parts.select(F.explode(F.concat(*[F.coalesce(o, none) for o in outputs])).alias("o")).select("o.*")
+    return texts.select(F.explode(F.concat(*[F.coalesce(o, none) for o in outputs])).alias("o")).select("o.*")
 
 
 # ---------------------------------------------------------------- slices

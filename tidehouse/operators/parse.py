@@ -7,6 +7,8 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from tidehouse import schemas
 
 _BAD = "_bad"
+#: Column for the record's own text beside the typed fields; ``logs`` builds whole-record outputs from it.
+RECORD = "record"
 
 
 def _cast_to(value: Column, have: T.DataType, want: T.DataType) -> Column:
@@ -32,24 +34,29 @@ def _is_good() -> Column:
     return F.col("_r").isNotNull() & F.col(f"_r.{_BAD}").isNull()
 
 
-def _typed(parsed: DataFrame, wire: T.StructType, typed: T.StructType, value: str) -> DataFrame:
+def _typed(parsed: DataFrame, wire: T.StructType, typed: T.StructType, value: str,
+           record: str | None = None) -> DataFrame:
     keep = [F.col(name) for name in parsed.columns if name not in (value, "_r")]
+    keep += [F.col(value).alias(record)] if record else []
     fields = [_cast_to(F.col(f"_r.{f.name}"), wire[f.name].dataType, f.dataType).alias(f.name) for f in typed.fields]
     return parsed.select(*keep, *fields)
 
 
 def split_dirty(raw: DataFrame, wire: T.StructType = schemas.WIRE_LOG, typed: T.StructType = schemas.LOG,
-                value: str = "value") -> tuple[DataFrame, DataFrame]:
-    """(records, dirty rows): dirty text goes on unchanged in its own output. Other columns are carried along."""
+                value: str = "value", record: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(records, dirty rows): dirty text goes on unchanged in its own output. Other columns are carried along.
+
+    ``typed`` names the declared members only. ``record`` names a column that keeps the whole text beside them.
+    """
     parsed = _parsed(raw, wire, value)
     dirty = parsed.where(~_is_good()).drop("_r")
-    return _typed(parsed.where(_is_good()), wire, typed, value), dirty
+    return _typed(parsed.where(_is_good()), wire, typed, value, record), dirty
 
 
 def drop_bad(raw: DataFrame, wire: T.StructType = schemas.WIRE_LOG, typed: T.StructType = schemas.LOG,
-             value: str = "value") -> DataFrame:
+             value: str = "value", record: str | None = None) -> DataFrame:
     """Records only; text that cannot be parsed is left out silently."""
-    return split_dirty(raw, wire, typed, value)[0]
+    return split_dirty(raw, wire, typed, value, record)[0]
 
 
 def strict(raw: DataFrame, wire: T.StructType = schemas.WIRE_LOG, typed: T.StructType = schemas.LOG,

@@ -87,7 +87,7 @@ def parsed_log(spark, folder):
 
 
 def _split(spark, folder) -> dict[str, DataFrame]:
-    return logs.split_log(parse.drop_bad(topics.raw_log(spark, folder)))
+    return logs.split_log(parse.drop_bad(topics.raw_log(spark, folder), record=parse.RECORD))
 
 
 _STARTED = "(event_type = 'signup' OR (event_type = 'error' AND k < 30))"
@@ -141,11 +141,43 @@ def log_split_page(spark, folder):
          SELECT mid, unnest(range(1, k % 4 + 1)) FROM log WHERE event_type = 'purchase'))
        SELECT output, mid, count(*) AS records FROM outputs GROUP BY ALL""")
 def log_split_one_pass(spark, folder):
-    tagged = logs.split_tagged(parse.drop_bad(topics.raw_log(spark, folder)))
+    tagged = logs.split_tagged(parse.drop_bad(topics.raw_log(spark, folder), record=parse.RECORD))
     return tagged.groupBy("output", F.get_json_object("value", "$.common.mid").alias("mid")).agg(
         F.count(F.lit(1)).alias("records"))
 
 
+_COMMON_TEXT = """'"common":{"ar":"' || ar || '","ba":"brand","ch":"web","ip":"10.0.0.' || CAST(mid AS BIGINT) % 250 ||
+       '","is_new":"' || is_new || '","md":"model","mid":"' || mid || '","os":"os","sc":"' || sc || '","sid":"' || sid ||
+       CASE WHEN uid IS NULL THEN '' ELSE '","uid":"' || uid END || '","vc":"' || vc || '"}'"""
+_PAGE_TEXT = """'"page":{"during_time":' || during_time ||
+       CASE WHEN event_type = 'error' THEN '' ELSE ',"item":"' || k || '"' END || ',"item_type":"' ||
+       CASE WHEN event_type = 'view' THEN 'keyword' ELSE 'course' END || '"' ||
+       CASE WHEN last_page_id IS NULL THEN '' ELSE ',"last_page_id":"' || last_page_id || '"' END ||
+       ',"page_id":"' || page_id || '","refer_id":' || k || '}'"""
+
+
+@query(f"""WITH {RAW_LOG_SQL}, texts AS (
+       SELECT *, {_COMMON_TEXT} AS c, {_PAGE_TEXT} AS p, '"ts":' || ts AS t,
+              ',"trace":{{"hop":"9","id":' || event_id || '}}}}' AS tail,
+              CASE WHEN {_STARTED} THEN ',"start":{{"entry":"icon","k":' || k || '}}' ELSE '' END AS s,
+              '{{"play_sec":' || k || ',"position_sec":' || CAST(floor(value) AS INTEGER) || ',"video_id":"v' || k || '"}}' AS v
+       FROM log)
+       SELECT 'error' AS output, '{{' || c || ',' || p || s || ',"err":{{"code":' || k || '}},' || t || tail AS value
+       FROM texts WHERE event_type = 'error'
+       UNION ALL SELECT 'start', '{{' || c || ',' || p || s || ',' || t || tail FROM texts WHERE {_STARTED}
+       UNION ALL SELECT 'video', '{{' || c || ',' || p || ',"appVideo":' || v || ',' || t || tail FROM texts
+       WHERE event_type = 'click'
+       UNION ALL SELECT 'page', '{{' || c || ',' || p || ',' || t || tail FROM texts
+       WHERE event_type <> 'click' AND NOT {_STARTED}
+       UNION ALL SELECT 'display', '{{"display":{{"item":' || i || '}},' || c || ',' || p || ',' || t || '}}'
+       FROM (SELECT *, unnest(range(1, k % 3 + 1)) AS i FROM texts WHERE event_type = 'view')
+       UNION ALL SELECT 'action', '{{"action":{{"act":' || i || '}},' || c || ',' || p || '}}'
+       FROM (SELECT *, unnest(range(1, k % 4 + 1)) AS i FROM texts WHERE event_type = 'purchase')""")
+def log_split_records(spark, folder):
+    """The whole text of every output, with the members that the schema does not declare."""
+    return logs.split_tagged(parse.drop_bad(topics.raw_log(spark, folder), record=parse.RECORD))
+
+
 @query(f"""WITH {PAGE_LOG_SQL}, firsts AS (
        SELECT mid, arg_min(CASE WHEN is_new = '1' THEN day
                                 ELSE strftime(make_timestamp(ts * 1000) - INTERVAL 1 DAY, '%Y-%m-%d') END,
@@ -614,7 +646,7 @@ def routed_sink(spark, folder):
 @query(SQL["log_split_one_pass"])
 def fan_out_sink(spark, folder):
     path = session.shared_dir(spark, "outputs")
-    sinks.fan_out(logs.split_tagged(parse.drop_bad(topics.raw_log(spark, folder))), path)
+    sinks.fan_out(logs.split_tagged(parse.drop_bad(topics.raw_log(spark, folder), record=parse.RECORD)), path)
     return spark.read.text(path).groupBy("output", F.get_json_object("value", "$.common.mid").alias("mid")).agg(
         F.count(F.lit(1)).alias("records"))
 

@@ -51,7 +51,7 @@ def _lines(df: DataFrame, out: str, checkpoint: str, topic: str, trigger: dict |
 def split_site_log(raw: DataFrame, out: str, checkpoint: str, tz: str = timefns.DEFAULT_TZ,
                    trigger: dict | None = None) -> list[StreamingQuery]:
     """Site log -> six detail topics and the dirty rows; visitor flags are repaired on the way."""
-    records, dirty = parse.split_dirty(raw)
+    records, dirty = parse.split_dirty(raw, record=parse.RECORD)
     tagged = logs.split_tagged(logs.repair_is_new(records, tz))
     topic = F.create_map(*[F.lit(text) for pair in LOG_TOPICS.items() for text in pair])[F.col("output")]
     return [

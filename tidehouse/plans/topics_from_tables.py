@@ -40,7 +40,7 @@ def _k() -> Column:
     return F.get_json_object("props", "$.k").cast("int")
 
 
-def _common() -> Column:
+def _common(**more: Column) -> Column:
     kind, user = F.col("event_type"), text(F.col("user_id"))
     fields = {
         "mid": user,
@@ -55,10 +55,10 @@ def _common() -> Column:
         "sc": text(F.col("user_id") % 5),
         "vc": F.concat(F.lit("v"), text(F.col("event_id") % 3)),
     }
-    return F.struct(*[value.alias(name) for name, value in fields.items()]).alias("common")
+    return F.struct(*[value.alias(name) for name, value in (fields | more).items()]).alias("common")
 
 
-def _page() -> Column:
+def _page(**more: Column) -> Column:
     kind = F.col("event_type")
     fields = {
         "page_id": F.when(kind == "purchase", "order").otherwise(kind),
@@ -67,7 +67,7 @@ def _page() -> Column:
         "item": F.when(kind != "error", text(_k())),
         "item_type": F.when(kind == "view", "keyword").otherwise("course"),
     }
-    return F.struct(*[value.alias(name) for name, value in fields.items()]).alias("page")
+    return F.struct(*[value.alias(name) for name, value in (fields | more).items()]).alias("page")
 
 
 def page_log(spark: SparkSession, folder: str) -> DataFrame:
@@ -107,7 +107,8 @@ page_log AS (
 # ---------------------------------------------------------------- raw log text
 
 def raw_log(spark: SparkSession, folder: str) -> DataFrame:
-    """Site log as JSON text; a few records are cut off and cannot be parsed."""
+    """Site log as JSON text, with members that the log schema does not declare: ``ip``, ``refer_id`` and ``trace``. A few
+    records are cut off and cannot be parsed."""
     kind, k = F.col("event_type"), F.col("k")
     ms = F.col("ms")
 
@@ -123,7 +124,10 @@ def raw_log(spark: SparkSession, folder: str) -> DataFrame:
         F.floor("value").cast("int").alias("position_sec"))).alias("appVideo")
     displays = F.when(kind == "view", items(k % 3, "item")).alias("displays")
     actions = F.when(kind == "purchase", items(k % 4, "act")).alias("actions")
-    record = F.to_json(F.struct(_common(), _page(), start, err, video, displays, actions, ms.alias("ts")))
+    common = _common(ip=F.concat(F.lit("10.0.0."), text(F.col("user_id") % 250)))
+    page = _page(refer_id=k)
+    trace = F.struct(F.col("event_id").alias("id"), F.lit("9").alias("hop")).alias("trace")
+    record = F.to_json(F.struct(common, page, start, err, video, displays, actions, ms.alias("ts"), trace))
     broken = F.concat(F.lit('{"mid":"'), text(F.col("user_id")), F.lit('","ts":'), text(ms))
     is_broken = (kind == "view") & (F.col("value") < 5)
     events = stored(spark, folder, "events").withColumn("k", _k()).withColumn("ms", utc_ms("ts"))

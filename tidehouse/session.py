@@ -15,6 +15,9 @@ RECOMMENDED = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # A hot key on one side of a join is split over several tasks by AQE.
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Of a name that is twice in a JSON object the last one counts; without this, whole-record outputs of such a record
+    # hold its declared members alone.
+    "spark.sql.variant.allowDuplicateKeys": "true",
     # Python state processors keep their state in RocksDB.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
