@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tidehouse import sinks
 from tidehouse.functions import mapfns, textfns
-from tidehouse.operators import changelog, logs, parse
+from tidehouse.operators import cells, changelog, logs, parse
 
 
 def rows_of(df):
@@ -108,3 +108,12 @@ def test_name_sent_twice_loses_no_members(spark):
     raw = spark.createDataFrame([('{"common":{"mid":"a","ip":"1","ip":"2"},"page":{"page_id":"x"},"net":1,"ts":5}',)], "value string")
     row, = logs.split_tagged(parse.drop_bad(raw, record=parse.RECORD)).collect()
     assert json.loads(row.value) == {"common": {"mid": "a", "ip": "2"}, "page": {"page_id": "x"}, "net": 1, "ts": 5}
+
+
+def test_raw_scan_counts_only_puts_as_versions(spark):
+    log = [("r", "f", "q", "a", 1, "Put"), ("r", "f", "q", "b", 2, "Put"), ("r", "f", "q", "c", 3, "Put"),
+           ("r", "f", "q", None, 2, "DeleteColumn"), ("r", "f", "q", None, 4, "DeleteColumn"), ("r", "f", "q", None, 4, "Delete"),
+           ("r", "f", None, None, 1, "DeleteFamily"), ("s", "f", "q", None, 9, "DeleteColumn")]
+    made = spark.createDataFrame(log, "row string, family string, qualifier string, value string, ts long, type string")
+    shown = cells.scan(made, "r", "s", versions=2, raw=True)
+    assert sorted(map(tuple, shown.collect()), key=str) == sorted(log[1:7], key=str)

@@ -41,7 +41,7 @@ def _range(cells: DataFrame, start: str | None, stop: str | None) -> DataFrame:
 
 
 def _newest(cells: DataFrame, versions: int) -> DataFrame:
-    newest = Window.partitionBy(*_CELL).orderBy(F.col("ts").desc(), F.col("type"), F.col("value").desc_nulls_last())
+    newest = Window.partitionBy(*_CELL).orderBy(F.col("ts").desc(), F.col("value").desc_nulls_last())
     return cells.withColumn("_rank", F.row_number().over(newest)).where(F.col("_rank") <= versions).drop("_rank")
 
 
@@ -67,11 +67,13 @@ def scan(cells: DataFrame, start: str | None = None, stop: str | None = None, ve
          raw: bool = False) -> DataFrame:
     """Cells of the rows in ``[start, stop)``, up to ``versions`` newest versions of each column.
 
-    ``raw`` shows tombstones and what they hide. The row range reaches the scan of a stored table. Records of one
-    column and instant are ordered by value.
+    ``raw`` shows what tombstones hide, and all tombstones of the range; only puts count as versions. The row range
+    reaches the scan of a stored table. Records of one column and instant are ordered by value.
     """
     cells = _range(cells, start, stop)
-    return _newest(cells, versions) if raw else _live(cells, versions)
+    if not raw:
+        return _live(cells, versions)
+    return _newest(cells.where(F.col("type") == PUT), versions).unionByName(cells.where(F.col("type") != PUT))
 
 
 def latest(cells: DataFrame, row: str | None = None) -> DataFrame:

@@ -583,6 +583,23 @@ def cells_scan(spark, folder):
     return cells.scan(topics.cell_log(spark, folder), "1001", "5009", versions=2, raw=True)
 
 
+@query(f"""WITH {CELLS_SQL}, ranked AS (
+       SELECT *, (SELECT count(DISTINCT (q.ts, q.value)) FROM puts q WHERE q."row" = p."row" AND q.family = p.family
+                  AND q.qualifier = p.qualifier AND (q.ts > p.ts OR (q.ts = p.ts AND q.value > p.value))) AS newer,
+              row_number() OVER (PARTITION BY "row", family, qualifier, ts, value) AS copy
+       FROM puts p WHERE "row" >= '1001' AND "row" < '5009'),
+       shown AS (
+       SELECT * FROM ranked QUALIFY newer < 3 AND
+              row_number() OVER (PARTITION BY "row", family, qualifier ORDER BY newer, copy) <= 3)
+       SELECT "row", family, qualifier, value, ts, 'Put' AS type FROM shown
+       UNION ALL SELECT "row", CASE st WHEN 'F' THEN 'f1' ELSE 'f2' END, CASE st WHEN 'F' THEN 'status' END, NULL, ts,
+              CASE st WHEN 'F' THEN 'DeleteColumn' ELSE 'DeleteFamily' END
+       FROM gone WHERE "row" >= '1001' AND "row" < '5009'""")
+def cells_scan_versions(spark, folder):
+    """Only puts count as versions; every tombstone of the range is shown."""
+    return cells.scan(topics.cell_log(spark, folder), "1001", "5009", versions=3, raw=True)
+
+
 # ================================================================ functions
 
 @query("""SELECT event_id, strftime(ts, '%Y-%m-%d') AS day, strftime(ts, '%Y-%m-%d %H:%M:%S') AS time,
