@@ -1,6 +1,7 @@
 """From raw documents to packed training sequences, in stages that each write a table and read the one before.
 
-1. language: documents whose language the network cannot name (no letter, or hardly any confidence) go
+1. language: documents whose language the network cannot name (no letter, or hardly any confidence) go;
+   where no document has a language to learn from, only those without a letter go
 2. exact copies: of equal texts the row with the largest identifier stays
 3. near copies: of each group the document with the smallest identifier stays
 4. benchmark: documents that hold ten consecutive words of a benchmark item go
@@ -15,17 +16,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidehouse import session
-from tidehouse.llm import decontaminate, exact_copies, language, near_copies, packing
+from tidehouse.llm import arrow, decontaminate, exact_copies, language, near_copies, packing
 
-#: Least mean probability of the named language. Documents in one language score 0.5 and more, in any mixture of four 0.25.
-LEAST_SCORE = 0.3
+#: Least mean probability of the named language, as a part of the way from an even spread over all learned languages to
+#: certainty: 0.3 with four languages, 0.53 with two. With one language the network cannot doubt.
+LEAST_CONFIDENCE = 1 / 15
+
+
+def least_score(languages: int) -> float:
+    return 1 / languages + LEAST_CONFIDENCE * (1 - 1 / languages) if languages > 1 else 0.0
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    model = language.train(docs)
+    if model is None:
+        return docs.where(arrow.text_column().rlike(r"\p{L}"))
     names = [f"_c{i}" for i in range(len(docs.columns))]
-    found = language.languages_of(docs, language.train(docs), docs.columns).toDF(*names, "lang_pred", "score")
-    named = found.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SCORE))
-    return named.select(names).toDF(*docs.columns)
+    found = language.languages_of(docs, model, docs.columns).toDF(*names, "lang_pred", "score")
+    is_sure = F.col("score") >= least_score(len(model.languages))
+    return found.where((F.col("lang_pred") != language.UNKNOWN) & is_sure).select(names).toDF(*docs.columns)
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
