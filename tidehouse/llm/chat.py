@@ -126,13 +126,13 @@ def read_turns(formatted: Column) -> Column:
 
 
 def digests(formatted: DataFrame) -> DataFrame:
-    """What a formatted conversation holds, read back from its text and its loss mask's turns."""
+    """What a formatted conversation holds, read back from its text and, for the loss, from the spans of its mask."""
     turns = F.col("turns")
     every = F.array_join(F.transform(turns, lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
-    read = formatted.select("conv_id", read_turns(F.col("formatted")).alias("turns"),
+    under = F.transform("loss_spans", lambda s: unescape(
+        F.substr(F.col("formatted"), (s["start"] + 1).cast("int"), s["length"].cast("int"))))
+    read = formatted.select("conv_id", read_turns(F.col("formatted")).alias("turns"), F.array_join(under, "").alias("loss"),
                             F.char_length("formatted").cast("long").alias("formatted_chars"))
-    read = read.withColumn("loss", F.array_join(F.transform(F.filter(turns, lambda t: t["role"] == "assistant"),
-                                                            lambda t: t["text"]), ""))
     return read.select(
         "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(every.cast("binary"), 256).alias("turns_sha256"),
         F.char_length("loss").cast("long").alias("loss_chars"), F.sha2(F.col("loss").cast("binary"), 256).alias("loss_sha256"),
