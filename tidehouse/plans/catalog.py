@@ -572,13 +572,14 @@ def cells_latest(spark, folder):
     return cells.latest(topics.cell_log(spark, folder)).drop("type")
 
 
-@query(f"""WITH {CELLS_SQL}, every AS (
-       SELECT *, 'Put' AS type FROM puts
-       UNION ALL SELECT "row", 'f1', 'status', NULL, ts, 'DeleteColumn' FROM gone WHERE st = 'F'
-       UNION ALL SELECT "row", 'f2', NULL, NULL, ts, 'DeleteFamily' FROM gone WHERE st = 'O')
-       SELECT "row", family, qualifier, value, ts, type FROM every WHERE "row" >= '1001' AND "row" < '5009'
-       QUALIFY row_number() OVER (PARTITION BY "row", family, qualifier
-                                  ORDER BY ts DESC, type, value DESC NULLS LAST) <= 2""")
+@query(f"""WITH {CELLS_SQL}, newest AS (
+       SELECT * FROM puts WHERE "row" >= '1001' AND "row" < '5009'
+       QUALIFY row_number() OVER (PARTITION BY "row", family, qualifier ORDER BY ts DESC, value DESC NULLS LAST) <= 2)
+       SELECT "row", family, qualifier, value, ts, 'Put' AS type FROM newest
+       UNION ALL SELECT "row", 'f1', 'status', NULL, ts, 'DeleteColumn' FROM gone
+       WHERE st = 'F' AND "row" >= '1001' AND "row" < '5009'
+       UNION ALL SELECT "row", 'f2', NULL, NULL, ts, 'DeleteFamily' FROM gone
+       WHERE st = 'O' AND "row" >= '1001' AND "row" < '5009'""")
 def cells_scan(spark, folder):
     return cells.scan(topics.cell_log(spark, folder), "1001", "5009", versions=2, raw=True)
 
