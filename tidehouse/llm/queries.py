@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidehouse import session
-from tidehouse.llm import chat, decontaminate, exact_copies, language, near_copies, packing, passages, token_counts, token_files, url_filters
+from tidehouse.llm import (
+    chat, decontaminate, exact_copies, language, line_copies, near_copies, packing, passages, token_counts, token_files,
+    url_filters,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -122,3 +125,22 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = session.shared_dir(spark, "token-files")
     token_files.write_token_files(_table(spark, sf_dir, "documents"), folder)
     return token_files.read_token_files(spark, folder)
+
+
+@query
+def op12_line_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = line_copies.without_shared_lines(_table(spark, sf_dir, "documents"))
+    return left.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
+SQL["op12_line_copies"] = """
+WITH lines AS (SELECT doc_id, unnest(range(len(parts))) AS place, unnest(parts) AS line
+    FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents)),
+keyed AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM lines),
+shared AS (SELECT key, min(doc_id) AS first FROM keyed WHERE length(key) >= 10 GROUP BY key HAVING count(DISTINCT doc_id) >= 2),
+judged AS (SELECT keyed.*, first IS NOT NULL AND doc_id != first AS gone FROM keyed LEFT JOIN shared USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+    sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
+"""
