@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidehouse import session
 from tidehouse.llm import (
-    chat, decontaminate, exact_copies, language, line_copies, near_copies, packing, passages, token_counts, token_files,
-    url_filters,
+    chat, decontaminate, exact_copies, language, line_copies, manifest, near_copies, packing, passages, token_counts,
+    token_files, url_filters,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -127,6 +127,66 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(spark, folder)
 
 
+@query
+def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    is_hit = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    tampered = F.when(is_hit, line_copies.ascii_lower(F.col("text"))).otherwise(F.col("text"))
+    proofs = manifest.manifest(manifest.document_leaves(docs, text=tampered), "lang", "doc_id", "leaf", ["claimed"])
+    folded = proofs.withColumn("folded_root", manifest.fold(F.col("claimed"), F.col("proof")))
+    return folded.select("doc_id", "leaf", "subroot", "root", manifest.proof_digest(F.col("proof")).alias("proof_sha256"),
+                         "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+def _crc32_sql(numbers: str, name: str, most: int) -> str:
+    """Common table expressions that give crc32 of the decimal texts of ``numbers`` (query with a column ``v``)."""
+    return f"""crc_bytes AS (SELECT range AS b, range AS c, 0 AS k FROM range(256) UNION ALL
+        SELECT b, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM crc_bytes WHERE k < 8),
+    crc_table AS (SELECT b, c AS x FROM crc_bytes WHERE k = 8),
+    crc_steps AS (SELECT v, v::VARCHAR AS t, 0 AS i, 4294967295 AS c FROM (SELECT DISTINCT v FROM ({numbers})) UNION ALL
+        SELECT v, t, i + 1, xor(x, c >> 8) FROM crc_steps JOIN crc_table ON b = xor(c, ascii(substr(t, i + 1, 1))) & 255
+        WHERE i < length(t) AND i < {most}),
+    {name} AS (SELECT v, xor(c, 4294967295) AS crc FROM crc_steps WHERE i = length(t))"""
+
+
+_FRAMED = "coalesce(strlen({0}::VARCHAR) || ':' || {0}::VARCHAR, '-')"
+
+SQL["op11_manifest"] = f"""
+WITH RECURSIVE {_crc32_sql("SELECT doc_id AS v FROM documents", "crcs", 30)},
+leaves AS (SELECT doc_id, lang, sha256({" || ".join(_FRAMED.format(c) for c in manifest.DOCUMENT)}) AS leaf,
+    sha256({" || ".join(_FRAMED.format(c) for c in manifest.DOCUMENT[:4])} || {_FRAMED.format(
+        "(CASE WHEN crc % 3 = 0 THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END)")}) AS claimed
+    FROM documents LEFT JOIN crcs ON v = doc_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS r,
+    count(*) OVER (PARTITION BY lang) AS n FROM leaves),
+nodes AS (SELECT lang, 0 AS l, r, n, leaf AS node FROM ranked UNION ALL
+    SELECT lang, l + 1, r // 8, (n + 7) // 8, sha256(string_agg(node, '' ORDER BY r)) FROM nodes WHERE n > 1
+    GROUP BY lang, l, r // 8, n),
+tops AS (SELECT lang, l AS h, node AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS r,
+    count(*) OVER () AS n FROM nodes WHERE n = 1),
+upper AS (SELECT 0 AS l, r, n, subroot AS node FROM tops UNION ALL
+    SELECT l + 1, r // 8, (n + 7) // 8, sha256(string_agg(node, '' ORDER BY r)) FROM upper WHERE n > 1 GROUP BY l, r // 8, n),
+beside AS (SELECT lang, l, r, coalesce(string_agg(node, '') OVER (run ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS a,
+    coalesce(string_agg(node, '') OVER (run ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS z
+    FROM nodes WHERE n > 1 WINDOW run AS (PARTITION BY lang, l, r // 8 ORDER BY r)),
+above AS (SELECT l, r, coalesce(string_agg(node, '') OVER (run ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS a,
+    coalesce(string_agg(node, '') OVER (run ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS z
+    FROM upper WHERE n > 1 WINDOW run AS (PARTITION BY l, r // 8 ORDER BY r)),
+steps AS (SELECT ranked.lang, ranked.r, l, a, z FROM ranked JOIN beside
+    ON beside.lang IS NOT DISTINCT FROM ranked.lang AND beside.r = ranked.r // (8 ** l)::BIGINT
+    UNION ALL SELECT ranked.lang, ranked.r, h + l, a, z FROM ranked JOIN tops ON tops.lang IS NOT DISTINCT FROM ranked.lang
+    JOIN above ON above.r = tops.r // (8 ** l)::BIGINT),
+folds AS (SELECT lang, r, 0 AS l, claimed AS node FROM ranked UNION ALL
+    SELECT f.lang, f.r, f.l + 1, sha256(a || node || z) FROM folds f JOIN steps s
+    ON s.lang IS NOT DISTINCT FROM f.lang AND s.r = f.r AND s.l = f.l),
+proofs AS (SELECT lang, r, string_agg(a || z, '' ORDER BY l) AS siblings, count(*) AS depth FROM steps GROUP BY lang, r)
+SELECT doc_id, leaf, subroot, root, sha256(coalesce(siblings, '')) AS proof_sha256, f.node AS folded_root, f.node = root AS verified
+FROM ranked JOIN tops ON tops.lang IS NOT DISTINCT FROM ranked.lang CROSS JOIN (SELECT node AS root FROM upper WHERE n = 1)
+LEFT JOIN proofs p ON p.lang IS NOT DISTINCT FROM ranked.lang AND p.r = ranked.r
+JOIN folds f ON f.lang IS NOT DISTINCT FROM ranked.lang AND f.r = ranked.r AND f.l = coalesce(depth, 0)
+"""
+
+
 @query
 def op12_line_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = line_copies.without_shared_lines(_table(spark, sf_dir, "documents"))
