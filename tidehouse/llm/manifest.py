@@ -30,8 +30,8 @@ from tidehouse import session
 #: Children of a node, and digits grouped away per block: 512 nodes.
 FAN, DIGITS = 8, 3
 BLOCK = FAN ** DIGITS
-#: Heights that a 64-bit count can have.
-_HEIGHTS = range(21)
+#: Height of the tree of as many rows as a 64-bit count can have.
+HIGHEST = 20
 
 #: The columns that make a document's leaf, in order.
 DOCUMENT = ("doc_id", "source", "lang", "n_chars", "text")
@@ -89,7 +89,7 @@ def _rolled(nodes: DataFrame, payload: Sequence[str] = ()) -> DataFrame:
 
     ``_height`` is how many levels of the group's tree are left; a grouping beyond it passes its only child's digest on.
     """
-    height = sum((F.when(F.col("_size") > FAN ** k, 1).otherwise(0) for k in _HEIGHTS), F.lit(0))
+    height = F.expr(f"size(filter(sequence(0, {HIGHEST}), k -> _size > shiftleft(1L, 3 * k)))")
     digits = [F.shiftright("_rank", 3 * k).bitwiseAND(F.lit(FAN - 1)).alias(f"_d{k}") for k in range(DIGITS)]
     rows = nodes.select("_g", F.shiftright("_rank", 3 * DIGITS).alias("_block"), "_size", height.alias("_height"), "_node",
                         *digits, *payload).repartition("_g", "_block")
