@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidehouse import session
 from tidehouse.llm import (
-    chat, decontaminate, exact_copies, language, line_copies, manifest, near_copies, packing, passages, token_counts,
-    token_files, url_filters,
+    chat, conversation_repair, decontaminate, exact_copies, language, line_copies, manifest, near_copies, packing,
+    passages, token_counts, token_files, url_filters,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -204,3 +204,62 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
     sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT gone), '')) AS kept_sha256
 FROM judged GROUP BY doc_id
 """
+
+
+@query
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "conversations")
+    fixed = conversation_repair.repair(conversation_repair.damaged(rows))
+    found = fixed.summary.join(conversation_repair.row_digests(fixed.rows).withColumnRenamed("conv_id", "_c"),
+                               F.col("conv_id").eqNullSafe(F.col("_c")), "left").drop("_c")
+    found = found.withColumnRenamed("conv_id", "_c")
+    every = rows.select(F.col("conv_id").cast("long").alias("conv_id")).distinct()
+    whole = every.join(found, F.col("conv_id").eqNullSafe(F.col("_c")), "left")
+    return whole.select(
+        "conv_id", *(F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")),
+        F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit(b""), 256)).alias("repaired_sha256"))
+
+
+SQL["op13_conversation_repair"] = f"""
+WITH RECURSIVE given AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS v FROM conversations),
+{_crc32_sql("SELECT v FROM given", "crcs", 60)},
+damaged AS (SELECT conv_id, turn, CASE WHEN crc % 20 = 4 THEN 'user' ELSE role END AS role,
+    CASE crc % 20 WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(range(CASE crc % 20 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM given JOIN crcs USING (v) WHERE crc % 20 != 0),
+placed AS (SELECT *, left(role, 1) AS i, trim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS bare,
+    row_number() OVER own AS p, lag(left(role, 1)) OVER own AS i_before,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS nth
+    FROM damaged WINDOW own AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy)),
+judged AS (SELECT *, CASE WHEN bare = '' THEN 'blank' WHEN nth > 1 THEN 'duplicate'
+    WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault FROM placed),
+inserts(st, mid, ops, c, made) AS (VALUES (0, 0, '', 0, []), (1, 1, '', 0, []), (2, 2, '', 0, []), (3, 3, '', 0, []),
+    (0, 2, 'I', 5, ['user:']), (0, 3, 'II', 10, ['user:', 'assistant:']), (1, 2, 'I', 5, ['user:']),
+    (1, 3, 'II', 10, ['user:', 'assistant:']), (2, 3, 'I', 5, ['assistant:']), (3, 2, 'I', 5, ['user:'])),
+edits(mid, op, role_i, nx) AS (VALUES (0, 'K', 's', 1), (0, 'K', 'u', 2), (1, 'K', 'u', 2), (3, 'K', 'u', 2), (2, 'K', 'a', 3),
+    (0, 'R', NULL, 2), (1, 'R', NULL, 2), (3, 'R', NULL, 2), (2, 'R', NULL, 3),
+    (0, 'D', NULL, 0), (1, 'D', NULL, 1), (2, 'D', NULL, 2), (3, 'D', NULL, 3)),
+best AS (SELECT conv_id, 0 AS p, 0 AS st, {{'cost': 0, 'audit': '', 'made': []::VARCHAR[]}} AS b FROM (SELECT DISTINCT conv_id FROM judged)
+    UNION ALL SELECT best.conv_id, best.p + 1, nx, min({{
+        'cost': b.cost + inserts.c + CASE op WHEN 'D' THEN 2 WHEN 'R' THEN 1 ELSE 0 END
+            + CASE WHEN op != 'D' AND fault = 'truncated' THEN 5 ELSE 0 END,
+        'audit': b.audit || ops || op,
+        'made': b.made || inserts.made::VARCHAR[] || CASE op WHEN 'D' THEN []::VARCHAR[] WHEN 'K' THEN [role || ':' || text]
+            ELSE [CASE nx WHEN 2 THEN 'user:' ELSE 'assistant:' END || text] END}})
+    FROM best JOIN judged j ON j.conv_id IS NOT DISTINCT FROM best.conv_id AND j.p = best.p + 1
+    JOIN inserts USING (st) JOIN edits USING (mid)
+    WHERE (op = 'D' OR fault NOT IN ('blank', 'duplicate')) AND (role_i IS NULL OR role_i = j.i)
+    GROUP BY best.conv_id, best.p, nx),
+sums AS (SELECT conv_id, max(p) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+    count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (p > 1 AND i_before || i NOT IN ('su', 'ua', 'au')) AS illegal FROM judged GROUP BY conv_id),
+ends AS (SELECT best.conv_id, min({{'cost': b.cost + c, 'audit': b.audit || ops, 'made': b.made || inserts.made::VARCHAR[]}}) AS e
+    FROM best JOIN sums ON sums.conv_id IS NOT DISTINCT FROM best.conv_id AND best.p = n JOIN inserts USING (st)
+    WHERE mid IN (0, 3) GROUP BY best.conv_id)
+SELECT every.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+    coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(e.cost, 0)::BIGINT AS cost,
+    coalesce(e.audit, '') AS audit, sha256(coalesce(array_to_string(e.made, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) every LEFT JOIN sums ON sums.conv_id IS NOT DISTINCT FROM every.conv_id
+LEFT JOIN ends ON ends.conv_id IS NOT DISTINCT FROM every.conv_id
+"""
