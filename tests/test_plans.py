@@ -167,3 +167,23 @@ def test_play_sessions_merge_few_rows(spark):
     assert plan(df).count("Exchange hashpartitioning") == 2
     row, = df.collect()
     assert (row.playSec, row.positionSec) == (5000, 4999)
+
+
+def test_first_logins_of_a_hot_device(spark, tmp_path):
+    """No array of a device's rows anywhere, joins on unique (device, time), and the right chain for a device that is always on."""
+    from tidehouse.operators import user
+    rng = random.Random(8)
+    day = 86_400_000
+    times = sorted(rng.randrange(70 * day) for _ in range(15_000))
+    rows = [("hot", t) for t in times] + [(f"k{n % 900}", rng.randrange(70 * day)) for n in range(5_000)]
+    df = spark.createDataFrame([(m, "u", t) for m, t in rows * 2], "mid string, uid string, ts bigint").select(
+        F.struct("mid", "uid").alias("common"), F.struct(F.lit("p").alias("page_id")).alias("page"), "ts")
+    opened = user.first_login(df.repartition(6))
+    text = plan(opened) + plan(user._following(df.select(F.col("common.mid").alias("_key"), F.col("ts").alias("_ts")), day, day // 24))
+    assert "collect_list" not in text and "collect_set" not in text and "InArrow" not in text
+    want, last = [], -day
+    for t in times:
+        if t >= last + day:
+            want.append(t)
+            last = t
+    assert sorted(r.ts for r in opened.where("common.mid = 'hot'").collect()) == want

@@ -2,69 +2,109 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import math
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidehouse import schemas
+from tidehouse import schemas, session
 from tidehouse.functions import timefns
 from tidehouse.operators import changelog, logs
 
-_NEVER = -(2 ** 62)
-_ALWAYS = 2 ** 62
+#: Later than any time.
+_NEVER = 2 ** 62
 
 
 # ---------------------------------------------------------------- first login
 
-def _path(items: Column, hold_ms: int, reached: Callable[[Column, Column], Column],
-          pick: Callable[[Column, Column], Column]) -> Column:
-    """Walk over a sorted array: take a pick from the first item that reaches the threshold, move the threshold to
-    ``hold_ms`` after the pick, and go on. Gives the array of picks."""
-    start = F.struct(F.lit(_NEVER).cast("bigint").alias("next"), F.array().cast("array<bigint>").alias("picks"))
+def _start(at: Column, width: int) -> Column:
+    """Where the time slot begins that ``at`` is in."""
+    return at - F.pmod(at, F.lit(width))
 
-    def step(state: Column, item: Column) -> Column:
-        value = pick(item, state["next"])
-        moved = F.struct((value + hold_ms).alias("next"), F.concat(state["picks"], F.array(value)).alias("picks"))
-        return F.when(reached(item, state["next"]), moved).otherwise(state)
 
-    return F.aggregate(items, start, step, lambda state: state["picks"])
+def _following(times: DataFrame, hold_ms: int, slot_ms: int) -> DataFrame:
+    """Every distinct time ``(_key, _ts)`` with ``_next``, the first time of its key at least ``hold_ms`` later, and whether
+    it is the first of its slot.
 
-
-def login_times(logins: DataFrame, key: Column, hold: str = "1 day", slots_per_hold: int = 8640) -> DataFrame:
+    A threshold lies in exactly one slot, so slots are looked at one by one, however many rows a key has: thresholds and
+    times of a slot stand in one order, beside the first time of any later slot for thresholds beyond its last time.
+    """
+    slot = Window.partitionBy("_key", "_slot")
+    times = times.select("_key", _start(F.col("_ts"), slot_ms).alias("_slot"), "_ts").distinct()
+    times = times.withColumn("_first", F.min("_ts").over(slot))
+    firsts = times.where("_ts = _first").select("_key", "_slot", "_first")
+    asks = firsts.select("_key", (F.col("_slot") + hold_ms).alias("_slot"), F.lit(None).cast("bigint").alias("_first"))
+    down = Window.partitionBy("_key").orderBy(F.col("_slot").desc(), F.col("_first").asc_nulls_first())  # one row per slot
+    later = firsts.unionByName(asks).withColumn("_later", F.last("_first", True).over(
+        down.rowsBetween(Window.unboundedPreceding, Window.currentRow))).where(F.col("_first").isNull())
+
+    none = F.lit(None).cast("bigint")
+    shown = [
+        times.select("_key", "_slot", F.col("_ts").alias("_at"), F.col("_ts").alias("_found"), none.alias("_ts"), none.alias("_first")),
+        later.select("_key", "_slot", F.lit(_NEVER).alias("_at"), F.col("_later").alias("_found"), none.alias("_ts"), none.alias("_first")),
+        times.select("_key", (F.col("_slot") + hold_ms).alias("_slot"), (F.col("_ts") + hold_ms).alias("_at"), none.alias("_found"),
+                     "_ts", "_first"),
+    ]
+    backwards = slot.orderBy(F.col("_at").desc(), F.col("_ts").asc_nulls_first()).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    answered = shown[0].unionByName(shown[1]).unionByName(shown[2]).withColumn("_next", F.last("_found", True).over(backwards))
+    return answered.where(F.col("_ts").isNotNull()).select("_key", "_ts", "_next", (F.col("_ts") == F.col("_first")).alias("_is_first"))
+
+
+def login_times(logins: DataFrame, key: Column, hold: str = "1 day", slots_per_hold: int = 24) -> DataFrame:
     """Opening times ``(_key, _ts)`` of the login episodes of every key: the first row opens one, and so does the first
     row at least ``hold`` after the last opening.
 
-    Every opening depends on the one before it, so a key is walked in order; but not row by row. Rows are first reduced
-    to the smallest and largest time per key and time slot, which bounds what one key brings along by elapsed time and
-    not by its rows. Walking over slots gives a lower and an upper bound for every opening. For a key whose bounds
-    agree (any key with at most one row per slot near its openings) that is the answer. For the others, the distinct
-    times in the slots between the bounds are fetched, and the walk is repeated on those.
+    Every opening depends on the one before it, but a period of ``hold`` has one opening at most. So each period has a
+    transition table: for each time that may open there, where the chain goes next. Tables of two neighbouring spans are
+    composed into one for twice the span by a join on key and time, until one span holds everything; only times that the
+    chain can enter a span by are kept, which halves the rows each round. Then the first time of every key is followed back
+    down, one span size after the other. Joins meet unique (key, time) pairs and windows hold one slot of one key, so a
+    device with any share of all rows is spread; rounds grow with the logarithm of the time covered.
+
+    Tables of the rounds are written to the shared folder while this is called. ``slots_per_hold`` cuts a period into
+    slots that are looked at apart.
     """
     hold_ms = timefns.duration_ms(hold)
-    slot_ms = max(1, hold_ms // slots_per_hold)
-    rows = logins.select(key.alias("_key"), F.col("ts").alias("_ts"), F.floor(F.col("ts") / F.lit(slot_ms)).alias("_slot"))
-
-    slots = rows.groupBy("_key", "_slot").agg(F.min("_ts").alias("lo"), F.max("_ts").alias("hi"))
-    walked = slots.groupBy("_key").agg(F.array_sort(F.collect_list(F.struct("lo", "hi", "_slot"))).alias("slots")) \
-        .withColumn("early", _path(F.col("slots"), hold_ms, lambda s, at: s["hi"] >= at,
-                                   lambda s, at: F.greatest(s["lo"], at))) \
-        .withColumn("late", _path(F.col("slots"), hold_ms, lambda s, at: s["hi"] >= at,
-                                  lambda s, at: F.when(s["lo"] >= at, s["lo"]).otherwise(s["hi"])))
-    agreed = F.col("early") == F.col("late")
-    exact = walked.where(agreed).select("_key", F.explode("early").alias("_ts"))
-
-    bounds = F.arrays_zip(F.col("early").alias("early"), F.col("late").alias("late"))
-    open_slots = F.filter("slots", lambda s: F.exists(bounds, lambda b: (s["hi"] >= b["early"]) & (
-        s["lo"] <= F.coalesce(b["late"], F.lit(_ALWAYS)))))
-    wanted = walked.where(~agreed).select("_key", F.explode(F.transform(open_slots, lambda s: s["_slot"])).alias("_slot"))
-    times = rows.join(wanted, ["_key", "_slot"], "left_semi").select("_key", "_ts").distinct()
-    refined = times.groupBy("_key").agg(F.array_sort(F.collect_list("_ts")).alias("times")) \
-        .select("_key", F.explode(_path(F.col("times"), hold_ms, lambda t, at: t >= at, lambda t, at: t)).alias("_ts"))
-    return exact.unionByName(refined)
+    slot_ms = hold_ms // math.gcd(hold_ms, slots_per_hold)
+    rows = logins.select(key.alias("_key"), F.col("ts").cast("bigint").alias("_ts")).where("_key is not null and _ts is not null")
+    path = session.shared_dir(logins.sparkSession, "logins")
+
+    def written(table: DataFrame, name: str) -> DataFrame:
+        table.write.parquet(f"{path}/{name}")
+        return logins.sparkSession.read.schema(table.schema).parquet(f"{path}/{name}")
+
+    tables = [written(_following(rows, hold_ms, slot_ms), "0")]
+    least, most = tables[0].agg(F.min("_ts"), F.max("_ts")).first()
+    if least is None:
+        return tables[0].select("_key", "_ts")
+    base, width = least - least % hold_ms, hold_ms
+
+    def span(at: Column) -> Column:
+        return _start(at - base, width)
+
+    while base + width <= most:
+        width *= 2
+        inside = F.col("_next").isNotNull() & (span(F.col("_ts")) == span(F.col("_next")))
+        entries = tables[-1].where(F.col("_is_first") | (F.pmod(F.col("_ts") - base, F.lit(width)) < hold_ms))
+        onward = tables[-1].select(F.col("_key").alias("_k"), F.col("_ts").alias("_t"), F.col("_next").alias("_after"))
+        met = entries.join(onward, inside & (F.col("_key") == F.col("_k")) & (F.col("_next") == F.col("_t")), "left")
+        after = F.when(inside, F.col("_after")).otherwise(F.col("_next"))
+        tables.append(written(met.select("_key", "_ts", after.alias("_next"), "_is_first"), str(len(tables))))
+
+    opened = tables[-1].groupBy("_key").agg(F.min("_ts").alias("_ts"))
+    for table in reversed(tables[:-1]):
+        inside = F.col("_next").isNotNull() & (span(F.col("_ts")) == span(F.col("_next")))
+        steps = table.where(inside).select(F.col("_key").alias("_k"), F.col("_ts").alias("_t"), "_next")
+        both = F.when(F.col("_next").isNull(), F.array("_ts")).otherwise(F.array("_ts", "_next"))
+        opened = opened.join(steps, (F.col("_key") == F.col("_k")) & (F.col("_ts") == F.col("_t")), "left").select(
+            "_key", F.explode(both).alias("_ts"))
+        width //= 2
+    return opened
 
 
 def first_login(df: DataFrame, key: str = "common.mid", hold: str = "1 day", wait: str = "10 seconds",
-                tie: Sequence[str] = (), slots_per_hold: int = 8640) -> DataFrame:
+                tie: Sequence[str] = (), slots_per_hold: int = 24) -> DataFrame:
     """First page view with a user id per device, and again after ``hold`` without an opening.
 
     ``wait`` is how long a stream keeps an episode open for rows that arrive late but happened earlier; in batch all

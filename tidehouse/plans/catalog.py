@@ -271,7 +271,7 @@ def first_login(spark, folder):
 
 @query(_LOGINS)
 def first_login_coarse_slots(spark, folder):
-    """Slots so coarse that bounds disagree and the second walk is needed."""
+    """Slots of a third of the period."""
     return user.first_login(topics.page_log(spark, folder), tie=["event_id"], slots_per_hold=3).select(
         "common.mid", "ts", "event_id")
 
