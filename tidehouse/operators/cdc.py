@@ -54,7 +54,7 @@ def route_detail(events: DataFrame, rules: DataFrame, mode: str = "exact") -> Da
 
 
 def route_dim(events: DataFrame, rules: DataFrame, apply_deletes: bool = False) -> DataFrame:
-    """Events that a dimension rule names by table, as ``(sink_table, sink_pk, type, ts, data)``.
+    """Events that a dimension rule names by table, as ``(sink_table, sink_pk, type, ts, data)``; a position goes along.
 
     Any operation passes, so a deleted row is written like any other; with ``apply_deletes`` the operation is kept in
     ``deleted`` for the sink to act upon.
@@ -65,5 +65,6 @@ def route_dim(events: DataFrame, rules: DataFrame, apply_deletes: bool = False)
         probe_rows=sized.RULE_ROWS)
     matched = events.where(F.col("type").isNotNull()).join(rule, F.col("table") == F.col("_table"))
     deleted = (F.col("type") == "delete") if apply_deletes else F.lit(False)
+    place = [name for name in ("pos",) if name in events.columns]
     return whitelist(matched, F.col("_columns")).select(
-        "sink_table", "sink_pk", "type", "ts", deleted.alias("deleted"), "data")
+        "sink_table", "sink_pk", "type", "ts", deleted.alias("deleted"), "data", *place)

@@ -23,10 +23,8 @@ def compact(spark: SparkSession, source: str, target: str, key: Sequence[str] |
             order: Sequence[str] | str) -> DataFrame:
     """Write the latest rows of an upsert log to a new folder and return that table, as ``sinks.read_upserted`` gives it.
 
-    The target is a table, not a log: a stream goes on writing to ``source``.
+    The target is a table, not a log: a stream goes on writing to ``source``. ``sinks.compact_upserted`` folds a log in place.
     """
-    log = spark.read.parquet(source)
-    order = [order] if isinstance(order, str) else list(order)
-    batch = [name for name in ("batch",) if name in log.columns]  # of equally new rows the later batch's counts
-    latest_by_key(log, key, [*order, *batch]).drop(*batch).write.mode("overwrite").parquet(target)
+    from tidehouse import sinks
+    sinks.read_upserted(spark, source, key, order).write.mode("overwrite").parquet(target)
     return spark.read.parquet(target)

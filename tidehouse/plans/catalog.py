@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidehouse import schemas, session, sinks
+from tidehouse import schemas, session, sinks, sources
 from tidehouse.functions import textfns, timefns
 from tidehouse.operators import cdc, cells, changelog, config, dim, keywords, learn, logs, parse, trade, traffic, user
 from tidehouse.operators import window_sums
@@ -646,6 +646,71 @@ def dim_sink(spark, folder):
     return dim.read_dim(spark, path, "dim_user_info", "id,name,nation,segment")
 
 
+@query("""WITH placed AS (SELECT *, row_number() OVER () AS pos FROM events)
+       SELECT user_id, strftime(ts, '%Y-%m-%d') AS day, event_type, event_id FROM placed
+       QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY strftime(ts, '%Y-%m') DESC, pos DESC) = 1""")
+def latest_by_key_same_time(spark, folder):
+    """Events that only know their month: of equal times the one later in the file counts."""
+    events = sources.with_position(spark.read.parquet(f"{folder}/events.parquet")).select(
+        "user_id", F.date_format("ts", "yyyy-MM-dd").alias("day"), "event_type", "event_id",
+        F.date_format("ts", "yyyy-MM").alias("month"), "pos")
+    return changelog.latest_by_key(events, "user_id", ["month", "pos"]).drop("month", "pos")
+
+
+_PLACED_RULE = {"source_table": "account", "sink_table": "dim_account", "sink_columns": "id,priority,status", "sink_pk": "id",
+                "sink_extend": None}
+_PLACED_SQL = """WITH placed AS (SELECT *, row_number() OVER () AS pos, CAST(o_custkey AS VARCHAR) AS id,
+         o_orderstatus = 'P' AND o_orderkey % 5 = 0 AS gone FROM orders),
+       removed AS (SELECT id, max(pos) FILTER (gone) AS last_gone FROM placed GROUP BY id),
+       writes AS (SELECT p.* FROM placed p JOIN removed USING (id) WHERE NOT gone AND pos > coalesce(last_gone, 0))
+       SELECT id, arg_max(o_orderpriority, pos) FILTER (o_orderstatus <> 'F') AS priority,
+              arg_max(o_orderstatus, pos) AS status FROM writes GROUP BY id"""
+
+
+def _account_changes(spark, folder, where: str = "true") -> DataFrame:
+    """Partial updates and removals of accounts made from orders, all of one instant: only positions tell them apart."""
+    orders = sources.with_position(spark.read.parquet(f"{folder}/orders.parquet")).where(where)
+    data = F.create_map(F.lit("id"), F.col("o_custkey").cast("string"), F.lit("priority"),
+                        F.when(F.col("o_orderstatus") != "F", F.col("o_orderpriority")), F.lit("status"), F.col("o_orderstatus"))
+    gone = (F.col("o_orderstatus") == "P") & (F.col("o_orderkey") % 5 == 0)
+    events = orders.select(F.lit("edu").alias("database"), F.lit("account").alias("table"),
+                           F.when(gone, "delete").otherwise("update").alias("type"), data.alias("data"), F.lit("7").alias("ts"), "pos")
+    return cdc.route_dim(events, spark.createDataFrame([_PLACED_RULE], schemas.DIM_RULE), apply_deletes=True)
+
+
+@query(_PLACED_SQL)
+def dim_sink_same_time(spark, folder):
+    """Writes and removals of one instant, in two batches of which the first holds the later rows."""
+    root = session.shared_dir(spark, "accounts")
+    for number, part in enumerate(("o_orderkey % 2 = 1", "o_orderkey % 2 = 0")):
+        dim.upsert_dims(_account_changes(spark, folder, part), number, root, [_PLACED_RULE])
+    return dim.read_dim(spark, root, "dim_account", "id,priority,status")
+
+
+@query(_PLACED_SQL)
+def dim_sink_compacted(spark, folder):
+    """The same over a level that stands for two batches, and a batch that came later."""
+    root = session.shared_dir(spark, "accounts")
+    for number in range(3):
+        if number == 2:
+            dim.compact_dim(spark, root, "dim_account", "id,priority,status")
+        dim.upsert_dims(_account_changes(spark, folder, f"o_orderkey % 3 = {number}"), number, root, [_PLACED_RULE])
+    return dim.read_dim(spark, root, "dim_account", "id,priority,status")
+
+
+@query(SQL["latest_by_key"])
+def upsert_compacted(spark, folder):
+    """An upsert log of a level that stands for two batches, and of later batches beside it."""
+    orders = stored(spark, folder, "orders").select(
+        "o_custkey", "o_orderkey", "o_orderstatus", F.date_format("o_orderdate", "yyyy-MM-dd").alias("o_day"))
+    path, order = session.shared_dir(spark, "upsert"), ["o_day", "o_orderkey"]
+    for number in range(4):
+        if number == 2:
+            sinks.compact_upserted(spark, path, "o_custkey", order)
+        sinks.upsert(orders.where(F.col("o_orderkey") % 4 == number), path, "o_custkey", order)
+    return sinks.read_upserted(spark, path, "o_custkey", order)
+
+
 @query(f"""WITH {CHANGES_SQL} SELECT 'dwd_order_info' AS sink_table,
        '{{"id":"' || id || '","session_id":"' || session_id || '","ts":"' || ts || '"}}' AS value FROM order_info
        UNION ALL SELECT 'dwd_user', '{{"id":"' || id || '","name":"' || name || '","ts":"' || ts || '"}}'

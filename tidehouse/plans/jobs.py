@@ -100,11 +100,11 @@ def route_changes(raw: DataFrame, load_rules: Callable[[], DataFrame], out: str,
 def sink_dims(raw: DataFrame, load_rules: Callable[[], DataFrame], out: str, checkpoint: str,
               apply_deletes: bool = False, trigger: dict | None = None) -> StreamingQuery:
     """Change events -> dimension tables. Rules are read anew for every batch; their tables are made on first sight."""
-    def write(batch: DataFrame, batch_id: int) -> None:
+    def write(batch: DataFrame, writer: str, number: int | None) -> None:
         rules = load_rules()
         # The rule table is small configuration, one row per source table; it names the columns to write.
         listed = [row.asDict() for row in rules.collect()]
-        dim.upsert_dims(cdc.route_dim(batch, rules, apply_deletes), batch_id, out, listed)
+        dim.upsert_dims(cdc.route_dim(batch, rules, apply_deletes), number, out, listed, writer)
 
     return sinks.for_each_batch(cdc.drop_control(_events(raw), keep_snapshot_rows=True), write, f"{checkpoint}/dims",
                                 trigger)

@@ -2,6 +2,8 @@
 
 from tidehouse.sinks.files import (  # noqa: F401
     append,
+    batch_name,
+    compact_upserted,
     fan_out,
     for_each_batch,
     kafka_message,
@@ -14,3 +16,4 @@ from tidehouse.sinks.files import (  # noqa: F401
     to_kafka,
     upsert,
 )
+from tidehouse.sinks.keyed_log import KeyedLog, writer_of  # noqa: F401

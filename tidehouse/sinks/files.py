@@ -5,16 +5,16 @@ The Kafka sink of Spark is at-least-once; ``kafka_message`` therefore gives mess
 
 from __future__ import annotations
 
-import time
-import zlib
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidehouse.operators import changelog
+from tidehouse.sinks import keyed_log
 
-BATCH = "batch"
+BATCH = keyed_log.BATCH
 
 
 def to_json_value(df: DataFrame, *carry: str) -> DataFrame:
@@ -80,8 +80,8 @@ def routed(df: DataFrame, path: str, checkpoint: str | None = None, trigger: dic
     With ``route``, ``df`` holds events and ``route`` is applied to every batch anew, so that rules may change while
     the stream runs. A batch that is retried replaces its own folders.
     """
-    def write(batch: DataFrame, batch_id: int) -> None:
-        rows = routed_text(route(batch) if route else batch).withColumn(BATCH, F.lit(batch_id).cast("bigint"))
+    def write(batch: DataFrame, writer: str, number: int | None) -> None:
+        rows = routed_text(route(batch) if route else batch).withColumn(BATCH, F.lit(batch_name(writer, number)))
         rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
             .partitionBy("sink_table", BATCH).text(path)
 
@@ -94,58 +94,68 @@ def fan_out(tagged: DataFrame, path: str, checkpoint: str | None = None,
     return append(tagged.select("output", "value"), path, checkpoint, "text", trigger, ["output"])
 
 
-def stream_batch(checkpoint: str, number: int) -> int:
-    """The number of a stream's batch in a log: the same on a retry, and never one of another checkpoint's."""
-    return (zlib.crc32(checkpoint.rstrip("/").encode()) & 0x1FFFFFFF) << 31 | number
-
-
 def for_each_batch(df: DataFrame, write, checkpoint: str | None, trigger: dict | None) -> StreamingQuery | None:
-    """Call ``write(rows, batch)`` once for a table, or for every batch of a stream.
+    """Call ``write(rows, writer, number)`` once for a table, or for every batch of a stream.
 
-    A call with a table is a batch of its own, later than what is there; a stream's batch keeps its number on a retry.
+    A stream's writer is named after its checkpoint and its batch keeps its number on a retry; a call with a table is a
+    writer of its own, without a number.
     """
     if not df.isStreaming:
-        write(df, time.time_ns())
+        write(df, uuid.uuid4().hex[:12], None)
         return None
     if checkpoint is None:
         raise ValueError("a stream needs a checkpoint folder")
-    numbered = lambda batch, number: write(batch, stream_batch(checkpoint, number))
-    return _start(df.writeStream.option("checkpointLocation", checkpoint).foreachBatch(numbered), trigger)
+    writer = keyed_log.writer_of(checkpoint)
+    return _start(df.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
+        lambda batch, number: write(batch, writer, number)), trigger)
+
+
+def batch_name(writer: str, number: int | None) -> str:
+    return f"{writer}-{0 if number is None else number:09d}"
 
 
 def upsert(df: DataFrame, path: str, key: Sequence[str] | str, order: Sequence[str] | str,
            checkpoint: str | None = None, trigger: dict | None = None) -> StreamingQuery | None:
     """Upsert by key: every batch adds its latest row per key to a log; ``read_upserted`` gives the table.
 
-    A batch costs its own rows, whatever the size of the table. A batch that is retried replaces its own folder.
+    A batch costs its own rows, whatever the size of the table, and a batch that is retried counts once.
+    ``compact_upserted`` shrinks the log while streams go on writing to it.
     """
-    def write(batch: DataFrame, batch_id: int) -> None:
-        changelog.latest_by_key(batch, key, order).write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
+    def write(batch: DataFrame, writer: str, number: int | None) -> None:
+        keyed_log.KeyedLog(batch.sparkSession, path).append(changelog.latest_by_key(batch, key, order), writer, number)
 
     return for_each_batch(df, write, checkpoint, trigger)
 
 
 def read_upserted(spark: SparkSession, path: str, key: Sequence[str] | str, order: Sequence[str] | str) -> DataFrame:
-    """The table an upsert log stands for; of equally new rows the one of the later batch counts."""
+    """The table an upsert log stands for; of equally new rows the one written later counts."""
     order = [order] if isinstance(order, str) else list(order)
-    return changelog.latest_by_key(spark.read.parquet(path), key, [*order, BATCH]).drop(BATCH)
+    return changelog.latest_by_key(keyed_log.KeyedLog(spark, path).read(), key, [*order, keyed_log.AT]).drop(keyed_log.AT)
+
+
+def compact_upserted(spark: SparkSession, path: str, key: Sequence[str] | str, order: Sequence[str] | str) -> int:
+    """Fold an upsert log's batches into one level with one row per key; gives how many batches and levels it replaces."""
+    order = [order] if isinstance(order, str) else list(order)
+    return keyed_log.KeyedLog(spark, path).compact(lambda rows: changelog.latest_by_key(rows, key, [*order, keyed_log.AT]))
 
 
 def ordered_append(df: DataFrame, path: str, columns: Sequence[str], transient: Sequence[str] = (),
                    checkpoint: str | None = None, trigger: dict | None = None,
-                   jdbc: dict[str, str] | None = None) -> StreamingQuery | None:
-    """Append declared columns in declared order, transient ones left out.
+                   jdbc: dict[str, str] | None = None,
+                   each: Callable[[DataFrame], DataFrame] | None = None) -> StreamingQuery | None:
+    """Append declared columns in declared order, transient ones left out. ``each`` is applied to every batch anew, so
+    that what it reads, as a dimension, is as of that batch.
 
     To parquet at ``path``, or over JDBC with ``path`` as table name and ``jdbc`` as options (``batchsize`` sets rows per
     round trip; the trigger sets the interval).
     """
     chosen: list[str | Column] = [name for name in columns if name not in transient]
-    rows = df.select(*chosen)
 
-    def write(batch: DataFrame, batch_id: int) -> None:
+    def write(batch: DataFrame, writer: str, number: int | None) -> None:
+        rows = (each(batch) if each else batch).select(*chosen)
         if jdbc is not None:
-            batch.write.format("jdbc").options(dbtable=path, **jdbc).mode("append").save()
+            rows.write.format("jdbc").options(dbtable=path, **jdbc).mode("append").save()
         else:
-            batch.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
+            rows.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_name(writer, number)}")
 
-    return for_each_batch(rows, write, checkpoint, trigger)
+    return for_each_batch(df, write, checkpoint, trigger)
