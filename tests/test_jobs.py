@@ -80,7 +80,7 @@ def test_summary_layer(spark, tmp_path):
     names = spark.createDataFrame([("2", "web")], "ID string, SOURCE_SITE string")
     areas = spark.createDataFrame([("9", "nowhere")], "ID string, NAME string")
     done(jobs.traffic_sums(topic(spark, src), topic(spark, str(tmp_path / "uv")), topic(spark, str(tmp_path / "jump")),
-                           names, areas, out, cp, delay="10 minutes", tz="UTC"))
+                           names, areas, out, cp, delay="10 minutes", tz="UTC", one_watermark=False))
     got = spark.read.parquet(f"{out}/{jobs.TRAFFIC_SUMS}")
     assert tuple(got.columns[:-1]) == schemas.TRAFFIC_COLUMNS
     want = window_sums.with_names(window_sums.traffic_window(records, visitors, jumps, tz="UTC"), names, areas)
@@ -222,3 +222,33 @@ def test_table_jobs_are_strict_and_know_the_unit_of_time(spark, tmp_path):
     assert rows["d1"].source_id == "2"  # log times are milliseconds, and the two meet
     with pytest.raises(ValueError, match="ts_unit"):
         jobs.order_detail(topic(spark, db), topic(spark, log), out, str(tmp_path / "cp3"), ts_unit="m")
+
+
+def test_a_quiet_topic_and_a_dimension_that_changes_between_batches(spark, tmp_path):
+    """One watermark over the union: no visitor ever comes, and windows close all the same. Names are those of the batch."""
+    src, root, out, cp = (str(tmp_path / name) for name in ("src", "dims", "out", "cp"))
+    quiet = tmp_path / "quiet"
+    quiet.mkdir()
+    rule = {"source_table": "base_source", "sink_table": "DIM_BASE_SOURCE", "sink_columns": "ID,SOURCE_SITE", "sink_pk": "ID"}
+
+    def name_source(number, name):
+        rows = spark.createDataFrame([("DIM_BASE_SOURCE", str(number), {"ID": "2", "SOURCE_SITE": name})],
+                                     "sink_table string, ts string, data map<string,string>")
+        dim.upsert_dims(rows, number, root, [rule])
+
+    areas = spark.createDataFrame([("1", "north")], "ID string, NAME string")
+
+    def run(files):
+        streams.write_files(src, files)
+        done(jobs.traffic_sums(topic(spark, src), topic(spark, str(quiet)), topic(spark, str(quiet)),
+                               lambda: dim.read_dim(spark, root, "DIM_BASE_SOURCE", "ID,SOURCE_SITE", "ID"), areas, out, cp, tz="UTC"))
+        rows = spark.read.parquet(f"{out}/{jobs.TRAFFIC_SUMS}").collect()
+        return sorted((r.stt, r.sourceName, r.provinceName, r.pageViewCount) for r in rows)
+
+    files = [[streams.log_row("m", 1_700_000_000_000 + minute * 60_000)] for minute in range(4)]
+    name_source(1, "first name")
+    seen = run(files[:2])
+    assert seen and {r[1:3] for r in seen} == {("first name", "north")}
+    name_source(2, "second name")
+    later = run(files)
+    assert later[:len(seen)] == seen and {r[1] for r in later[len(seen):]} == {"second name"}

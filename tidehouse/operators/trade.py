@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from tidehouse import schemas, sized
 from tidehouse.functions import timefns
 from tidehouse.operators import cdc, changelog, logs
+from tidehouse.sources import POSITION
 
 # ---------------------------------------------------------------- slices
 
@@ -50,6 +51,21 @@ def _pick(joined: DataFrame, names: tuple[str, ...], renamed: dict[str, str]) ->
     return joined.select(*[F.col(renamed.get(name, name)).alias(name) for name in names])
 
 
+#: Column with what decides between several rows of one key, in order: times, positions where the inputs have them, values.
+#: An upsert log keeps it, so that a stream's table ends up with the row that batch picks.
+ORDER = "_order"
+
+
+def in_order(joined: DataFrame, *columns: str) -> DataFrame:
+    """Add the order column; positions that no input has are left out."""
+    return joined.withColumn(ORDER, F.struct(*[name for name in columns if name in joined.columns]))
+
+
+def _places(df: DataFrame, name: str) -> list[str]:
+    """The position column, where there is one."""
+    return [name] if name in df.columns else []
+
+
 def order_detail(details: DataFrame, orders: DataFrame, pages: DataFrame, within: str | None = None,
                  op_time: bool = False) -> DataFrame:
     """Order lines with their order (inner) and the source of the session (left outer), one row per input line.
@@ -57,33 +73,37 @@ def order_detail(details: DataFrame, orders: DataFrame, pages: DataFrame, within
     Batch without ``within``: orders and order pages are reduced to the latest row of their key and joined first, so
     that the lines, the biggest input, are shuffled once and meet unique keys. An order with very many lines is skew on
     that side, which AQE splits. Stream, or batch with ``within``: the parts must be that close in event time
-    (``row_time`` on all three inputs; a stream needs watermarks on them) and every match is given. The keyed table
-    behind both is the upsert sink's (or ``changelog.latest_by_key``).
+    (``row_time`` on all three inputs; a stream needs watermarks on them). Batch gives the last match of every line; a stream
+    gives every match with its ``ORDER``, and the upsert log by that column stands for the same table.
     """
     streaming = details.isStreaming or orders.isStreaming or pages.isStreaming
     renamed = {"coupon_reduce_amount": "coupon_reduce"}
     if within is None:
         if streaming:
             raise ValueError("a stream needs 'within'")
-        pages = changelog.latest_by_key(pages, "page_session", ["page_ts", "source_id"])
+        pages = changelog.latest_by_key(pages, "page_session", ["page_ts", *_places(pages, POSITION), "source_id"]).drop(POSITION)
         orders = orders.withColumn("_order_at", F.col("order_ts").try_cast("bigint"))
-        orders = changelog.latest_by_key(orders, "id", ["_order_at", "out_trade_no"]).withColumnRenamed("id", "_oid")
+        orders = changelog.latest_by_key(orders, "id", ["_order_at", *_places(orders, POSITION), "out_trade_no"])
+        orders = orders.withColumnRenamed("id", "_oid").drop(POSITION)
         sourced = orders.join(sized.splittable(pages, "page_session"), F.col("session_id") == F.col("page_session"), "left")
         joined = details.join(sized.splittable(sourced, "_oid"), F.col("order_id") == F.col("_oid"))
         return _stamp(_pick(joined, schemas.ORDER_DETAIL_COLUMNS, renamed), op_time)
 
     span = timefns.interval(within)
-    orders = orders.withColumnRenamed("id", "_oid").withColumnRenamed("row_time", "_order_time")
+    details = details.withColumnRenamed(POSITION, "_detail_pos")
+    orders = orders.withColumnsRenamed({"id": "_oid", "row_time": "_order_time", POSITION: "_order_pos"}).withColumn(
+        "_order_at", F.col("order_ts").try_cast("bigint"))
     near_order = F.col("_order_time").between(F.col("row_time") - span, F.col("row_time") + span)
     # Only one event-time column may go on to the second join.
     first = details.join(orders, (F.col("order_id") == F.col("_oid")) & near_order).drop("_order_time")
-    pages = pages.withColumnRenamed("row_time", "_page_time")
+    pages = pages.withColumnsRenamed({"row_time": "_page_time", POSITION: "_page_pos"})
     near_page = F.col("_page_time").between(F.col("row_time") - span, F.col("row_time") + span)
     joined = first.join(pages, (F.col("session_id") == F.col("page_session")) & near_page, "left")
-    if not streaming:
-        joined = joined.withColumn("_at", F.col("ts").try_cast("bigint"))
-        joined = changelog.latest_by_key(joined, "id", ["_at", "order_ts", "page_ts", "source_id"])
-    return _stamp(_pick(joined, schemas.ORDER_DETAIL_COLUMNS, renamed), op_time)
+    joined = in_order(joined.withColumn("_at", F.col("ts").try_cast("bigint")), "_at", "_detail_pos", "_order_at", "_order_pos",
+                      "out_trade_no", "page_ts", "_page_pos", "source_id")
+    if streaming:
+        return _stamp(_pick(joined, (*schemas.ORDER_DETAIL_COLUMNS, ORDER), renamed), op_time)
+    return _stamp(_pick(changelog.latest_by_key(joined, "id", ORDER), schemas.ORDER_DETAIL_COLUMNS, renamed), op_time)
 
 
 def pay_success(payments: DataFrame, details: DataFrame, within: str | None = None, op_time: bool = False) -> DataFrame:
@@ -94,9 +114,9 @@ def pay_success(payments: DataFrame, details: DataFrame, within: str | None = No
     """
     streaming = payments.isStreaming or details.isStreaming
     renamed = {"original_amount": "origin_amount"}
-    payments = payments.withColumnRenamed("order_id", "_paid_order")
-    details = details.drop("trade_body", "ts", "row_op_ts")
-    order = ["_at", "callback_time", "alipay_trade_no"]
+    payments = payments.withColumnsRenamed({"order_id": "_paid_order", POSITION: "_paid_pos"})
+    details = details.drop("trade_body", "ts", "row_op_ts", POSITION).withColumnRenamed(ORDER, "_detail_order")
+    order = ["_at", *_places(payments, "_paid_pos"), "callback_time", "alipay_trade_no"]
     if within is None:
         if streaming:
             raise ValueError("a stream needs 'within'")
@@ -108,6 +128,8 @@ def pay_success(payments: DataFrame, details: DataFrame, within: str | None = No
         details = details.withColumnRenamed("row_time", "_detail_time")
         near = F.col("_detail_time").between(F.col("row_time") - span, F.col("row_time") + span)
         joined = payments.join(details, (F.col("order_id") == F.col("_paid_order")) & near)
-        if not streaming:
-            joined = changelog.latest_by_key(joined.withColumn("_at", F.col("ts").try_cast("bigint")), "id", order)
+        joined = in_order(joined.withColumn("_at", F.col("ts").try_cast("bigint")), *order, "_detail_order")
+        if streaming:
+            return _stamp(_pick(joined, (*schemas.PAY_SUCCESS_COLUMNS, ORDER), renamed), op_time)
+        joined = changelog.latest_by_key(joined, "id", ORDER)
     return _stamp(_pick(joined, schemas.PAY_SUCCESS_COLUMNS, renamed), op_time)

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tidehouse import schemas, session
 from tidehouse.functions import timefns
 from tidehouse.operators import changelog, logs
+from tidehouse.sources import POSITION
 
 #: Later than any time.
 _NEVER = 2 ** 62
@@ -147,29 +148,35 @@ def register(users: DataFrame, dims: DataFrame, within: str | None = None, op_ti
 
     Without ``within`` both sides are first reduced to their latest row per user, so that the join meets unique keys
     however many page views a user has. With ``within`` (always on a stream; both sides then need ``row_time``) only
-    page views within that time of the registration count; a stream gives every pair and the upsert sink keeps the
-    latest.
+    page views within that time of the registration count; a stream gives every pair with its ``trade.ORDER``, and the
+    upsert log by that column stands for the table that batch gives.
     """
+    from tidehouse.operators import trade
     streaming = users.isStreaming or dims.isStreaming
     if within is None:
         if streaming:
             raise ValueError("a stream needs 'within'")
+        place = [POSITION] if POSITION in users.columns else []
         users = changelog.latest_by_key(users.withColumn("_at", F.col("ts").try_cast("bigint")), "id",
-                                        ["_at", "create_time"]).drop("_at")
+                                        ["_at", *place, "create_time"]).drop("_at", POSITION)
         dims = changelog.latest_by_key(dims, "user_id", _dims_order(dims))
         joined = users.join(dims, users["id"] == dims["user_id"], "left")
     else:
         span = timefns.interval(within)
+        users = users.withColumnRenamed(POSITION, "_user_pos")
+        order = ["_at", "_user_pos", "create_time", *_dims_order(dims)]
         dims = dims.withColumnRenamed("row_time", "log_time")
         near = F.col("log_time").between(F.col("row_time") - span, F.col("row_time") + span)
         joined = users.join(dims, (F.col("id") == F.col("user_id")) & near, "left")
+        joined = trade.in_order(joined.withColumn("_at", F.col("ts").try_cast("bigint")), *order)
         if not streaming:
-            joined = changelog.latest_by_key(joined.withColumn("_at", F.col("ts").try_cast("bigint")), "id",
-                                             ["_at", *_dims_order(dims)]).drop("_at")
+            joined = changelog.latest_by_key(joined, "id", trade.ORDER)
     value = {"user_id": F.col("id"), "register_time": F.col("create_time"), "register_date": F.col("create_date")}
-    out = joined.select(*[value.get(name, F.col(name)).alias(name) for name in schemas.REGISTER_COLUMNS])
+    names = [*schemas.REGISTER_COLUMNS, *([trade.ORDER] if streaming else [])]
+    out = joined.select(*[value.get(name, F.col(name)).alias(name) for name in names])
     return out.withColumn("row_op_ts", F.current_timestamp()) if op_time else out
 
 
 def _dims_order(dims: DataFrame) -> list[str]:
-    return ["log_ts"] + [name for name in dims.columns if name not in ("log_ts", "user_id")]
+    place = [POSITION] if POSITION in dims.columns else []
+    return ["log_ts", *place] + [name for name in dims.columns if name not in ("log_ts", "user_id", "row_time", POSITION)]

@@ -36,13 +36,13 @@ def jump_metrics(jumps: DataFrame) -> DataFrame:
 
 def traffic_window(pages: DataFrame, visitors: DataFrame, jumps: DataFrame, width: str = "10 seconds",
                    delay: str = "15 seconds", tz: str = timefns.DEFAULT_TZ, emit_time: bool = True,
-                   one_watermark: bool = False) -> DataFrame:
+                   one_watermark: bool = True) -> DataFrame:
     """Five sums per tumbling window and key. Rows of the three inputs are added up in one aggregate, which Spark
     combines on the map side: a hot key sends one row per window and map task.
 
-    On streams each input has its own watermark and the slowest one counts, because visitors and bounces are made from
-    the pages and come later than they do; an input without any rows then holds all windows back. ``one_watermark`` sets one
-    over the union instead: a quiet input holds nothing back, and ``delay`` is to cover how much later the others come."""
+    On streams one watermark stands over the union of the three, so a quiet input holds nothing back; ``delay`` is to cover
+    how much later visitors and bounces come than the pages they are made from. Without ``one_watermark`` each input has its
+    own and the slowest one counts: nothing of a slow input is late, but an input without any rows holds all windows back."""
     inputs = [page_metrics(pages), visitor_metrics(visitors), jump_metrics(jumps)]
     if not one_watermark:
         inputs = [timefns.with_event_time(rows, delay=delay) for rows in inputs]

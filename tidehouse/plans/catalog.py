@@ -10,8 +10,8 @@ from tidehouse import schemas, session, sinks, sources
 from tidehouse.functions import textfns, timefns
 from tidehouse.operators import cdc, cells, changelog, config, dim, keywords, learn, logs, parse, trade, traffic, user
 from tidehouse.operators import window_sums
-from tidehouse.plans import topics_from_tables as topics
-from tidehouse.plans.topics_from_tables import CELLS_SQL, CHANGES_SQL, PAGE_LOG_SQL, RAW_LOG_SQL, stored
+from tidehouse.plans import jobs, topics_from_tables as topics
+from tidehouse.plans.topics_from_tables import CELLS_SQL, CHANGES_SQL, PAGE_LOG_SQL, RAW_LOG_SQL, SESSIONS_SQL, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -784,11 +784,146 @@ def stream_traffic_window(spark, folder):
     """Three streams in one window; session starts and order pages stand for the two detail topics."""
     pages = topics.page_stream(spark, folder)
     sums = window_sums.traffic_window(pages, logs.session_starts(pages), logs.page_slice(pages, "order"), "1 hour",
-                                      "15 seconds", UTC, emit_time=False)
+                                      "15 seconds", UTC, emit_time=False, one_watermark=False)
     return _streamed(sums.select("stt", "versionCode", "sourceId", "ar", "isNew", "pageViewCount", "totalDuringTime",
                                  "uvCount", "jumpSessionCount"))
 
 
+_QUIET = f"""WITH {PAGE_LOG_SQL}, sums AS (
+       SELECT strftime(make_timestamp((ts // 3600000) * 3600000000), '%Y-%m-%d %H:%M:%S') AS stt,
+       vc AS "versionCode", sc AS "sourceId", ar, is_new AS "isNew", count(*) AS "pageViewCount",
+       count(*) FILTER (last_page_id IS NULL) AS "uvCount"
+       FROM page_log WHERE (ts // 3600000 + 1) * 3600000 <= (SELECT max(ts) - 15000 FROM page_log) GROUP BY ALL)"""
+
+
+@query(f"{_QUIET} SELECT *, 0::BIGINT AS \"jumpSessionCount\" FROM sums")
+def stream_traffic_quiet_topic(spark, folder):
+    """A topic without any rows holds no window back."""
+    pages = topics.page_stream(spark, folder)
+    sums = window_sums.traffic_window(pages, logs.session_starts(pages), logs.page_slice(pages, "no such page"), "1 hour",
+                                      "15 seconds", UTC, emit_time=False)
+    return _streamed(sums.select("stt", "versionCode", "sourceId", "ar", "isNew", "pageViewCount", "uvCount", "jumpSessionCount"))
+
+
+@query(f"""{_QUIET} SELECT sums.*, r_name AS "sourceName", n_name AS "provinceName" FROM sums
+       LEFT JOIN region ON "sourceId" = CAST(r_regionkey AS VARCHAR)
+       LEFT JOIN nation ON ar = CAST(n_nationkey AS VARCHAR)""")
+def stream_traffic_names(spark, folder):
+    """Sums of a stream with names out of dimension tables, which are read anew for every batch."""
+    root = session.shared_dir(spark, "names")
+    tables = {"dim_base_source": ("region", "r_regionkey", "r_name", "ID,SOURCE_SITE"),
+              "dim_base_province": ("nation", "n_nationkey", "n_name", "ID,NAME")}
+    rules = [{"source_table": table, "sink_table": name, "sink_columns": columns, "sink_pk": "ID"}
+             for name, (table, _, _, columns) in tables.items()]
+    for number, (name, (table, key, value, columns)) in enumerate(tables.items()):
+        pair = dict(zip(columns.split(","), (F.col(key).cast("string"), F.col(value))))
+        data = F.create_map(*[part for column, cell in pair.items() for part in (F.lit(column), cell)])
+        dim.upsert_dims(stored(spark, folder, table).select(F.lit(name).alias("sink_table"), F.lit("1").alias("ts"),
+                                                           data.alias("data")), number, root, rules)
+    pages = topics.page_stream(spark, folder)
+    sums = window_sums.traffic_window(pages, logs.session_starts(pages), logs.page_slice(pages, "no such page"), "1 hour",
+                                      "15 seconds", UTC, emit_time=False)
+
+    def named(batch: DataFrame) -> DataFrame:
+        return window_sums.with_names(batch, dim.read_dim(spark, root, "dim_base_source", "ID,SOURCE_SITE", "ID"),
+                                      dim.read_dim(spark, root, "dim_base_province", "ID,NAME", "ID"))
+
+    columns = ["stt", "versionCode", "sourceId", "sourceName", "ar", "provinceName", "isNew", "pageViewCount", "uvCount"]
+    sinks.ordered_append(sums, f"{root}/sums", columns, (), f"{root}/checkpoint", each=named).awaitTermination()
+    return spark.read.parquet(f"{root}/sums").drop("batch")
+
+
+# The jobs over tables, from JSON text to the keyed table behind their log. Lines, orders, pages and payments of a session
+# meet several times each; the log keeps what decides between them.
+
+_WITHIN, _WITHIN_MS = "6 hours", 21_600_000
+_LINES = f"""{SESSIONS_SQL},
+       lines AS (
+       SELECT d.id, d.sid AS order_id, d.mid AS user_id, CAST(d.k AS VARCHAR) AS course_id, CAST(o.k AS VARCHAR) AS province_id,
+              d.day AS date_id, o.sid AS session_id, p.sc AS source_id, d.time AS create_time,
+              CAST(d.k AS VARCHAR) AS origin_amount, d.event AS coupon_reduce_amount, d.event AS final_amount,
+              't' || o.event AS out_trade_no, CAST(o.k AS VARCHAR) AS trade_body, CAST(d.ts AS VARCHAR) AS ts
+       FROM acts d JOIN acts o ON d.sid = o.sid AND o.event_type = 'click' AND abs(o.ts - d.ts) <= {_WITHIN_MS}
+       LEFT JOIN acts p ON p.sid = o.sid AND p.page_id = 'order' AND abs(p.ts - d.ts) <= {_WITHIN_MS}
+       WHERE d.event_type = 'purchase'
+       QUALIFY row_number() OVER (PARTITION BY d.id ORDER BY d.ts DESC, o.ts DESC, 't' || o.event DESC, p.ts DESC, p.sc DESC) = 1)"""
+
+
+def _sessions(spark, folder, stream: bool) -> tuple[DataFrame, DataFrame]:
+    read = topics.stored_stream if stream else stored
+    return topics.session_topics(read(spark, folder, "events"))
+
+
+def _job_folder(spark) -> tuple[str, str]:
+    spark.conf.set(session.STATE_STORE_CONF, session.RECOMMENDED[session.STATE_STORE_CONF])
+    root = session.shared_dir(spark, "jobs")
+    return f"{root}/out", f"{root}/checkpoint"
+
+
+def _batch_lines(spark, folder) -> DataFrame:
+    changes, pages = _sessions(spark, folder, False)
+    events = jobs._change_time(changes, "0 seconds", "ms", True)
+    page_log = jobs._page_table(pages, "0 seconds", True)
+    return trade.order_detail(trade.detail_slice(events, "row_time"), trade.order_slice(events, "row_time"),
+                              trade.order_pages(page_log, "row_time"), _WITHIN)
+
+
+@query(f"WITH {_LINES} SELECT * FROM lines")
+def order_detail_within(spark, folder):
+    return _batch_lines(spark, folder)
+
+
+@query(SQL["order_detail_within"])
+def stream_order_detail(spark, folder):
+    out, checkpoint = _job_folder(spark)
+    jobs.order_detail(*_sessions(spark, folder, True), out, checkpoint, _WITHIN).awaitTermination()
+    return jobs.read_table(spark, out, jobs.ORDER_DETAIL).drop("row_op_ts")
+
+
+@query(f"""WITH {_LINES} SELECT w.id, w.order_id, w.user_id, w.course_id, w.province_id, w.date_id, 'a' || p.event AS alipay_trade_no,
+              CAST(p.k AS VARCHAR) AS trade_body, '1101' AS payment_type, '1602' AS payment_status, p.time AS callback_time,
+              p.event AS callback_content, w.origin_amount AS original_amount, w.coupon_reduce_amount, w.final_amount,
+              CAST(p.ts AS VARCHAR) AS ts
+       FROM lines w JOIN acts p ON p.sid = w.order_id AND p.event_type = 'view' AND p.event_id % 2 = 0
+            AND abs(p.ts - CAST(w.ts AS BIGINT)) <= {_WITHIN_MS}
+       QUALIFY row_number() OVER (PARTITION BY w.id ORDER BY p.ts DESC, p.time DESC, 'a' || p.event DESC) = 1""")
+def pay_success_within(spark, folder):
+    events = jobs._change_time(_sessions(spark, folder, False)[0], "0 seconds", "ms", True)
+    lines = jobs._with_change_time(_batch_lines(spark, folder), "0 seconds", "ms").drop("_ms")
+    return trade.pay_success(trade.payment_slice(events, "row_time"), lines, _WITHIN)
+
+
+@query(SQL["pay_success_within"])
+def stream_pay_success(spark, folder):
+    """Both jobs, the second over the first one's log."""
+    out, checkpoint = _job_folder(spark)
+    changes, pages = _sessions(spark, folder, True)
+    jobs.order_detail(changes, pages, out, checkpoint, _WITHIN).awaitTermination()
+    log = f"{out}/{jobs.ORDER_DETAIL}"
+    details = spark.readStream.schema(spark.read.parquet(log).schema).parquet(log)
+    jobs.pay_success(changes, details, out, checkpoint, _WITHIN).awaitTermination()
+    return jobs.read_table(spark, out, jobs.PAY_SUCCESS).drop("row_op_ts")
+
+
+@query(f"""WITH {SESSIONS_SQL} SELECT u.mid AS user_id, u.time AS register_time, u.day AS register_date, 'web' AS channel,
+              p.ar AS province_id, p.vc AS version_code, p.sc AS source_id, p.mid AS mid_id, 'brand' AS brand, 'model' AS model,
+              'os' AS operate_system, CAST(u.ts AS VARCHAR) AS ts
+       FROM acts u JOIN acts p ON p.uid = u.mid AND abs(p.ts - u.ts) <= {_WITHIN_MS} WHERE u.event_type = 'signup'
+       QUALIFY row_number() OVER (PARTITION BY u.mid ORDER BY u.ts DESC, u.time DESC, p.ts DESC, p.ar DESC, p.vc DESC) = 1""")
+def register_within(spark, folder):
+    changes, pages = _sessions(spark, folder, False)
+    events = jobs._change_time(changes, "0 seconds", "ms", True)
+    page_log = jobs._page_table(pages, "0 seconds", True)
+    return user.register(user.user_slice(events, "row_time"), user.login_dims(page_log, None, "row_time"), _WITHIN)
+
+
+@query(SQL["register_within"])
+def stream_register(spark, folder):
+    out, checkpoint = _job_folder(spark)
+    jobs.register(*_sessions(spark, folder, True), out, checkpoint, _WITHIN).awaitTermination()
+    return jobs.read_table(spark, out, jobs.REGISTRATIONS).drop("row_op_ts")
+
+
 @query(f"""WITH {_WORDS} SELECT strftime(make_timestamp((doc_id // 100) * 100000000), '%Y-%m-%d %H:%M:%S') AS stt,
        keyword, count(*) AS keyword_count FROM words
        WHERE (doc_id // 100 + 1) * 100 <= (SELECT max(doc_id) - 5 FROM documents) GROUP BY ALL""")

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidehouse import schemas, sinks, sources
@@ -129,6 +129,17 @@ def _page_table(pages: DataFrame, delay: str, strict: bool) -> DataFrame:
     return _timed((parse.strict if strict else parse.drop_bad)(pages, typed=schemas.PAGE), delay)
 
 
+def _carried(df: DataFrame) -> list[str]:
+    """Event time, and the position where the topic was read with one."""
+    return ["row_time", *[name for name in (sources.POSITION,) if name in df.columns]]
+
+
+def read_table(spark: SparkSession, out: str, topic: str) -> DataFrame:
+    """The keyed table behind one of the upsert logs of this layer."""
+    key = "user_id" if topic == REGISTRATIONS else "id"
+    return sinks.read_upserted(spark, f"{out}/{topic}", key, trade.ORDER).drop(trade.ORDER)
+
+
 def order_detail(changes: DataFrame, pages: DataFrame, out: str, checkpoint: str, within: str = "10 seconds",
                  delay: str = "10 seconds", trigger: dict | None = None, ts_unit: str = "ms",
                  strict: bool = True) -> StreamingQuery:
@@ -139,10 +150,9 @@ def order_detail(changes: DataFrame, pages: DataFrame, out: str, checkpoint: str
     """
     events = _change_time(changes, delay, ts_unit, strict)
     page_log = _page_table(pages, delay, strict)
-    wide = trade.order_detail(trade.detail_slice(events, "row_time"), trade.order_slice(events, "row_time"),
-                              trade.order_pages(page_log, "row_time"), within, op_time=True)
-    return sinks.upsert(wide, f"{out}/{ORDER_DETAIL}", "id", ["row_op_ts", "ts", "source_id"],
-                        f"{checkpoint}/{ORDER_DETAIL}", trigger)
+    wide = trade.order_detail(trade.detail_slice(events, *_carried(events)), trade.order_slice(events, *_carried(events)),
+                              trade.order_pages(page_log, *_carried(page_log)), within, op_time=True)
+    return sinks.upsert(wide, f"{out}/{ORDER_DETAIL}", "id", trade.ORDER, f"{checkpoint}/{ORDER_DETAIL}", trigger)
 
 
 def pay_success(changes: DataFrame, details: DataFrame, out: str, checkpoint: str, within: str = "905 seconds",
@@ -151,9 +161,8 @@ def pay_success(changes: DataFrame, details: DataFrame, out: str, checkpoint: st
     """Paid order lines, as an upsert log by line id. ``details`` is a stream over the order-line log."""
     events = _change_time(changes, delay, ts_unit, strict)
     lines = _with_change_time(details, delay, ts_unit).drop("_ms")
-    paid = trade.pay_success(trade.payment_slice(events, "row_time"), lines, within, op_time=True)
-    return sinks.upsert(paid, f"{out}/{PAY_SUCCESS}", "id", ["row_op_ts", "ts", "callback_time"],
-                        f"{checkpoint}/{PAY_SUCCESS}", trigger)
+    paid = trade.pay_success(trade.payment_slice(events, *_carried(events)), lines, within, op_time=True)
+    return sinks.upsert(paid, f"{out}/{PAY_SUCCESS}", "id", trade.ORDER, f"{checkpoint}/{PAY_SUCCESS}", trigger)
 
 
 def register(changes: DataFrame, pages: DataFrame, out: str, checkpoint: str, within: str = "10 seconds",
@@ -162,23 +171,33 @@ def register(changes: DataFrame, pages: DataFrame, out: str, checkpoint: str, wi
     """Registrations with device data, as an upsert log by user."""
     events = _change_time(changes, delay, ts_unit, strict)
     page_log = _page_table(pages, delay, strict)
-    rows = user.register(user.user_slice(events, "row_time"), user.login_dims(page_log, page_id, "row_time"), within,
-                         op_time=True)
-    return sinks.upsert(rows, f"{out}/{REGISTRATIONS}", "user_id", ["row_op_ts", "ts", "mid_id"],
-                        f"{checkpoint}/{REGISTRATIONS}", trigger)
+    rows = user.register(user.user_slice(events, *_carried(events)), user.login_dims(page_log, page_id, *_carried(page_log)),
+                         within, op_time=True)
+    return sinks.upsert(rows, f"{out}/{REGISTRATIONS}", "user_id", trade.ORDER, f"{checkpoint}/{REGISTRATIONS}", trigger)
 
 
 # ---------------------------------------------------------------- summary layer
 
-def traffic_sums(pages: DataFrame, visitors: DataFrame, jumps: DataFrame, source_names: DataFrame,
-                 province_names: DataFrame, out: str, checkpoint: str, width: str = "10 seconds",
-                 delay: str = "15 seconds", tz: str = timefns.DEFAULT_TZ, trigger: dict | None = None) -> StreamingQuery:
-    """Windowed traffic sums with names. ``pages`` fails on text that cannot be parsed, as do the two detail topics."""
+#: A dimension as it is, or a function that reads it (as ``lambda: dim.read_dim(...)``).
+Dimension = DataFrame | Callable[[], DataFrame]
+
+
+def _now(dimension: Dimension) -> DataFrame:
+    return dimension() if callable(dimension) else dimension
+
+
+def traffic_sums(pages: DataFrame, visitors: DataFrame, jumps: DataFrame, source_names: Dimension, province_names: Dimension,
+                 out: str, checkpoint: str, width: str = "10 seconds", delay: str = "15 seconds",
+                 tz: str = timefns.DEFAULT_TZ, trigger: dict | None = None, one_watermark: bool = True) -> StreamingQuery:
+    """Windowed traffic sums with names. ``pages`` fails on text that cannot be parsed, as do the two detail topics.
+
+    A dimension given as a function is read anew for every batch, so that a row written to it names the sums of the next
+    batch; one given as a DataFrame stays as the stream found it.
+    """
     records = [parse.strict(topic, typed=schemas.PAGE) for topic in (pages, visitors, jumps)]
-    sums = window_sums.traffic_window(*records, width, delay, tz)
-    named = window_sums.with_names(sums, source_names, province_names)
-    return sinks.ordered_append(named, f"{out}/{TRAFFIC_SUMS}", schemas.TRAFFIC_COLUMNS, (),
-                                f"{checkpoint}/{TRAFFIC_SUMS}", trigger)
+    sums = window_sums.traffic_window(*records, width, delay, tz, one_watermark=one_watermark)
+    return sinks.ordered_append(sums, f"{out}/{TRAFFIC_SUMS}", schemas.TRAFFIC_COLUMNS, (), f"{checkpoint}/{TRAFFIC_SUMS}",
+                                trigger, each=lambda batch: window_sums.with_names(batch, _now(source_names), _now(province_names)))
 
 
 def keyword_counts(pages: DataFrame, out: str, checkpoint: str, width: str = "10 seconds", delay: str = "5 seconds",

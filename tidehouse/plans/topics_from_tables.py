@@ -221,6 +221,44 @@ user_info AS (
   FROM customer)"""
 
 
+# ---------------------------------------------------------------- topics of one day's sessions, as text
+
+def session_topics(events: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Change events and page views of the same sessions as JSON text, from the table or the stream of ``events``.
+
+    Purchases are order lines, several to a session and with the session as their key; clicks are orders, views are
+    payments (every second one successful), sign-ups are registrations.
+    """
+    kind, ms, user = F.col("event_type"), text(utc_ms("ts")), text(F.col("user_id"))
+    sid, event = F.concat(user, F.lit("-"), F.date_format("ts", "yyyy-MM-dd")), text(F.col("event_id"))
+    at, k = F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), text(_k())
+
+    def data(**values: Column) -> Column:
+        return F.create_map(*[part for key, value in values.items() for part in (F.lit(key), value)])
+
+    tables = {
+        "purchase": ("order_detail", data(id=sid, order_id=sid, user_id=user, course_id=k, create_time=at, origin_amount=k,
+                                          coupon_reduce=event, final_amount=event)),
+        "click": ("order_info", data(id=sid, province_id=k, out_trade_no=F.concat(F.lit("t"), event), session_id=sid, trade_body=k)),
+        "view": ("payment_info", data(alipay_trade_no=F.concat(F.lit("a"), event), trade_body=k, order_id=sid, payment_type=F.lit("1101"),
+                                      payment_status=F.when(F.col("event_id") % 2 == 0, "1602").otherwise("1601"),
+                                      callback_time=at, callback_content=event)),
+        "signup": ("user_info", data(id=user, create_time=at)),
+    }
+    table, values = F.lit(None).cast("string"), F.lit(None).cast("map<string,string>")
+    for name, (target, entries) in tables.items():
+        table, values = F.when(kind == name, target).otherwise(table), F.when(kind == name, entries).otherwise(values)
+    change = F.struct(F.lit("edu").alias("database"), table.alias("table"), F.lit("insert").alias("type"), values.alias("data"),
+                      ms.alias("ts"))
+    page = F.struct(_common(), _page(), utc_ms("ts").alias("ts"))
+    return events.where(kind.isin(*tables)).select(F.to_json(change).alias("value")), events.select(F.to_json(page).alias("value"))
+
+
+SESSIONS_SQL = PAGE_LOG_SQL + """,
+acts AS (SELECT *, sid AS id, CAST(event_id AS VARCHAR) AS event, strftime(make_timestamp(ts * 1000), '%Y-%m-%d %H:%M:%S') AS time
+       FROM page_log)"""
+
+
 # ---------------------------------------------------------------- cells
 
 def cell_log(spark: SparkSession, folder: str) -> DataFrame:
