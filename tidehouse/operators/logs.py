@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidehouse import schemas, sized
 from tidehouse.functions import timefns
-from tidehouse.operators.parse import RECORD
+from tidehouse.operators.parse import DIRTY, RECORD
 
 OUTPUTS = ("error", "start", "video", "display", "action", "page")
 
@@ -167,7 +167,8 @@ def split_tagged(df: DataFrame, action_ts: bool = False) -> DataFrame:
     """All six outputs in one pass, as rows ``(output, value)`` with the record as JSON text.
 
     One record is parsed once and fans out in place, without a shuffle and without reading the input once per output.
-    With ``parse.RECORD`` among the columns, its text is read for the members that the schema does not declare.
+    With ``parse.RECORD`` among the columns, its text is read for the members that the schema does not declare. Dirty rows
+    (``parse.with_dirty``) are a seventh output, ``dirty``, with their text as it came.
     """
     def tagged(output: Column | str, value: Column) -> Column:
         return F.struct((F.lit(output) if isinstance(output, str) else output).alias("output"), value.alias("value"))
@@ -181,7 +182,10 @@ def split_tagged(df: DataFrame, action_ts: bool = False) -> DataFrame:
         F.transform("_action", lambda x: tagged("action", x)),
     ]
     none = F.array().cast("array<struct<output:string,value:string>>")
-    return texts.select(F.explode(F.concat(*[F.coalesce(o, none) for o in outputs])).alias("o")).select("o.*")
+    rows = F.concat(*[F.coalesce(o, none) for o in outputs])
+    if DIRTY in df.columns:
+        rows = F.when(F.col(DIRTY).isNotNull(), F.array(tagged(DIRTY, F.col(DIRTY)))).otherwise(rows)
+    return texts.select(F.explode(rows).alias("o")).select("o.*")
 
 
 # ---------------------------------------------------------------- slices

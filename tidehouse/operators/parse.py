@@ -53,6 +53,21 @@ def split_dirty(raw: DataFrame, wire: T.StructType = schemas.WIRE_LOG, typed: T.
     return _typed(parsed.where(_is_good()), wire, typed, value, record), dirty
 
 
+#: Column with the text of a dirty row in ``with_dirty``; null for records.
+DIRTY = "dirty"
+
+
+def with_dirty(raw: DataFrame, wire: T.StructType = schemas.WIRE_LOG, typed: T.StructType = schemas.LOG,
+               value: str = "value", record: str | None = None) -> DataFrame:
+    """All rows in one DataFrame: records with ``dirty`` null, and dirty rows whose text is in ``dirty`` and whose other
+    fields are null. ``logs.split_tagged`` gives them an output of their own, in the same pass as the records."""
+    parsed = _parsed(raw, wire, value)
+    good = _is_good()
+    rows = parsed.select(*[c for c in parsed.columns if c not in (value, "_r")], F.when(good, F.col(value)).alias(value),
+                         F.when(~good, F.col(value)).alias(DIRTY), F.when(good, F.col("_r")).alias("_r"))
+    return _typed(rows, wire, typed, value, record)
+
+
 def drop_bad(raw: DataFrame, wire: T.StructType = schemas.WIRE_LOG, typed: T.StructType = schemas.LOG,
              value: str = "value", record: str | None = None) -> DataFrame:
     """Records only; text that cannot be parsed is left out silently."""

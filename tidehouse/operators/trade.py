@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from tidehouse import schemas, sized
 from tidehouse.functions import timefns
 from tidehouse.operators import cdc, changelog, logs
+from tidehouse.operators.within import last_within, with_match
 from tidehouse.sources import POSITION
 
 # ---------------------------------------------------------------- slices
@@ -74,7 +75,8 @@ def order_detail(details: DataFrame, orders: DataFrame, pages: DataFrame, within
     that the lines, the biggest input, are shuffled once and meet unique keys. An order with very many lines is skew on
     that side, which AQE splits. Stream, or batch with ``within``: the parts must be that close in event time
     (``row_time`` on all three inputs; a stream needs watermarks on them). Batch gives the last match of every line; a stream
-    gives every match with its ``ORDER``, and the upsert log by that column stands for the same table.
+    gives every match with its ``ORDER``, and the upsert log by that column stands for the same table. Batch looks for the
+    last match alone (``within.last_within``), so a session or order with very many rows on both sides makes no pairs.
     """
     streaming = details.isStreaming or orders.isStreaming or pages.isStreaming
     renamed = {"coupon_reduce_amount": "coupon_reduce"}
@@ -93,12 +95,21 @@ def order_detail(details: DataFrame, orders: DataFrame, pages: DataFrame, within
     details = details.withColumnRenamed(POSITION, "_detail_pos")
     orders = orders.withColumnsRenamed({"id": "_oid", "row_time": "_order_time", POSITION: "_order_pos"}).withColumn(
         "_order_at", F.col("order_ts").try_cast("bigint"))
-    near_order = F.col("_order_time").between(F.col("row_time") - span, F.col("row_time") + span)
-    # Only one event-time column may go on to the second join.
-    first = details.join(orders, (F.col("order_id") == F.col("_oid")) & near_order).drop("_order_time")
     pages = pages.withColumnsRenamed({"row_time": "_page_time", POSITION: "_page_pos"})
-    near_page = F.col("_page_time").between(F.col("row_time") - span, F.col("row_time") + span)
-    joined = first.join(pages, (F.col("session_id") == F.col("page_session")) & near_page, "left")
+    if streaming:
+        near_order = F.col("_order_time").between(F.col("row_time") - span, F.col("row_time") + span)
+        # Only one event-time column may go on to the second join.
+        first = details.join(orders, (F.col("order_id") == F.col("_oid")) & near_order).drop("_order_time")
+        near_page = F.col("_page_time").between(F.col("row_time") - span, F.col("row_time") + span)
+        joined = first.join(pages, (F.col("session_id") == F.col("page_session")) & near_page, "left")
+    else:
+        bound = timefns.duration_ms(within) * 1000
+        found = last_within(details, orders, ("order_id", "_oid"), ("row_time", "_order_time"), bound,
+                            [*_places(orders, "_order_pos"), "out_trade_no"])
+        first = with_match(found, orders.columns, inner=True)
+        found = last_within(first, pages, ("session_id", "page_session"), ("row_time", "_page_time"), bound,
+                            [*_places(pages, "_page_pos"), "source_id"])
+        joined = with_match(found, pages.columns)
     joined = in_order(joined.withColumn("_at", F.col("ts").try_cast("bigint")), "_at", "_detail_pos", "_order_at", "_order_pos",
                       "out_trade_no", "page_ts", "_page_pos", "source_id")
     if streaming:
@@ -124,10 +135,15 @@ def pay_success(payments: DataFrame, details: DataFrame, within: str | None = No
                                            order)
         joined = details.join(sized.splittable(payments, "_paid_order"), F.col("order_id") == F.col("_paid_order"))
     else:
-        span = timefns.interval(within)
         details = details.withColumnRenamed("row_time", "_detail_time")
-        near = F.col("_detail_time").between(F.col("row_time") - span, F.col("row_time") + span)
-        joined = payments.join(details, (F.col("order_id") == F.col("_paid_order")) & near)
+        if streaming:
+            span = timefns.interval(within)
+            near = F.col("_detail_time").between(F.col("row_time") - span, F.col("row_time") + span)
+            joined = payments.join(details, (F.col("order_id") == F.col("_paid_order")) & near)
+        else:
+            found = last_within(details, payments, ("order_id", "_paid_order"), ("_detail_time", "row_time"),
+                                timefns.duration_ms(within) * 1000, order[1:])
+            joined = with_match(found, payments.columns, inner=True)
         joined = in_order(joined.withColumn("_at", F.col("ts").try_cast("bigint")), *order, "_detail_order")
         if streaming:
             return _stamp(_pick(joined, (*schemas.PAY_SUCCESS_COLUMNS, ORDER), renamed), op_time)

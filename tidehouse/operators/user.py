@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tidehouse import schemas, session
 from tidehouse.functions import timefns
 from tidehouse.operators import changelog, logs
+from tidehouse.operators.within import last_within, with_match
 from tidehouse.sources import POSITION
 
 #: Later than any time.
@@ -166,8 +167,13 @@ def register(users: DataFrame, dims: DataFrame, within: str | None = None, op_ti
         users = users.withColumnRenamed(POSITION, "_user_pos")
         order = ["_at", "_user_pos", "create_time", *_dims_order(dims)]
         dims = dims.withColumnRenamed("row_time", "log_time")
-        near = F.col("log_time").between(F.col("row_time") - span, F.col("row_time") + span)
-        joined = users.join(dims, (F.col("id") == F.col("user_id")) & near, "left")
+        if streaming:
+            near = F.col("log_time").between(F.col("row_time") - span, F.col("row_time") + span)
+            joined = users.join(dims, (F.col("id") == F.col("user_id")) & near, "left")
+        else:
+            found = last_within(users, dims, ("id", "user_id"), ("row_time", "log_time"), timefns.duration_ms(within) * 1000,
+                                _dims_order(dims)[1:])
+            joined = with_match(found, dims.columns)
         joined = trade.in_order(joined.withColumn("_at", F.col("ts").try_cast("bigint")), *order)
         if not streaming:
             joined = changelog.latest_by_key(joined, "id", trade.ORDER)
@@ -179,4 +185,4 @@ def register(users: DataFrame, dims: DataFrame, within: str | None = None, op_ti
 
 def _dims_order(dims: DataFrame) -> list[str]:
     place = [POSITION] if POSITION in dims.columns else []
-    return ["log_ts", *place] + [name for name in dims.columns if name not in ("log_ts", "user_id", "row_time", POSITION)]
+    return ["log_ts", *place] + [name for name in dims.columns if name not in ("log_ts", "user_id", "row_time", "log_time", POSITION)]

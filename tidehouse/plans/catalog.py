@@ -833,6 +833,22 @@ def stream_traffic_names(spark, folder):
     return spark.read.parquet(f"{root}/sums").drop("batch")
 
 
+@query(f"""WITH {RAW_LOG_SQL}, outputs AS (
+       SELECT 'dwd_traffic_error_log' AS output FROM log WHERE event_type = 'error'
+       UNION ALL SELECT 'dwd_traffic_start_log' FROM log WHERE {_STARTED}
+       UNION ALL SELECT 'dwd_traffic_play_pre_process' FROM log WHERE event_type = 'click'
+       UNION ALL SELECT 'dwd_traffic_page_log' FROM log WHERE event_type <> 'click' AND NOT {_STARTED}
+       UNION ALL SELECT 'dwd_traffic_display_log' FROM (SELECT unnest(range(1, k % 3 + 1)) FROM log WHERE event_type = 'view')
+       UNION ALL SELECT 'dwd_traffic_action_log' FROM (SELECT unnest(range(1, k % 4 + 1)) FROM log WHERE event_type = 'purchase')
+       UNION ALL SELECT 'dirty_data' FROM events WHERE event_type = 'view' AND value < 5)
+       SELECT output, count(*) AS records FROM outputs GROUP BY ALL""")
+def stream_site_log(spark, folder):
+    """The whole job in one streaming query: repaired flags, six outputs, and the dirty rows as the seventh."""
+    out, checkpoint = _job_folder(spark)
+    jobs.split_site_log(topics.raw_log(spark, folder, stream=True).select("value"), out, checkpoint, UTC).awaitTermination()
+    return spark.read.text(out).groupBy("output").agg(F.count(F.lit(1)).alias("records"))
+
+
 # The jobs over tables, from JSON text to the keyed table behind their log. Lines, orders, pages and payments of a session
 # meet several times each; the log keeps what decides between them.
 

@@ -49,15 +49,13 @@ def _lines(df: DataFrame, out: str, checkpoint: str, topic: str, trigger: dict |
 # ---------------------------------------------------------------- log layer
 
 def split_site_log(raw: DataFrame, out: str, checkpoint: str, tz: str = timefns.DEFAULT_TZ,
-                   trigger: dict | None = None) -> list[StreamingQuery]:
-    """Site log -> six detail topics and the dirty rows; visitor flags are repaired on the way."""
-    records, dirty = parse.split_dirty(raw, record=parse.RECORD)
-    tagged = logs.split_tagged(logs.repair_is_new(records, tz))
-    topic = F.create_map(*[F.lit(text) for pair in LOG_TOPICS.items() for text in pair])[F.col("output")]
-    return [
-        sinks.append(dirty, f"{out}/output={DIRTY}", f"{checkpoint}/{DIRTY}", "text", trigger),
-        sinks.fan_out(tagged.withColumn("output", topic), out, f"{checkpoint}/site_log", trigger),
-    ]
+                   trigger: dict | None = None) -> StreamingQuery:
+    """Site log -> six detail topics and the dirty rows, in one query that reads and parses the log once; visitor flags are
+    repaired on the way."""
+    tagged = logs.split_tagged(logs.repair_is_new(parse.with_dirty(raw, record=parse.RECORD), tz))
+    names = LOG_TOPICS | {parse.DIRTY: DIRTY}
+    topic = F.create_map(*[F.lit(text) for pair in names.items() for text in pair])[F.col("output")]
+    return sinks.fan_out(tagged.withColumn("output", topic), out, f"{checkpoint}/site_log", trigger)
 
 
 def unique_visitors(pages: DataFrame, out: str, checkpoint: str, tz: str = timefns.DEFAULT_TZ,

@@ -106,7 +106,7 @@ page_log AS (
 
 # ---------------------------------------------------------------- raw log text
 
-def raw_log(spark: SparkSession, folder: str) -> DataFrame:
+def raw_log(spark: SparkSession, folder: str, stream: bool = False) -> DataFrame:
     """Site log as JSON text, with members that the log schema does not declare: ``ip``, ``refer_id`` and ``trace``. A few
     records are cut off and cannot be parsed."""
     kind, k = F.col("event_type"), F.col("k")
@@ -130,7 +130,7 @@ def raw_log(spark: SparkSession, folder: str) -> DataFrame:
     record = F.to_json(F.struct(common, page, start, err, video, displays, actions, ms.alias("ts"), trace))
     broken = F.concat(F.lit('{"mid":"'), text(F.col("user_id")), F.lit('","ts":'), text(ms))
     is_broken = (kind == "view") & (F.col("value") < 5)
-    events = stored(spark, folder, "events").withColumn("k", _k()).withColumn("ms", utc_ms("ts"))
+    events = (stored_stream if stream else stored)(spark, folder, "events").withColumn("k", _k()).withColumn("ms", utc_ms("ts"))
     return events.select(F.when(is_broken, broken).otherwise(record).alias("value"), "event_id")
 
 

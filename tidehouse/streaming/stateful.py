@@ -20,6 +20,8 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 from tidehouse.functions import timefns
 
 EVENT_TIME = "row_time"
+#: Groups that rows without a device are dealt to.
+LANES = 4096
 DAY_MS = timefns.DAY_MS
 
 # Workers get the processors with the job, so the package need not be installed on them.
@@ -66,7 +68,8 @@ class IsNewRepair(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         if key[0] is None:
-            # Records without a device belong to no device; as in batch they stay as they are.
+            # Records without a device, and dirty rows, belong to no device; as in batch they stay as they are. They come
+            # in many groups, none of which keeps state.
             for pdf in rows:
                 yield pd.DataFrame({"body": pdf["body"], "stale": False})
             return
@@ -88,7 +91,9 @@ class IsNewRepair(StatefulProcessor):
 def repair_is_new(df: DataFrame, tz: str) -> DataFrame:
     day = F.unix_date(timefns.local_day("ts", tz)).alias("day")
     old = F.when(F.col("common.is_new") == "1", 0).otherwise(1).alias("old")
-    out = _pack(df, F.col("common.mid"), day, old).groupBy("k").transformWithStateInPandas(
+    packed = _pack(df, F.col("common.mid"), day, old)
+    lane = F.when(F.col("k").isNull(), F.pmod(F.xxhash64("body"), F.lit(LANES))).otherwise(-1).alias("lane")
+    out = packed.select("*", lane).groupBy("k", "lane").transformWithStateInPandas(
         IsNewRepair(), "body STRING, stale BOOLEAN", "Append", "None")
     rows = _unpack(out, df, "stale")
     is_new = F.when(F.col("stale"), "0").otherwise(F.col("common.is_new"))
