@@ -33,8 +33,10 @@ MAGIC = b"EFTOKEN1"
 END_ID = 2
 #: Bits of the high vector between two rank samples.
 BLOCK_BITS = 512
-#: Documents looked up at a time on reading.
-READ_DOCS = 1024
+#: Numbers whose low bits are packed at a time.
+PACKED = 1 << 16
+#: Documents looked up at a time on reading, and ids that are read at a time unless one document has more.
+READ_DOCS, READ_IDS = 1024, 1 << 20
 
 _MANIFEST = "shard int, path string, n_docs long, n_ids long, first_id long"
 _MANIFEST_ARROW = pa.schema([("shard", pa.int32()), ("path", pa.string()), ("n_docs", pa.int64()), ("n_ids", pa.int64()),
@@ -61,7 +63,10 @@ class EliasFano:
         bits[places] = 1
         ranks = np.concatenate([[0], np.cumsum(bits.reshape(blocks, BLOCK_BITS).sum(1, dtype=np.int64))]).astype("<u4")
         shifts = np.arange(low_bits, dtype=np.uint64)
-        low = np.packbits(((values[:, None] >> shifts) & np.uint64(1)).astype(np.uint8).ravel(), bitorder="little")
+        # a block of 64 K values fills whole bytes, so blocks are packed apart
+        cut = (values[at:at + PACKED] for at in range(0, max(n, 1), PACKED))
+        low = np.concatenate([np.packbits(((part[:, None] >> shifts) & np.uint64(1)).astype(np.uint8).ravel(), bitorder="little")
+                              for part in cut])
         return cls(n, low_bits, low, np.packbits(bits, bitorder="little"), ranks)
 
     def select(self, at: np.ndarray) -> np.ndarray:
@@ -181,7 +186,7 @@ class ShardReader:
 
 def _write(name: str, folder: str, end_id: int | None):
     def work(batches):
-        encode = encoding.id_bytes(name)
+        encode = encoding.shared_id_bytes(name)
         wide = encoding.loaded(name).get_vocab_size() > 1 << 16
         end = b"" if end_id is None else end_id.to_bytes(4, "little")
         shard = TaskContext.get().partitionId()
@@ -209,6 +214,17 @@ def write_token_files(docs: DataFrame, folder: str, name: str = "byte_bpe_50k.js
     ordered.mapInArrow(_write(name, f"{folder}/shards", end_id), _MANIFEST).write.parquet(f"{folder}/manifest")
 
 
+def _crcs(reader: ShardReader, offsets: np.ndarray):
+    """crc32 of documents that follow each other, read in runs of bounded size."""
+    at = 0
+    while at + 1 < len(offsets):
+        end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + READ_IDS, "right")) - 1)
+        ids = memoryview(reader.read(int(offsets[at]), int(offsets[end])).astype("<u4").tobytes())
+        for a, b in zip(offsets[at:end] - offsets[at], offsets[at + 1:end + 1] - offsets[at], strict=True):
+            yield zlib.crc32(ids[4 * int(a):4 * int(b)])
+        at = end
+
+
 def _read(batches):
     for part in batches:
         for row in part.to_pylist():
@@ -216,9 +232,7 @@ def _read(batches):
             for first in range(0, reader.n_docs, READ_DOCS):
                 last = min(first + READ_DOCS, reader.n_docs)
                 offsets = reader.offsets(first, last)
-                crcs = []
-                for a, b in zip(offsets, offsets[1:], strict=False):
-                    crcs.append(zlib.crc32(reader.read(int(a), int(b)).astype("<u4").tobytes()))
+                crcs = list(_crcs(reader, offsets))
                 yield arrow.batch(_READ_ARROW, reader.doc_ids(first, last), offsets[:-1] + row["base"], np.diff(offsets), crcs)
             reader.close()
 
