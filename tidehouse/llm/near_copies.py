@@ -6,7 +6,7 @@ similarity, without bias. Four values of four permutations (two least, two great
 at similarity 0.75 shares no band with a chance of 5 in a million, at 0.8 of 5 in 10**8.
 
 Documents with one set become one node first. Nodes of a band's bucket are compared by a sketch of one bit a signature
-value (a pair at 0.75 fails it with a chance of 2 in 10**7) and by size; what passes is confirmed on full sets. No pair
+value (a pair at 0.75 fails it with a chance of 2 in 10**6) and by size; what passes is confirmed on full sets. No pair
 is confirmed that would join what is joined already, so copies are not expanded into pairs:
 
 1. Buckets of up to 16 nodes give all pairs that pass; in a larger one, the node nearest to the majority of the sketches
@@ -408,7 +408,8 @@ def near_copies(docs: DataFrame) -> DataFrame:
                    "u long, v long, bits int")
     large = found.where("bucket is not null").select("bucket", "node", "n_shingles", "sketch_a", "sketch_b")
     ends = pairs.select(F.explode(F.array("u", "v")).alias("doc_id")).union(large.select("node")).distinct()
-    involved = stored(texts.join(ends, "doc_id", "left_semi"), "involved", "doc_id long, text string")
+    ends = stored(ends, "ends", "doc_id long")  # its size is known then: beyond the limit texts are shuffled instead
+    involved = stored(texts.join(sized.small_side(ends), "doc_id", "left_semi"), "involved", "doc_id long, text string")
     links = _Links(spark, involved)
     both = pairs.select(F.col("u").alias("x"), "u", "v", "bits").union(pairs.select(F.col("v").alias("x"), "u", "v", "bits"))
     chosen = both.groupBy("x").agg(F.min(F.struct("bits", "u", "v")).alias("near"), F.min(F.struct("u", "v", "bits")).alias("least"))
