@@ -22,6 +22,8 @@ without an identifier come first; other columns are left out.
 
 from __future__ import annotations
 
+import itertools
+
 import ahocorasick
 import numpy as np
 import pyarrow as pa
@@ -55,11 +57,17 @@ def _least_places(phrases: np.ndarray, width: int) -> np.ndarray:
 
 
 class Windows:
-    """Anchors and hashes of the windows of one text."""
+    """Anchors and hashes of the windows of texts whose words stand end to end; no window reaches into the next text."""
 
-    def __init__(self, hashes: np.ndarray, window: int = WINDOW, phrase: int = PHRASE):
+    def __init__(self, hashes: np.ndarray, counts: np.ndarray, window: int = WINDOW, phrase: int = PHRASE):
+        self.hashes = hashes
+        self.row = np.repeat(np.arange(len(counts)), counts)
+        self.place = np.arange(len(hashes)) - np.repeat(np.cumsum(counts) - counts, counts)
         self.phrases = word_hashes.runs(hashes, phrase)
-        self.anchor = _least_places(self.phrases, window - phrase + 1) if len(hashes) >= window else np.zeros(0, int)
+        least = _least_places(self.phrases, window - phrase + 1) if len(hashes) >= window else np.zeros(0, int)
+        last = np.repeat(np.cumsum(counts), counts)[:len(least)]
+        self.starts = np.flatnonzero(np.arange(len(least)) + window <= last)
+        self.anchor = least[self.starts]
 
 
 class _Numbers(dict):
@@ -85,16 +93,12 @@ def _anchors(batches):
     """Anchors of all windows. Of anchors that recur within a slice, one goes to the anchor's group and the others anywhere."""
     hashes = word_hashes.WordHashes()
     for part in arrow.slices(batches, "text"):
-        found, counts, places = [], [], []
-        for text in arrow.raw(part.column("text")):
-            windows = Windows(hashes.of(text.split()))
-            own = windows.anchor
-            own = own[np.insert(own[1:] != own[:-1], 0, True)] if len(own) else own  # anchors ascend
-            found.append(windows.phrases[own])
-            places.append(own)
-            counts.append(len(own))
-        docs, keys = (np.repeat(part.column(n).to_numpy(), counts) for n in ("doc", "text_key"))
-        anchor, place = np.concatenate(found).view(np.int64), np.concatenate(places).astype(np.int32)
+        words = [text.split() for text in arrow.raw(part.column("text"))]
+        windows = Windows(hashes.of([word for own in words for word in own]), np.fromiter(map(len, words), np.int64, len(words)))
+        own = windows.anchor
+        own = own[np.insert(own[1:] != own[:-1], 0, True)] if len(own) else own  # anchors ascend
+        docs, keys = (part.column(n).to_numpy()[windows.row[own]] for n in ("doc", "text_key"))
+        anchor, place = windows.phrases[own].view(np.int64), windows.place[own].astype(np.int32)
         first, times = _repeats(anchor)
         anchor = np.where(first == np.arange(len(anchor)), anchor, _spread(docs, place))
         yield arrow.batch(_ANCHOR, anchor, docs, keys, place, times > 1)
@@ -137,33 +141,29 @@ def _locate(batches):
     hashes = word_hashes.WordHashes()
     for part in arrow.slices(batches, "text", SHARD_BYTES):
         numbers = _Numbers()
-        words = [text.split() for text in arrow.raw(part.column("text"))]
-        sequences = [tuple(map(numbers.__getitem__, own)) for own in words]
+        texts = [list(map(numbers.__getitem__, text.split())) for text in arrow.raw(part.column("text"))]
+        counts = np.fromiter(map(len, texts), np.int64, len(texts))
         automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
-        for sequence, places in zip(sequences, part.column("places").to_pylist(), strict=True):
+        for text, places in zip(texts, part.column("places").to_pylist(), strict=True):
             for place in places:
-                automaton.add_word(sequence[place:place + PHRASE], 1)
+                automaton.add_word(tuple(text[place:place + PHRASE]), 1)
         if not len(automaton):
             continue
         automaton.make_automaton()
-        rows, places, anchors, wholes = [], [], [], []
-        for row, (sequence, own) in enumerate(zip(sequences, words, strict=True)):
-            if len(sequence) < WINDOW:
-                continue
-            ends = np.fromiter((end for end, _ in automaton.iter(sequence)), np.int64)
-            located = np.zeros(len(sequence), bool)
-            located[ends - PHRASE + 1] = True
-            own_hashes = hashes.of(own)
-            windows = Windows(own_hashes)
-            starts = np.flatnonzero(located[windows.anchor])
-            if len(starts):
-                rows.append(np.full(len(starts), row))
-                places.append(starts)
-                anchors.append(windows.phrases[windows.anchor[starts]])
-                wholes.append(word_hashes.runs(own_hashes, WINDOW)[starts])
-        if not rows:
+        located, begin = np.zeros(int(counts.sum()), bool), 0
+        for text in texts:
+            if len(text) >= WINDOW:
+                ends = np.fromiter((end for end, _ in automaton.iter(tuple(text))), np.int64)
+                located[begin + ends - PHRASE + 1] = True
+            begin += len(text)
+        by_number = hashes.of(list(numbers))
+        windows = Windows(by_number[np.fromiter(itertools.chain.from_iterable(texts), np.int64, len(located))], counts)
+        is_there = located[windows.anchor]
+        starts = windows.starts[is_there]
+        if not len(starts):
             continue
-        row, place, anchor, whole = (np.concatenate(x) for x in (rows, places, anchors, wholes))
+        row, place = windows.row[starts], windows.place[starts]
+        anchor, whole = windows.phrases[windows.anchor[is_there]], word_hashes.runs(windows.hashes, WINDOW)[starts]
         doc, key = part.column("doc").to_numpy(), part.column("text_key").to_numpy()
         first, _ = _repeats(whole)
         leads = first == np.arange(len(whole))
