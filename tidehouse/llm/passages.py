@@ -23,10 +23,12 @@ without an identifier come first; other columns are left out.
 from __future__ import annotations
 
 import itertools
+import operator
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from tidehouse.llm import arrow, word_hashes
@@ -35,6 +37,7 @@ WINDOW, PHRASE = 20, 8
 #: Bytes of documents whose recurring phrases make up one automaton.
 SHARD_BYTES = 8 << 20
 _NONE = -(1 << 63)
+_END = operator.itemgetter(0)
 
 _ANCHOR = pa.schema([("anchor", pa.int64()), ("doc", pa.int64()), ("text_key", pa.int64()), ("place", pa.int32()),
                      ("sure", pa.bool_())])
@@ -143,21 +146,22 @@ def _locate(batches):
         numbers = _Numbers()
         texts = [list(map(numbers.__getitem__, text.split())) for text in arrow.raw(part.column("text"))]
         counts = np.fromiter(map(len, texts), np.int64, len(texts))
-        automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
-        for text, places in zip(texts, part.column("places").to_pylist(), strict=True):
-            for place in places:
-                automaton.add_word(tuple(text[place:place + PHRASE]), 1)
-        if not len(automaton):
+        every = np.fromiter(itertools.chain.from_iterable(texts), np.int64, int(counts.sum()))
+        windows = Windows(hashes.of(list(numbers))[every], counts)
+        places = part.column("places")
+        at = places.flatten().to_numpy() + np.repeat(np.cumsum(counts) - counts, pc.list_value_length(places).to_numpy())
+        if not len(at):
             continue
+        automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
+        for phrase in every[np.unique(at[np.unique(windows.phrases[at], return_index=True)[1]])[:, None] + np.arange(PHRASE)].tolist():
+            automaton.add_word(tuple(phrase), 1)
         automaton.make_automaton()
-        located, begin = np.zeros(int(counts.sum()), bool), 0
+        located, begin = np.zeros(len(every), bool), 0
         for text in texts:
             if len(text) >= WINDOW:
-                ends = np.fromiter((end for end, _ in automaton.iter(tuple(text))), np.int64)
+                ends = np.fromiter(map(_END, automaton.iter(tuple(text))), np.int64)
                 located[begin + ends - PHRASE + 1] = True
             begin += len(text)
-        by_number = hashes.of(list(numbers))
-        windows = Windows(by_number[np.fromiter(itertools.chain.from_iterable(texts), np.int64, len(located))], counts)
         is_there = located[windows.anchor]
         starts = windows.starts[is_there]
         if not len(starts):
