@@ -171,3 +171,23 @@ def test_a_compacted_dimension_reads_the_same_whatever_comes_later(spark, tmp_pa
     assert len(sinks.KeyedLog(spark, dim.table_path(root, "d")).state()["parts"]) == 1
     rows = table(dim.read_dim(spark, root, "d", "id,a,b").select("id", F.coalesce("a", F.lit("")), F.coalesce("b", F.lit(""))), "*")
     assert rows == sorted((k, v.get("a", ""), v.get("b", "")) for k, v in want.items())
+
+
+def test_rules_in_force_at_an_event(spark):
+    """A replay routes every event by the rule of its own time."""
+    from tidehouse import schemas
+    from tidehouse.operators import cdc
+    rule = lambda sink, columns: ("t", "insert", sink, columns)
+    changes = spark.createDataFrame([
+        ("c", None, rule("one", "id"), 10, 1), ("u", None, rule("skipped", "id"), 20, 1), ("u", rule("skipped", "id"), rule("two", "id,v"), 20, 2),
+        ("d", rule("two", "id,v"), None, 30, 1), ("u", None, rule("three", "v"), 40, 1)],
+        f"op string, before struct<{ddl(schemas.DETAIL_RULE)}>, after struct<{ddl(schemas.DETAIL_RULE)}>, ts_ms long, pos int")
+    events = spark.createDataFrame([("db", "t", "insert", {"id": str(n), "v": "x"}, ts) for n, ts in enumerate(
+        ("9", "10", "19", "20", "29", "30", "39", "40", "99", "no time", None))], schemas.CHANGE)
+    routed = cdc.route_detail_as_of(events, config.rule_versions(changes, ["ts_ms", "pos"]))
+    assert sorted((r.ts, r.sink_table, len(r.data)) for r in routed.collect()) == [
+        ("10", "one", 1), ("19", "one", 1), ("20", "two", 2), ("29", "two", 2), ("40", "three", 1), ("99", "three", 1)]
+
+
+def ddl(schema):
+    return ",".join(f"{f.name}:{f.dataType.simpleString()}" for f in schema.fields)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidehouse.functions import mapfns
 from tidehouse import sized
+from tidehouse.operators import config
 
 # Types of the change events that mark a table snapshot.
 SNAPSHOT_START, SNAPSHOT_END, SNAPSHOT_ROW = "bootstrap-start", "bootstrap-complete", "bootstrap-insert"
@@ -53,6 +54,22 @@ def route_detail(events: DataFrame, rules: DataFrame, mode: str = "exact") -> Da
     return whitelist(matched, F.col("_columns"), mode).select("sink_table", "ts", "data")
 
 
+def route_detail_as_of(events: DataFrame, versions: DataFrame, mode: str = "exact") -> DataFrame:
+    """Events by the detail rule that was in force at their own time, as ``(sink_table, ts, data)``.
+
+    ``versions`` are ``config.rule_versions``, whose times are in the unit of the events' ``ts``; a change counts for events of
+    its own instant. So a replay gives what it gave at the time, whatever the rules are now. A small history is broadcast; a
+    bigger one meets the events by table and operation, where AQE splits a busy table.
+    """
+    rule = sized.small_side(versions.select(
+        F.col("source_table").alias("_table"), F.col("source_type").alias("_type"), "sink_table",
+        F.col("sink_columns").alias("_columns"), config.FROM, config.UNTIL), probe_rows=sized.RULE_ROWS)
+    at = F.col("ts").try_cast("bigint")
+    is_in_force = (at >= F.col(config.FROM)) & (F.col(config.UNTIL).isNull() | (at < F.col(config.UNTIL)))
+    matched = events.join(rule, (F.col("table") == F.col("_table")) & (F.col("type") == F.col("_type")) & is_in_force)
+    return whitelist(matched, F.col("_columns"), mode).select("sink_table", "ts", "data")
+
+
 def route_dim(events: DataFrame, rules: DataFrame, apply_deletes: bool = False) -> DataFrame:
     """Events that a dimension rule names by table, as ``(sink_table, sink_pk, type, ts, data)``; a position goes along.
 

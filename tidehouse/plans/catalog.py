@@ -389,6 +389,32 @@ def route_detail_substring(spark, folder):
     return _routed(spark, folder, "substring")
 
 
+#: First change of a rule and milliseconds between changes of the query below: 1995-01-01, 90 days.
+_FIRST_CHANGE, _CHANGE_STEP = 788_918_400_000, 7_776_000_000
+
+
+@query(f"""WITH {CHANGES_SQL},
+       changes AS (SELECT n_regionkey, n_nationkey, {_FIRST_CHANGE} + (n_nationkey // 2 * 7 % 25) * {_CHANGE_STEP}::BIGINT AS at,
+                          n_nationkey % 5 = 4 AS gone FROM nation),
+       judged AS (
+       SELECT o.ts, o.id, c.* FROM order_info o JOIN changes c ON c.at <= CAST(o.ts AS BIGINT)
+       QUALIFY row_number() OVER (PARTITION BY o.id ORDER BY c.at DESC, c.n_nationkey DESC) = 1)
+       SELECT 'dwd_' || n_nationkey AS sink_table, ts, CASE WHEN n_nationkey % 2 = 0 THEN id END AS id FROM judged WHERE NOT gone""")
+def route_detail_as_of(spark, folder):
+    """One rule that changes, and is removed and made again, between the events; two changes fall on one instant."""
+    key = F.col("n_nationkey")
+    rule = F.struct(F.lit("order_info").alias("source_table"), F.lit("insert").alias("source_type"),
+                    F.concat(F.lit("dwd_"), key.cast("string")).alias("sink_table"),
+                    F.when(key % 2 == 0, "id,session_id").otherwise("session_id").alias("sink_columns"))
+    gone = key % 5 == 4
+    at = F.lit(_FIRST_CHANGE) + (F.floor(key / 2).cast("bigint") * 7 % 25) * _CHANGE_STEP
+    changes = stored(spark, folder, "nation").select(
+        F.when(gone, "d").otherwise("u").alias("op"), F.when(gone, rule).alias("before"), F.when(~gone, rule).alias("after"),
+        at.alias("ts_ms"), key.alias("pos"))
+    routed = cdc.route_detail_as_of(topics.change_log(spark, folder), config.rule_versions(changes, ["ts_ms", "pos"]))
+    return routed.select("sink_table", "ts", F.col("data")["id"].alias("id"))
+
+
 _DIM_RULES = [
     {"source_table": "user_info", "sink_table": "dim_user_info", "sink_columns": "id,name,nation,segment",
      "sink_pk": "id", "sink_extend": None},

@@ -8,14 +8,18 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tidehouse import sized
+
 #: Partitions to deal a table out to, for files of one row group that no more than one core can read; set by the benchmark.
 SPREAD: int | None = None
+#: Tables of fewer bytes are not dealt out.
+SMALL_BYTES = 1 << 20
 
 
 def stored(spark: SparkSession, folder: str, name: str) -> DataFrame:
     df = spark.read.parquet(f"{folder}/{name}.parquet")
-    # The first column of every table is an id.
-    return df.repartition(SPREAD, df.columns[0]) if SPREAD else df
+    # The first column of every table is an id. Small tables are not worth a shuffle.
+    return df.repartition(SPREAD, df.columns[0]) if SPREAD and sized.estimated_bytes(df) > SMALL_BYTES else df
 
 
 def stored_stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
