@@ -43,12 +43,12 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     near = near_copies.near_copies(docs)
-    return docs.join(near.where("not kept").select("doc_id"), "doc_id", "left_anti").select(docs.columns)
+    return docs.join(near.where("not kept").select("doc_id"), "doc_id", "left_anti").select(*map(arrow.column, docs.columns))
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = decontaminate.benchmark_matches(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return docs.join(found.where("contaminated").select("doc_id"), "doc_id", "left_anti").select(docs.columns)
+    return docs.join(found.where("contaminated").select("doc_id"), "doc_id", "left_anti").select(*map(arrow.column, docs.columns))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -16,6 +16,11 @@ def text_column(name: str = "text"):
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
+def column(name: str):
+    """A column by its exact name, whatever characters it has."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def raw(column: pa.Array) -> list[bytes]:
     """A text column as UTF-8 bytes."""
     return column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()).to_pylist()

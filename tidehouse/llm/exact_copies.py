@@ -26,8 +26,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidehouse.llm import arrow
 
-#: Label bytes of a trie before subtrees are written to disk.
+#: Bytes of a trie, labels and nodes, before subtrees are written to disk.
 TRIE_BYTES = 64 << 20
+#: What a node takes beside its label: itself, its dictionary, its value and its edge.
+NODE_BYTES = 300
 #: Text bytes whose copies are merged before the shuffle.
 BLOCK_BYTES = 16 << 20
 
@@ -89,7 +91,7 @@ class PatriciaTrie:
                 leaf = _Node()
                 leaf.value = new
                 node.children[text[at]] = (text[at:], leaf)
-                self._bytes += len(text) - at
+                self._bytes += len(text) - at + NODE_BYTES
                 if self._bytes > self._budget and self._folder:
                     self._spill()
                 return
@@ -102,6 +104,7 @@ class PatriciaTrie:
             middle = _Node()
             middle.children[label[shared]] = (label[shared:], child)
             node.children[text[at]] = (label[:shared], middle)
+            self._bytes += NODE_BYTES
             at += shared
             node = middle
 
@@ -149,7 +152,7 @@ class PatriciaTrie:
                 stack = [child]
                 while stack:
                     for own, below in stack.pop().children.values():
-                        freed += len(own)
+                        freed += len(own) + NODE_BYTES
                         stack.append(below)
             child.value, child.children, child.spilled = None, {}, path
             self._bytes -= freed
@@ -226,7 +229,7 @@ def _resolved(docs: DataFrame, keep: str, **limits: int) -> DataFrame:
     text = arrow.text_column()
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.octet_length(text).cast("long").alias("n_bytes"),
                       F.sha2(text.cast("binary"), 256).alias("text_sha256"),
-                      *(F.col(c).alias(f"_c{i}") for i, c in enumerate(docs.columns)))
+                      *(arrow.column(c).alias(f"_c{i}") for i, c in enumerate(docs.columns)))
     joined = own.join(owners(docs, keep, **limits), ["n_bytes", "text_sha256"])
     return joined.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("keep_id")))
 

@@ -229,7 +229,7 @@ def languages_of(docs: DataFrame, model: ByteNetwork | None, carry: list[str]) -
     """The ``carry`` columns of every document with ``lang_pred`` and ``score``. One narrow stage."""
     named = [f"_c{i}" for i in range(len(carry))]
     text = arrow.text_column()
-    rows = docs.select(*(F.col(c).alias(n) for c, n in zip(carry, named, strict=True)), text.alias("_text"),
+    rows = docs.select(*(arrow.column(c).alias(n) for c, n in zip(carry, named, strict=True)), text.alias("_text"),
                        text.rlike(r"\p{L}").alias("_lettered"))
     kept = T.StructType([*(rows.schema[n] for n in named), T.StructField("lang_pred", T.StringType()),
                          T.StructField("score", T.DoubleType())])

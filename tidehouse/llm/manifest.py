@@ -26,6 +26,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidehouse import session
+from tidehouse.llm import arrow
 
 #: Children of a node, and digits grouped away per block: 512 nodes.
 FAN, DIGITS = 8, 3
@@ -150,7 +151,7 @@ def manifest(rows: DataFrame, group: str = "group", order: str = "id", node: str
     """
     payload = ["_id", *(f"_c{i}" for i in range(len(carry)))]
     own = rows.select(F.col(group).alias("_g"), F.col(node).alias("_node"), F.col(order).alias("_id"),
-                      *(F.col(c).alias(f"_c{i}") for i, c in enumerate(carry)))
+                      *(arrow.column(c).alias(f"_c{i}") for i, c in enumerate(carry)))
     trees = _climbed(_ranked(own, F.col("_id").asc_nulls_first(), F.col("_node")), payload)
     subroots = trees[-1].select(F.lit(0).alias("_g"), F.col("_g").alias("_name"), F.col("_node"))
     forest = _climbed(_ranked(subroots, F.col("_name").asc_nulls_first()), ["_name"])
