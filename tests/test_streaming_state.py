@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import streams
-from tidehouse.operators import logs, traffic, user, window_sums
+from tidehouse.functions import timefns
+from tidehouse.operators import learn, logs, traffic, user, window_sums
 
 DAY = 86_400_000
 BASE = 1_700_000_000_000
@@ -78,3 +79,34 @@ def test_late_rows_are_dropped(spark, tmp_path):
     got = streams.run(sums, str(tmp_path / "out"), str(tmp_path / "cp"))
     assert sorted((r.stt, r.pageViewCount) for r in got.collect()) == [
         ("2023-11-14 22:13:20", 1), ("2023-11-14 22:15:20", 2)]
+
+
+def test_play_sessions_over_several_files(spark, tmp_path):
+    """Sessions cross files; the position of the latest row counts though an earlier row arrives after it."""
+    rng, src, made = random.Random(5), str(tmp_path / "src"), []
+    for n in range(200):
+        ts = BASE + n * 900 + rng.randrange(900)
+        video = {"play_sec": rng.randrange(20), "video_id": f"v{n}", "position_sec": rng.randrange(1000)}
+        made.append((ts + rng.randrange(4_000), streams.log_row("m", ts, uid="u", sid=f"s{rng.randrange(3)}", appVideo=video)))
+    ordered = [row for _, row in sorted(made, key=lambda pair: pair[0])]
+    flush = streams.log_row("flush", streams.FAR, uid="u", sid="flush", appVideo={"play_sec": 1, "video_id": "v", "position_sec": 1})
+    streams.write_files(src, [ordered[at:at + 30] for at in range(0, 200, 30)] + [[flush]])
+    plays = timefns.with_event_time(logs.flatten_play(streams.read_stream(spark, src)), delay="10 seconds")
+    got = streams.run(learn.play_sessions(plays), str(tmp_path / "out"), str(tmp_path / "cp"))
+    want = learn.play_sessions(logs.flatten_play(streams.read_batch(spark, src)))
+    rows = sorted(map(tuple, want.where("sessionId <> 'flush'").collect()))
+    assert sorted(map(tuple, got.where("sessionId <> 'flush'").collect())) == rows and len(rows) > 3
+
+
+def test_bounces_keep_state_of_several_files(spark, tmp_path):
+    """Rows of one slot in several files, rows at the very ends of slots, and ties, out of order within the delay."""
+    rng, src, made = random.Random(2), str(tmp_path / "src"), []
+    for n in range(150):
+        ts = BASE + n * 1_500 + rng.choice([0, 0, 1, 499, 500])
+        made.append((ts + rng.randrange(8_000), streams.log_row(f"m{rng.randrange(2)}", ts, last=rng.choice([None, "home"]))))
+    ordered = [row for _, row in sorted(made, key=lambda pair: pair[0])]
+    streams.write_files(src, [ordered[at:at + 7] for at in range(0, 150, 7)] + [[streams.log_row("flush", streams.FAR, last="x")]])
+    got = streams.run(traffic.user_jumps(streams.read_stream(spark, src, "15 seconds"), "3 seconds"),
+                      str(tmp_path / "out"), str(tmp_path / "cp"))
+    want = traffic.user_jumps(streams.read_batch(spark, src), "3 seconds")
+    assert keys(got) == keys(want) and len(keys(want)) > 10

@@ -295,7 +295,7 @@ def register_wide(spark, folder):
 
 # ================================================================ play sessions
 
-@query(f"""WITH {PAGE_LOG_SQL}, plays AS (
+_PLAYS = f"""WITH {PAGE_LOG_SQL}, plays AS (
        SELECT * REPLACE (CASE WHEN event_type <> 'error' THEN k END AS k) FROM page_log),
        marked AS (
        SELECT *, CASE WHEN ts - lag(ts) OVER w <= 7200000 THEN 0 ELSE 1 END AS opens FROM plays
@@ -307,15 +307,20 @@ def register_wide(spark, folder):
               arg_min(vc, (ts, event_id)) AS "versionCode", 'brand' AS brand, sid AS "sessionId",
               CAST(sum(k) AS BIGINT) AS "playSec", arg_max(during_time, (ts, event_id)) AS "positionSec",
               nullif(arg_min(coalesce('v' || k, 'none'), (ts, event_id)), 'none') AS "videoId", min(ts) AS ts
-       FROM numbered GROUP BY sid, n""")
-def play_sessions(spark, folder):
-    pages = topics.page_log(spark, folder)
-    plays = logs.flatten_play(pages.select(
+       FROM numbered GROUP BY sid, n"""
+
+
+def _plays(pages: DataFrame) -> DataFrame:
+    return logs.flatten_play(pages.select(
         F.col("common").withField("uid", F.col("common.mid")).alias("common"), "ts", "event_id",
         F.struct(F.col("page.item").cast("int").alias("play_sec"),
                  F.concat(F.lit("v"), "page.item").alias("video_id"),
                  F.col("page.during_time").alias("position_sec")).alias("appVideo")), "event_id")
-    return learn.play_sessions(plays, "2 hours", ["event_id"], span=6)
+
+
+@query(_PLAYS)
+def play_sessions(spark, folder):
+    return learn.play_sessions(_plays(topics.page_log(spark, folder)), "2 hours", ["event_id"], span=6)
 
 
 # ================================================================ change events
@@ -793,6 +798,12 @@ def stream_user_jumps(spark, folder):
     return _streamed(_view(traffic.user_jumps(pages, "6 hours", ["event_id"])))
 
 
+@query(f"{_PLAYS} HAVING max(ts) + 7200000 <= (SELECT max(ts) FROM page_log) - 5000")
+def stream_play_sessions(spark, folder):
+    plays = timefns.with_event_time(_plays(topics.page_stream(spark, folder)), delay="5 seconds")
+    return _streamed(learn.play_sessions(plays, "2 hours", ["event_id"]))
+
+
 @query(f"SELECT * FROM ({_LOGINS}) WHERE ts + 15000 < (SELECT max(epoch_us(ts) // 1000) FROM events)")
 def stream_first_login(spark, folder):
     pages = timefns.with_event_time(topics.page_stream(spark, folder), delay="5 seconds")

@@ -13,6 +13,7 @@ import sys
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor
@@ -212,43 +213,64 @@ def first_login(logins: DataFrame, key: str, hold: str, wait: str, tie: Sequence
 
 # ---------------------------------------------------------------- bounces
 
+#: A row that waits for what follows it.
+_OPEN = pa.schema([("t", pa.int64()), ("pos", pa.int64()), ("start", pa.bool_()), ("body", pa.string())])
+
+
 class UserJumps(StatefulProcessor):
-    """State: rows whose next ``limit`` of time has not passed yet; the text is kept for session starts only."""
+    """State: rows whose next ``limit`` of time has not passed yet, as one Arrow table for every slot of ``limit``; the
+    text is kept for session starts only. A row can depend on its own slot and the next one alone, so a timer reads what
+    is due and one slot more, sorts it, and lays each row beside the one after it.
+    """
 
     def __init__(self, limit_ms: int) -> None:
         self.limit_ms = limit_ms
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.open = handle.getListState("open", "t LONG, pos LONG, start BOOLEAN, body STRING")
+        self.slots = handle.getMapState("slots", "slot LONG", "earliest LONG, rows BINARY")
+
+    def _read(self, slot: int) -> pd.DataFrame:
+        return pa.ipc.open_stream(self.slots.getValue((slot,))[1]).read_pandas()
+
+    def _write(self, slot: int, rows: pd.DataFrame) -> None:
+        table = pa.Table.from_pandas(rows, _OPEN, preserve_index=False)
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, table.schema) as out:
+            out.write_table(table)
+        self.slots.updateValue((slot,), (int(rows["t"].min()), sink.getvalue().to_pybytes()))
 
     def handleInputRows(self, key, rows, timerValues):
-        earliest = None
-        for pdf in rows:
-            self.open.appendList(list(zip(
-                (int(t) for t in pdf["t"]), (int(p) for p in pdf["pos"]), (bool(s) for s in pdf["start"]),
-                pdf["body"].where(pdf["start"].astype(bool), None))))
-            low = int(pdf["t"].min())
-            earliest = low if earliest is None else min(earliest, low)
-        self.handle.registerTimer(earliest + self.limit_ms)
+        batch = pd.concat([pdf[_OPEN.names] for pdf in rows], ignore_index=True)
+        batch["body"] = batch["body"].where(batch["start"].astype(bool), None)
+        for slot, own in batch.groupby(batch["t"] // self.limit_ms):
+            slot = int(slot)
+            self._write(slot, pd.concat([self._read(slot), own]) if self.slots.containsKey((slot,)) else own)
+        self.handle.registerTimer(int(batch["t"].min()) + self.limit_ms)
         yield _bodies([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        passed = max(timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs())
-        rows = sorted(self.open.get(), key=lambda row: (row[0], row[1])) if self.open.exists() else []
-        done = sum(1 for row in rows if row[0] + self.limit_ms <= passed)
+        due = max(timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs()) - self.limit_ms
+        last = due // self.limit_ms
+        earliest = {slot: t for (slot,), (t, _) in self.slots.iterator()}
+        seen = [slot for slot in earliest if slot <= last + 1]
         out = []
-        for at in range(done):
-            t, _, start, body = rows[at]
-            following = rows[at + 1] if at + 1 < len(rows) else None
-            if start and (following is None or following[0] - t >= self.limit_ms or following[2]):
-                out.append(body)
-        if done == len(rows):
-            self.open.clear()
-        elif done:
-            self.open.put(rows[done:])
-        if done < len(rows):
-            self.handle.registerTimer(rows[done][0] + self.limit_ms)
+        if any(slot <= last for slot in seen):
+            rows = pd.concat([self._read(slot) for slot in seen]).sort_values(["t", "pos"], kind="stable")
+            gap = rows["t"].diff().shift(-1)
+            follows_start = rows["start"].shift(-1, fill_value=True)
+            alone = gap.isna() | (gap >= self.limit_ms) | follows_start
+            out = rows["body"][rows["start"] & alone & (rows["t"] <= due)]
+            rest = rows[(rows["t"] > due) & (rows["t"] // self.limit_ms == last)]
+            for slot in seen:
+                if slot < last or (slot == last and not len(rest)):
+                    self.slots.removeKey((slot,))
+                    del earliest[slot]
+            if len(rest):
+                self._write(last, rest)
+                earliest[last] = int(rest["t"].min())
+        if earliest:
+            self.handle.registerTimer(min(earliest.values()) + self.limit_ms)
         yield _bodies(out)
 
     def close(self) -> None:
