@@ -166,14 +166,17 @@ def test_trie_spills_by_subtree(tmp_path):
     assert not list(tmp_path.iterdir())
 
 
-def test_url_rules(spark):
+@pytest.mark.parametrize("level_bytes", [url_filters.LEVEL_BYTES, 2])
+def test_url_rules(spark, level_bytes):
     rules = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("com", "/de/", "block"), ("com", "/de/ok", "allow"),
              ("net", "", "block")]
     urls = [None, "", "no url", "://", "http://EXAMPLE.org/es/1?x#y", "http://a.example.org/es", "https://x.com/de/a", "https://x.com/de/ok/1",
             "https://notcom/de/", "ftp://net", "ftp://a.net?q", "http://badexample.org/es/", "x://org", "x://org/?a://b"]
     hosts = [f"http://h{i}.{end}/{p}/{i}" for i in range(200) for end in ("com", "org", "edu") for p in ("de", "es", "q")]
     pages = spark.createDataFrame(list(enumerate(urls + hosts)), "page_id long, url string")
-    got = url_filters.url_verdicts(pages, spark.createDataFrame(rules, "host string, path string, verdict string")).collect()
+    got = url_filters.url_verdicts(pages, spark.createDataFrame(rules, "host string, path string, verdict string"),
+                                   level_bytes).collect()
+    assert len(got) == pages.count()
     for r in got:
         url = (urls + hosts)[r.page_id] or ""
         rest = url.split("://", 1)[1] if "://" in url else ""

@@ -9,10 +9,14 @@ first level that rejects it is an even one. No URL is joined with the list. A se
 alone tells the allowed from the blocked.
 
 Level 1 is so large that about as many unlisted keys pass as there are listed ones, so all levels together take some
-``log2(keys of the corpus)`` bits a rule. They reach the tasks as literals of at most ``LEVEL_BYTES``.
+``log2(keys of the corpus)`` bits a rule. They reach the tasks as literals, each once in the expression. A list whose first
+level would take more than ``LEVEL_BYTES`` is cut by a hash of the key into parts, each with cascades of its own. The parts
+are asked one after the other, and what is found is written in between, so that driver and tasks hold one part at a time.
 
 Defined results: a null URL and one without ``://`` have an empty host and path; a URL that no rule fits is allowed, as
-the list names what is to be blocked; of rules with one key a blocking one counts; other columns are left out.
+the list names what is to be blocked; of rules with one key a blocking one counts; of fitting keys of one length the one
+with the greater text wins; an empty list allows everything; repeated pages are judged row by row; other columns are left
+out.
 """
 
 from __future__ import annotations
@@ -23,8 +27,10 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-#: Largest filter of one level; a longer list must be cut into several cascades.
-LEVEL_BYTES = 64 << 20
+from tidehouse import session
+
+#: About the largest filter of one level; a longer list is cut into parts.
+LEVEL_BYTES = 8 << 20
 HASHES = 4
 MAX_LEVELS = 40
 
@@ -73,12 +79,13 @@ def _places(key: Column, level: int, bits: int) -> list[Column]:
 
 def _passes(key: Column, level: int, bits: int, words: list[int]) -> Column:
     vector = F.from_json(F.lit(json.dumps(words)), "array<bigint>")  # folded into one literal
-    tests = [F.get(vector, F.shiftright(place, 6).cast("int")).bitwiseAND(_bit(place)) != 0
-             for place in _places(key, level, bits)]
-    result = tests[0]
-    for test in tests[1:]:
-        result = result & test
-    return result
+    seeds = F.array(*[F.lit(level * HASHES + i) for i in range(HASHES)])
+
+    def is_set(seed: Column) -> Column:
+        place = F.pmod(F.xxhash64(key, seed), F.lit(bits))
+        return F.get(vector, F.shiftright(place, 6).cast("int")).bitwiseAND(_bit(place)) != 0
+
+    return F.forall(seeds, is_set)
 
 
 def _bit(place: Column) -> Column:
@@ -87,8 +94,6 @@ def _bit(place: Column) -> Column:
 
 def _filter(keys: DataFrame, level: int, bits: int) -> tuple[int, list[int]]:
     """A filter of the keys in column ``key``: as many numbers reach the driver as the filter has words."""
-    if bits > LEVEL_BYTES * 8:
-        raise ValueError("the list is too long for one cascade; cut it")
     places = keys.select(F.explode(F.array(*_places(F.col("key"), level, bits))).alias("place"))
     words = [0] * (-(-bits // 64))
     for row in places.groupBy(F.shiftright("place", 6).alias("at")).agg(F.bit_or(_bit(F.col("place"))).alias("word")).collect():
@@ -96,13 +101,22 @@ def _filter(keys: DataFrame, level: int, bits: int) -> tuple[int, list[int]]:
     return bits, words
 
 
+def _first_rate(listed: int, universe: int) -> float:
+    """The share of unlisted keys that level 1 may let through."""
+    return 1 / max(2.0, math.sqrt(2) * max(universe, 1) / max(listed, 1))
+
+
+def _bits_a_key(rate: float) -> float:
+    return -HASHES / math.log(1 - rate ** (1 / HASHES))
+
+
 def build_cascade(listed: DataFrame, universe: Callable[[], DataFrame], universe_size: int) -> Cascade:
     """A cascade that is exact for all keys of ``universe()``; both have one column ``key``.
 
     ``universe`` may hold repeated keys and listed ones. It is read once for every even level.
     """
     n = max(1, listed.count())
-    wrong = max(2.0, math.sqrt(2) * max(universe_size, 1) / n)
+    rate = _first_rate(n, universe_size)
     levels: list[tuple[int, list[int]]] = []
     sides = (listed, universe().join(listed, "key", "left_anti"))
     size = n
@@ -114,9 +128,7 @@ def build_cascade(listed: DataFrame, universe: Callable[[], DataFrame], universe
             size = own.distinct().count()
             if not size:
                 return Cascade(levels)
-        rate = 1 / wrong if level == 1 else 0.5
-        per_key = -HASHES / math.log(1 - rate ** (1 / HASHES))  # bits a key for that rate with so many hashes
-        levels.append(_filter(own, level, max(64, math.ceil(size * per_key))))
+        levels.append(_filter(own, level, max(64, math.ceil(size * _bits_a_key(rate if level == 1 else 0.5)))))
     raise RuntimeError("the cascade did not end")
 
 
@@ -125,26 +137,48 @@ def rule_keys(rules: DataFrame) -> DataFrame:
     return rules.groupBy(F.concat("host", "path").alias("key")).agg(F.max(F.col("verdict") == "block").alias("blocked"))
 
 
-def url_verdicts(pages: DataFrame, rules: DataFrame) -> DataFrame:
+def _part(key: Column, parts: int) -> Column:
+    return F.pmod(F.xxhash64(key, F.lit(-1)), F.lit(parts))
+
+
+def _best_of_part(keys: DataFrame, universe: DataFrame, part: int, parts: int, n_keys: int, n_universe: int) -> Column:
+    """``n, key, blocked`` of the longest key in ``keys`` that is listed in a part of the list; null if none is."""
+    def own(df: DataFrame) -> DataFrame:
+        return df.where(_part(F.col("key"), parts) == part) if parts > 1 else df
+
+    listed = own(keys).select("key")
+    members = build_cascade(listed, lambda: own(universe), n_universe // parts)
+    blocking = build_cascade(own(keys).where("blocked").select("key"), lambda: listed, n_keys // parts)
+
+    def holds(key: Column) -> Column:
+        return (_part(key, parts) == part) & members.holds(key) if parts > 1 else members.holds(key)
+
+    fitting = F.transform(F.filter("keys", holds), lambda k: F.struct(F.char_length(k).alias("n"), k.alias("key")))
+    longest = F.slice(F.sort_array(fitting, asc=False), 1, 1)
+    return F.get(F.transform(longest, lambda k: F.struct(k["n"].alias("n"), k["key"].alias("key"),
+                                                         blocking.holds(k["key"]).alias("blocked"))), 0)
+
+
+def url_verdicts(pages: DataFrame, rules: DataFrame, level_bytes: int = LEVEL_BYTES) -> DataFrame:
     """``page_id, host, path, rule, verdict`` of every page."""
     lengths = [r[0] for r in rules.select(F.char_length("path").alias("n")).distinct().orderBy("n").collect()]
     host, path = host_and_path(F.col("url"))
     parsed = pages.select(F.col("page_id").cast("long").alias("page_id"), host.alias("host"), path.alias("path"))
     if not lengths:
         return parsed.select("*", F.lit(None).cast("string").alias("rule"), F.lit("allow").alias("verdict"))
-    keyed = parsed.withColumn("keys", candidate_keys(F.col("host"), F.col("path"), lengths))
+    candidates = candidate_keys(F.col("host"), F.col("path"), lengths)
+    universe = parsed.select(F.explode(candidates).alias("key"))
     keys = rule_keys(rules)
-    listed = keys.select("key")
-
-    def universe() -> DataFrame:
-        return keyed.select(F.explode("keys").alias("key"))
-
-    count = universe().agg(F.approx_count_distinct("key")).first()[0]
-    members = build_cascade(listed, universe, count)
-    blocked = keys.where("blocked").select("key")
-    blocking = build_cascade(blocked, lambda: listed, keys.count())
-    fitting = F.filter("keys", members.holds)
-    longest = F.array_max(F.transform(fitting, lambda k: F.struct(F.char_length(k).alias("n"), k.alias("key"))))["key"]
-    judged = keyed.withColumn("rule", longest)
-    verdict = F.when(F.col("rule").isNotNull() & blocking.holds(F.col("rule")), F.lit("block")).otherwise(F.lit("allow"))
-    return judged.select("page_id", "host", "path", "rule", verdict.alias("verdict"))
+    n_keys, n_universe = keys.count(), universe.agg(F.approx_count_distinct("key")).first()[0]
+    parts = max(1, math.ceil(n_keys * _bits_a_key(_first_rate(n_keys, n_universe)) / (level_bytes * 8)))
+    judged = parsed.withColumn("best", F.lit(None).cast("struct<n:int,key:string,blocked:boolean>"))
+    for part in range(parts):
+        found = judged.select("page_id", "host", "path", "best", candidates.alias("keys"))
+        judged = found.select("page_id", "host", "path", F.greatest("best", _best_of_part(keys, universe, part, parts, n_keys,
+                                                                                         n_universe)).alias("best"))
+        if parts > 1:
+            folder = session.shared_dir(pages.sparkSession, "url-part")
+            judged.write.parquet(folder)
+            judged = pages.sparkSession.read.schema(judged.schema).parquet(folder)
+    verdict = F.when(F.coalesce("best.blocked", F.lit(False)), F.lit("block")).otherwise(F.lit("allow"))
+    return judged.select("page_id", "host", "path", F.col("best.key").alias("rule"), verdict.alias("verdict"))
