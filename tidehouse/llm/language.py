@@ -1,16 +1,19 @@
 """Language identification with a bidirectional gated recurrent network over bytes.
 
-The network reads windows: the words of a text (ASCII letters lower-cased), long ones cut after 32 bytes. At every byte it
-gives probabilities of the languages; a document's are the mean over all its positions. State starts afresh in each
-window, so what a window contributes depends on its bytes alone and is computed once per worker for recurring words.
-Whole texts are read.
+The network reads stretches of a text, white space included (ASCII letters lower-cased): ``SPAN`` bytes each, overlapping
+by twice ``CONTEXT``, so that every byte is read with at least ``CONTEXT`` bytes of its text on both sides, where there are
+so many. At every byte it gives probabilities of the languages; a document's are the mean over all its positions. Whole
+texts are read, every byte counts once, and stretches of one length go through the network together.
 
 Training is numpy backpropagation through time on a bounded sample of labelled rows: at most ``DOCS`` documents of a
-language, chosen by a hash of their identifier, and of their distinct windows at most ``WINDOWS`` with their counts. The
-sample reaches the driver; nothing else does. The model is a few kilobytes.
+language, chosen by a hash of their identifier, and of the distinct windows of ``LEARNED`` bytes that they are cut into
+at most ``WINDOWS`` with their counts. The sample reaches the driver; nothing else does. The model is a few kilobytes.
 
 Defined results: a text that is null or has no letter is ``und`` with score 0, and so is every text if there is nothing
-to learn from; equal texts get equal results; rows without an identifier are predicted but not learned from.
+to learn from (an empty table, or no labels); of languages with equal probabilities the first by name counts; equal texts
+get equal results, up to rounding (scores are rounded to six digits); rows without an identifier are predicted but not
+learned from, repeated rows are each predicted; a text of any length is read in stretches; columns that are not asked
+for are left out.
 """
 
 from __future__ import annotations
@@ -19,17 +22,22 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from tidehouse import sized
 from tidehouse.llm import arrow
 
 #: Labelled documents and distinct windows of a language that are learned from, at most.
 DOCS, WINDOWS = 400, 20_000
-#: Bytes of a window.
-SPAN = 32
+#: Bytes of a window to learn from, and of a stretch to predict from; bytes of either side that only give context.
+LEARNED, SPAN, CONTEXT = 64, 256, 16
+#: Shorter texts and windows are filled up with blanks to a multiple of this; the blanks do not count.
+FILL = 32
+#: Chosen documents of all languages that are broadcast, at most; more are joined by a shuffle.
+CHOSEN_ROWS = 100_000
 UNKNOWN = "und"
-EMBED, HIDDEN = 12, 20
-STEPS, BATCH, RATE = 1200, 256, 0.01
-#: Distinct words a worker remembers; a word takes about 200 bytes.
-REMEMBERED = 400_000
+EMBED, HIDDEN = 12, 8
+STEPS, BATCH, RATE = 400, 256, 0.02
+#: Stretches that go through the network together.
+TOGETHER = 512
 
 
 class ByteNetwork:
@@ -67,24 +75,61 @@ class ByteNetwork:
             states[t] = state
         return states
 
-    def probabilities(self, ids: np.ndarray) -> np.ndarray:
-        """(T, B, languages) for windows of one length, ``ids`` (T, B)."""
-        both = np.concatenate([self._run("f", ids), self._run("b", ids[::-1])[::-1]], axis=2)
-        score = both @ self.p["out"] + self.p["out_b"]
-        score -= score.max(2, keepdims=True)
+    def _read(self, way: str, ids: np.ndarray) -> np.ndarray:
+        """The same states without a tape, (T, hidden, B): features come first, so that all steps run in place."""
+        h, p = self.hidden, self.p
+        table = np.ascontiguousarray((p["embed"] @ p[f"w{way}"] + p[f"c{way}"]).T)
+        u, d = np.ascontiguousarray(p[f"u{way}"].T), p[f"d{way}"][:, None]
+        steps, width = ids.shape
+        states = np.empty((steps, h, width), table.dtype)
+        state = np.zeros((h, width), table.dtype)
+        x, r = np.empty((3 * h, width), table.dtype), np.empty((3 * h, width), table.dtype)
+        gates, fresh = r[:2 * h], r[2 * h:]
+        for t in range(steps):
+            np.take(table, ids[t], axis=1, out=x, mode="clip")
+            np.matmul(u, state, out=r)
+            gates += x[:2 * h]
+            np.negative(gates, out=gates)
+            np.exp(gates, out=gates)
+            gates += 1
+            np.reciprocal(gates, out=gates)
+            fresh += d
+            fresh *= gates[h:]
+            fresh += x[2 * h:]
+            np.tanh(fresh, out=fresh)
+            np.subtract(state, fresh, out=states[t])
+            states[t] *= gates[:h]
+            states[t] += fresh
+            state = states[t]
+        return states
+
+    def _labels(self, ids: np.ndarray) -> np.ndarray:
+        """(T, languages, B) for stretches of one length, ``ids`` (T, B)."""
+        h, out = self.hidden, np.ascontiguousarray(self.p["out"].T)
+        score = np.matmul(out[:, :h], self._read("f", ids))
+        score += np.matmul(out[:, h:], self._read("b", ids[::-1])[::-1])
+        score += self.p["out_b"][:, None]
+        score -= score.max(1, keepdims=True)
         np.exp(score, out=score)
-        return score / score.sum(2, keepdims=True)
+        score /= score.sum(1, keepdims=True)
+        return score
+
+    def probabilities(self, ids: np.ndarray) -> np.ndarray:
+        """(T, B, languages) for stretches of one length, ``ids`` (T, B)."""
+        return self._labels(ids).transpose(0, 2, 1)
 
     def gradients(self, ids: np.ndarray, labels: np.ndarray) -> dict[str, np.ndarray]:
-        """Gradients of the mean cross-entropy over all positions, by backpropagation through time."""
+        """Gradients of the mean cross-entropy over all positions, by backpropagation through time. ``labels`` are (B) or
+        (T, B)."""
         h, p = self.hidden, self.p
         tapes: dict[str, list] = {"f": [], "b": []}
+        one_hot = np.eye(256, dtype=p["embed"].dtype)
         both = np.concatenate([self._run("f", ids, tapes["f"]), self._run("b", ids[::-1], tapes["b"])[::-1]], axis=2)
         score = both @ p["out"] + p["out_b"]
         score -= score.max(2, keepdims=True)
         error = np.exp(score)
         error /= error.sum(2, keepdims=True)
-        error[:, np.arange(len(labels)), labels] -= 1
+        error[np.arange(len(ids))[:, None], np.arange(ids.shape[1]), labels] -= 1
         error /= error.shape[0] * error.shape[1]
         grads = {k: np.zeros_like(v) for k, v in p.items()}
         grads["out"] = np.einsum("tbh,tbl->hl", both, error)
@@ -92,7 +137,7 @@ class ByteNetwork:
         back = error @ p["out"].T
         for way, part, order in (("f", back[:, :, :h], ids), ("b", back[::-1, :, h:], ids[::-1])):
             u, carried = p[f"u{way}"], np.zeros((ids.shape[1], h), np.float32)
-            on_table = np.zeros((256, 3 * h), np.float32)
+            on_table = np.zeros((256, 3 * h), u.dtype)
             for t in range(len(order) - 1, -1, -1):
                 state, keep, reset, inner, fresh = tapes[way][t]
                 g = part[t] + carried
@@ -102,7 +147,7 @@ class ByteNetwork:
                 g_inner = g_fresh * reset
                 to_x = np.concatenate([g_keep, g_reset, g_fresh], axis=1)
                 to_r = np.concatenate([g_keep, g_reset, g_inner], axis=1)
-                np.add.at(on_table, order[t], to_x)
+                on_table += one_hot[order[t]].T @ to_x
                 grads[f"u{way}"] += state.T @ to_r
                 grads[f"d{way}"] += g_inner.sum(0)
                 carried = g * keep + to_r @ u.T
@@ -113,7 +158,8 @@ class ByteNetwork:
 
     def fit(self, windows: list[bytes], labels: np.ndarray, counts: np.ndarray, steps: int = STEPS, batch: int = BATCH,
             rate: float = RATE, seed: int = 11) -> ByteNetwork:
-        """Adam over batches of equally long windows, drawn by how often they occur."""
+        """Adam over batches of equally long windows, drawn by how often they occur. A run of each window is taken from
+        another one, with its labels, so that the network learns to label positions and not to carry a first guess on."""
         rng = np.random.default_rng(seed)
         lengths = np.array([len(w) for w in windows])
         groups = []
@@ -126,30 +172,47 @@ class ByteNetwork:
         second = {k: np.zeros_like(v) for k, v in self.p.items()}
         for step in range(1, steps + 1):
             ids, own, weight, _ = groups[rng.choice(len(groups), p=share / share.sum())]
-            pick = rng.choice(len(own), batch, p=weight)
+            pick, other = rng.choice(len(own), (2, batch), p=weight)
+            first_of, at = rng.integers(0, ids.shape[1], batch), np.arange(ids.shape[1])[:, None]
+            foreign = (at >= first_of) & (at < first_of + rng.integers(0, ids.shape[1] // 2 + 1, batch))
+            mixed = np.where(foreign, ids[other].T, ids[pick].T).astype(np.intp)
             speed = rate * min(1.0, 2 * (1 - (step - 1) / steps))
-            for k, g in self.gradients(ids[pick].T.astype(np.intp), own[pick]).items():
+            for k, g in self.gradients(mixed, np.where(foreign, own[other], own[pick])).items():
                 np.clip(g, -1, 1, out=g)
                 first[k] += 0.1 * (g - first[k])
                 second[k] += 0.01 * (g * g - second[k])
                 self.p[k] -= speed * (first[k] / (1 - 0.9 ** step)) / (np.sqrt(second[k] / (1 - 0.99 ** step)) + 1e-8)
         return self
 
-    def sums(self, words: list[bytes], batch: int = 4096) -> np.ndarray:
-        """For each word, the sum of the probabilities over all its positions."""
-        out = np.zeros((len(words), len(self.languages)), np.float32)
-        by_length: dict[int, tuple[list[int], list[bytes]]] = {}
-        for i, word in enumerate(words):
-            for at in range(0, len(word), SPAN):
-                window = word[at:at + SPAN]
-                own = by_length.setdefault(len(window), ([], []))
-                own[0].append(i)
-                own[1].append(window)
-        for n, (owners, windows) in by_length.items():
-            for at in range(0, len(windows), batch):
-                ids = np.frombuffer(b"".join(windows[at:at + batch]), np.uint8).reshape(-1, n).T.astype(np.intp)
-                np.add.at(out, owners[at:at + batch], self.probabilities(ids).sum(0))
-        return out
+    def means(self, texts: list[bytes]) -> np.ndarray:
+        """For each text, none of them empty, the mean of the probabilities over all its bytes."""
+        lengths = np.array([len(t) for t in texts])
+        data = np.frombuffer(b"".join(_filled(t, SPAN) for t in texts), np.uint8)
+        room = np.where(lengths < SPAN, -(-lengths // FILL) * FILL, lengths)
+        begins = np.cumsum(room) - room
+        # Stretches start every STRIDE bytes; the last one ends with the text.
+        stride = SPAN - 2 * CONTEXT
+        number = np.maximum(1, -(-(lengths - 2 * CONTEXT) // stride))
+        owner = np.repeat(np.arange(len(texts)), number)
+        turn = np.arange(len(owner)) - np.repeat(np.cumsum(number) - number, number)
+        is_last = turn == number[owner] - 1
+        start = np.where(is_last, np.maximum(0, lengths[owner] - SPAN), turn * stride)
+        # What a stretch counts begins where the one before it stopped.
+        low = np.where(turn > 0, turn * stride + CONTEXT, 0) - start
+        high = np.where(is_last, lengths[owner] - start, SPAN - CONTEXT)
+        size = np.minimum(room[owner], SPAN)
+        sums = np.zeros((len(texts), len(self.languages)))
+        for n in np.unique(size):
+            own, at = np.flatnonzero(size == n), np.arange(n)[:, None]
+            for some in np.split(own, range(TOGETHER, len(own), TOGETHER)):
+                labels = self._labels(data[begins[owner[some]] + start[some] + at].astype(np.intp))
+                labels *= ((at >= low[some]) & (at < high[some]))[:, None, :]
+                np.add.at(sums, owner[some], labels.sum(0).T)
+        return sums / lengths[:, None]
+
+
+def _filled(text: bytes, span: int) -> bytes:
+    return text if len(text) >= span else text + b" " * (-len(text) % FILL)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -161,7 +224,9 @@ def _windows(batches):
     out = pa.schema([("lang", pa.string()), ("window", pa.binary())])
     for part in arrow.slices(batches, "text", 1 << 20):
         for lang, text in zip(part.column("lang").to_pylist(), arrow.raw(part.column("text")), strict=True):
-            own = [w[i:i + SPAN] for w in text.lower().split() for i in range(0, len(w), SPAN)]
+            text = text.lower()
+            own = [_filled(text[i:i + LEARNED], LEARNED) for i in range(0, len(text), LEARNED)]
+            own = [w for w in own if not w.isspace()]
             yield arrow.batch(out, [lang] * len(own), own)
 
 
@@ -172,7 +237,7 @@ def train(docs: DataFrame, max_docs: int = DOCS, max_windows: int = WINDOWS, **o
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     chosen = ids.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= max_docs)
     texts = learned.select("doc_id", F.col("lang").cast("string").alias("lang"), arrow.text_column().alias("text")).join(
-        chosen.select("doc_id"), "doc_id", "left_semi").select("lang", "text")
+        sized.small_side(chosen.select("doc_id"), probe_rows=CHOSEN_ROWS), "doc_id", "left_semi").select("lang", "text")
     counted = texts.mapInArrow(_windows, "lang string, window binary").groupBy("lang", "window").count()
     order = Window.partitionBy("lang").orderBy(F.xxhash64("window"), "window")
     bounded = counted.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= max_windows)
@@ -187,39 +252,17 @@ def train(docs: DataFrame, max_docs: int = DOCS, max_windows: int = WINDOWS, **o
     return ByteNetwork(languages).fit([r[1] for r in rows], labels, counts, **options)
 
 
-class _Words(dict):
-    """Numbers of words, in the order of their first appearance."""
-
-    def __init__(self):
-        super().__init__()
-        self.new: list[bytes] = []
-
-    def __missing__(self, word: bytes) -> int:
-        self[word] = number = len(self)
-        self.new.append(word)
-        return number
-
-
 def _label(model: ByteNetwork | None, schema: pa.Schema, carried: list[str]):
     def work(batches):
-        words, table = _Words(), np.zeros((0, len(model.languages) if model else 1), np.float32)
         for part in arrow.slices(batches, "_text"):
             n = part.num_rows
             best, score = np.full(n, UNKNOWN, object), np.zeros(n)
-            lettered = part.column("_lettered").to_numpy(zero_copy_only=False)
-            if model:
-                if len(words) > REMEMBERED:
-                    words, table = _Words(), table[:0]
-                numbers, counts = [], []
-                for text, wanted in zip(arrow.raw(part.column("_text")), lettered, strict=True):
-                    own = text.lower().split() if wanted else []
-                    numbers.append(np.fromiter(map(words.__getitem__, own), np.int64, len(own)))
-                    counts.append(sum(map(len, own)))
-                table = np.concatenate([table, model.sums(words.new)])
-                words.new = []
-                for i in np.flatnonzero(lettered):
-                    mean = table[numbers[i]].sum(0, dtype=np.float64) / counts[i]
-                    best[i], score[i] = model.languages[int(mean.argmax())], min(1.0, float(mean.max()))
+            lettered = np.flatnonzero(part.column("_lettered").to_numpy(zero_copy_only=False))
+            if model and len(lettered):
+                texts = arrow.raw(part.column("_text").take(pa.array(lettered)))
+                means = model.means([text.lower() for text in texts])
+                best[lettered] = np.array(model.languages, object)[means.argmax(1)]
+                score[lettered] = np.minimum(1.0, means.max(1)).round(6)
             yield arrow.batch(schema, *(part.column(c) for c in carried), best.tolist(), score)
 
     return work
