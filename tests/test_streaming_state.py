@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 import streams
 from tidehouse.functions import timefns
 from tidehouse.operators import learn, logs, traffic, user, window_sums
+from tidehouse.streaming import stateful
 
 DAY = 86_400_000
 BASE = 1_700_000_000_000
@@ -110,3 +111,23 @@ def test_bounces_keep_state_of_several_files(spark, tmp_path):
                       str(tmp_path / "out"), str(tmp_path / "cp"))
     want = traffic.user_jumps(streams.read_batch(spark, src), "3 seconds")
     assert keys(got) == keys(want) and len(keys(want)) > 10
+
+
+def test_bounces_take_state_by_lanes_not_devices(spark, tmp_path, monkeypatch):
+    """Many devices, and rows without one, in few lanes: right rows, with state entries by lane and slot of time."""
+    monkeypatch.setattr(stateful, "JUMP_LANES", 4, raising=False)
+    monkeypatch.setattr(stateful, "JUMP_ROWS", 50, raising=False)
+    rng, src = random.Random(3), str(tmp_path / "src")
+    rows = [streams.log_row(rng.choice([None, *(f"m{d}" for d in range(120))]), BASE + rng.randrange(40_000),
+                            last=rng.choice([None, "home"])) for _ in range(600)]
+    streams.write_files(src, [rows, [streams.log_row("flush", streams.FAR, last="x")]])
+    df = traffic.user_jumps(streams.read_stream(spark, src, "0 seconds"))
+    query = df.writeStream.format("memory").queryName("bounces_by_lane").option("checkpointLocation", str(tmp_path / "cp")) \
+        .trigger(availableNow=True).start()
+    query.awaitTermination(240)
+    assert query.exception() is None
+    want = traffic.user_jumps(streams.read_batch(spark, src))
+    found = sorted((r.mid or "", r.ts) for r in spark.table("bounces_by_lane").select("common.mid", "ts").collect())
+    assert found == sorted((r.mid or "", r.ts) for r in want.select("common.mid", "ts").collect()) and len(found) > 50
+    written = [state["numRowsUpdated"] for p in query.recentProgress for state in p["stateOperators"]]
+    assert max(written) < 4 * 6 * 4  # lanes, slots with their tables and timers; there are 120 devices

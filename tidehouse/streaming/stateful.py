@@ -12,6 +12,7 @@ from __future__ import annotations
 import sys
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -213,14 +214,21 @@ def first_login(logins: DataFrame, key: str, hold: str, wait: str, tie: Sequence
 
 # ---------------------------------------------------------------- bounces
 
+#: Groups that devices are dealt to; a stream's checkpoint holds to it.
+JUMP_LANES = 512
+#: Rows of a lane that are written, or read and sorted, at once.
+JUMP_ROWS = 100_000
 #: A row that waits for what follows it.
-_OPEN = pa.schema([("t", pa.int64()), ("pos", pa.int64()), ("start", pa.bool_()), ("body", pa.string())])
+_OPEN = pa.schema([("mid", pa.string()), ("t", pa.int64()), ("pos", pa.int64()), ("start", pa.bool_()), ("body", pa.string())])
 
 
 class UserJumps(StatefulProcessor):
-    """State: rows whose next ``limit`` of time has not passed yet, as one Arrow table for every slot of ``limit``; the
-    text is kept for session starts only. A row can depend on its own slot and the next one alone, so a timer reads what
-    is due and one slot more, sorts it, and lays each row beside the one after it.
+    """State: rows whose next ``limit`` of time has not passed yet, as Arrow tables for every slot of ``limit``; the text
+    is kept for session starts only. A row can depend on its own slot and the next one alone, so a timer reads what is
+    due and one slot more, sorts it, and lays each row beside the one after it.
+
+    A group is a lane of many devices, so that calls, timers and state entries grow with lanes and slots rather than with
+    devices. What a call or a timer holds is bounded by ``JUMP_ROWS`` and the rows of two slots.
     """
 
     def __init__(self, limit_ms: int) -> None:
@@ -228,50 +236,97 @@ class UserJumps(StatefulProcessor):
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.slots = handle.getMapState("slots", "slot LONG", "earliest LONG, rows BINARY")
-
-    def _read(self, slot: int) -> pd.DataFrame:
-        return pa.ipc.open_stream(self.slots.getValue((slot,))[1]).read_pandas()
-
-    def _write(self, slot: int, rows: pd.DataFrame) -> None:
-        table = pa.Table.from_pandas(rows, _OPEN, preserve_index=False)
+        # Of every open slot: its number, its earliest time, and the numbers of its tables from the first to before the end.
+        self.index = handle.getValueState("index", "slots BINARY")
+        self.tables = handle.getMapState("tables", "slot LONG, part LONG", "rows BINARY")
+
+    def _slots(self) -> dict[int, list[int]]:
+        if not self.index.exists():
+            return {}
+        return {slot: rest for slot, *rest in np.frombuffer(self.index.get()[0], np.int64).reshape(-1, 4).tolist()}
+
+    def _keep(self, slots: dict[int, list[int]]) -> None:
+        if slots:
+            self.index.update((np.array([(slot, *rest) for slot, rest in sorted(slots.items())], np.int64).tobytes(),))
+        else:
+            self.index.clear()
+
+    def _read(self, slots: dict[int, list[int]], slot: int) -> list[pa.Table]:
+        _, begin, end = slots[slot]
+        return [pa.ipc.open_stream(self.tables.getValue((slot, part))[0]).read_all() for part in range(begin, end)]
+
+    def _write(self, slots: dict[int, list[int]], slot: int, rows: pa.Table, earliest: int) -> None:
+        known = slots.setdefault(slot, [earliest, 0, 0])
         sink = pa.BufferOutputStream()
-        with pa.ipc.new_stream(sink, table.schema) as out:
-            out.write_table(table)
-        self.slots.updateValue((slot,), (int(rows["t"].min()), sink.getvalue().to_pybytes()))
+        with pa.ipc.new_stream(sink, _OPEN) as out:
+            out.write_table(rows)
+        self.tables.updateValue((slot, known[2]), (sink.getvalue().to_pybytes(),))
+        known[0], known[2] = min(known[0], earliest), known[2] + 1
+
+    def _remove(self, slots: dict[int, list[int]], slot: int) -> None:
+        _, begin, end = slots.pop(slot)
+        for part in range(begin, end):
+            self.tables.removeKey((slot, part))
+
+    def _add(self, slots: dict[int, list[int]], held: list[pd.DataFrame]) -> None:
+        rows = pd.concat(held, ignore_index=True)
+        rows = rows.iloc[np.argsort((rows["t"] // self.limit_ms).to_numpy(), kind="stable")]
+        table = pa.Table.from_pandas(rows, _OPEN, preserve_index=False)
+        times = rows["t"].to_numpy()
+        slot = times // self.limit_ms
+        starts = np.flatnonzero(np.insert(slot[1:] != slot[:-1], 0, True))
+        for begin, end in zip(starts, [*starts[1:], len(slot)], strict=True):
+            self._write(slots, int(slot[begin]), table.slice(begin, end - begin), int(times[begin:end].min()))
 
     def handleInputRows(self, key, rows, timerValues):
-        batch = pd.concat([pdf[_OPEN.names] for pdf in rows], ignore_index=True)
-        batch["body"] = batch["body"].where(batch["start"].astype(bool), None)
-        for slot, own in batch.groupby(batch["t"] // self.limit_ms):
-            slot = int(slot)
-            self._write(slot, pd.concat([self._read(slot), own]) if self.slots.containsKey((slot,)) else own)
-        self.handle.registerTimer(int(batch["t"].min()) + self.limit_ms)
+        slots = self._slots()
+        first = min((rest[0] for rest in slots.values()), default=None)
+        held, n = [], 0
+        for pdf in rows:
+            held.append(pdf[_OPEN.names])
+            n += len(pdf)
+            if n >= JUMP_ROWS:
+                self._add(slots, held)
+                held, n = [], 0
+        if held:
+            self._add(slots, held)
+        self._keep(slots)
+        now = min(rest[0] for rest in slots.values())
+        if first is None or now < first:  # there is one timer for the earliest row at all times
+            self.handle.registerTimer(now + self.limit_ms)
         yield _bodies([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        due = max(timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs()) - self.limit_ms
-        last = due // self.limit_ms
-        earliest = {slot: t for (slot,), (t, _) in self.slots.iterator()}
-        seen = [slot for slot in earliest if slot <= last + 1]
-        out = []
-        if any(slot <= last for slot in seen):
-            rows = pd.concat([self._read(slot) for slot in seen]).sort_values(["t", "pos"], kind="stable")
-            gap = rows["t"].diff().shift(-1)
-            follows_start = rows["start"].shift(-1, fill_value=True)
-            alone = gap.isna() | (gap >= self.limit_ms) | follows_start
-            out = rows["body"][rows["start"] & alone & (rows["t"] <= due)]
-            rest = rows[(rows["t"] > due) & (rows["t"] // self.limit_ms == last)]
-            for slot in seen:
-                if slot < last or (slot == last and not len(rest)):
-                    self.slots.removeKey((slot,))
-                    del earliest[slot]
+        # A timer expires when the watermark is beyond it: rows before ``due`` are settled.
+        due = max(timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs() + 1) - self.limit_ms
+        slots = self._slots()
+        closing = sorted(slot for slot, rest in slots.items() if rest[0] < due)
+        at = 0
+        while at < len(closing):
+            begin, tables, n = at, [], 0
+            while at < len(closing) and (at == begin or n < JUMP_ROWS):
+                tables += (own := self._read(slots, closing[at]))
+                n += sum(table.num_rows for table in own)
+                at += 1
+            last = closing[at - 1]
+            if last + 1 in slots:
+                tables += self._read(slots, last + 1)
+            rows = pa.concat_tables(tables).to_pandas()
+            rows["device"] = pd.factorize(rows["mid"])[0]  # rows without a device are one device
+            rows = rows.sort_values(["device", "t", "pos"], kind="stable")
+            device, times, start = (rows[name].to_numpy() for name in ("device", "t", "start"))
+            alone = np.ones(len(rows), bool)
+            alone[:-1] = (device[1:] != device[:-1]) | (np.diff(times) >= self.limit_ms) | start[1:]
+            yield _bodies(rows["body"][start & alone & (times < min(due, (last + 1) * self.limit_ms))])
+            rest = rows[(times >= due) & (times // self.limit_ms == last)]
+            for slot in closing[begin:at]:
+                self._remove(slots, slot)
             if len(rest):
-                self._write(last, rest)
-                earliest[last] = int(rest["t"].min())
-        if earliest:
-            self.handle.registerTimer(min(earliest.values()) + self.limit_ms)
-        yield _bodies(out)
+                self._write(slots, last, pa.Table.from_pandas(rest, _OPEN, preserve_index=False), int(rest["t"].min()))
+        self._keep(slots)
+        if slots:
+            self.handle.registerTimer(min(rest[0] for rest in slots.values()) + self.limit_ms)
+        yield _bodies([])
 
     def close(self) -> None:
         pass
@@ -280,6 +335,9 @@ class UserJumps(StatefulProcessor):
 def user_jumps(df: DataFrame, limit: str, tie: Sequence[str] = ()) -> DataFrame:
     _need_event_time(df)
     start = F.col("page.last_page_id").isNull().alias("start")
-    out = _pack(df, F.col("common.mid"), start, _pos(tie)).groupBy("k").transformWithStateInPandas(
+    timed = df.where(F.col("ts").isNotNull())  # a row without a time follows nothing and is not waited for
+    packed = _pack(timed, F.pmod(F.xxhash64("common.mid"), F.lit(JUMP_LANES)), F.col("common.mid").cast("string").alias("mid"),
+                   start, _pos(tie)).withColumn("body", F.when(F.col("start"), F.col("body")))
+    out = packed.groupBy("k").transformWithStateInPandas(
         UserJumps(timefns.duration_ms(limit)), "body STRING", "Append", "EventTime")
     return _unpack(out, df)
