@@ -50,3 +50,19 @@ def test_slices(monkeypatch):
     assert plain(out) == plain(rows) and all(v < u for u, v in out)
     u, v = components.local_stars(np.array([3, 5, 5]), np.array([1, 3, 4]))
     assert dict(zip(u.tolist(), v.tolist(), strict=True)) == {3: 1, 4: 1, 5: 1}
+
+
+def test_rounds_and_one_slice(spark, monkeypatch):
+    """Edges beyond a slice are settled in rounds; what fits one slice takes no shuffle by node and no round."""
+    tables = []
+    least = components._least
+    monkeypatch.setattr(components, "_least", lambda edges: tables.append(edges) or least(edges))
+    for name, edges in graphs():
+        table = spark.createDataFrame(edges, "u long, v long").repartition(7)
+        for size, rounds in ((20, len(edges) > 100), (1_000_000, False)):
+            monkeypatch.setattr(components, "SLICE", size)
+            tables.clear()
+            rows = components.components(table).collect()
+            assert {r.id: r.component for r in rows} == plain(edges), (name, size)
+            assert len(rows) == len({r.id for r in rows}), (name, size)
+            assert bool(tables) == rounds, (name, size)

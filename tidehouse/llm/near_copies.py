@@ -55,9 +55,9 @@ _A = (_rng.integers(0, 1 << 32, PERMUTATIONS, dtype=np.uint32) | np.uint32(1))
 _B = _rng.integers(0, 1 << 32, PERMUTATIONS, dtype=np.uint32)
 del _rng
 
-_SIGNATURE = ("doc_id long, n_shingles long, set_a long, set_b long, bands binary, sketch_a long, sketch_b long, "
+_SIGNATURE = ("doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, sketch_a long, sketch_b long, "
               "signature binary")
-_SIGNATURE_ARROW = pa.schema([(n, pa.binary() if n in ("bands", "signature") else pa.int64()) for n in
+_SIGNATURE_ARROW = pa.schema([(n, {"bands": pa.list_(pa.int64()), "signature": pa.binary()}.get(n, pa.int64())) for n in
                               ("doc_id", "n_shingles", "set_a", "set_b", "bands", "sketch_a", "sketch_b", "signature")])
 _FOUND = "u long, v long, bits int, bucket long, node long, n_shingles long, sketch_a long, sketch_b long"
 _FOUND_ARROW = pa.schema([(n, pa.int32() if n == "bits" else pa.int64()) for n in
@@ -110,7 +110,7 @@ def _signatures(batches):
                 key = xxhash.xxh3_128_digest(own.tobytes())
                 a, b = np.frombuffer(key, "<i8").tolist()
                 least, greatest = signature(own)
-                row = (doc_id, len(own), a, b, bands(least, greatest).tobytes(), *sketch(least, greatest),
+                row = (doc_id, len(own), a, b, bands(least, greatest).view(np.int64), *sketch(least, greatest),
                        np.concatenate([least, greatest]).astype(np.uint8).tobytes())
             else:
                 row = (doc_id, 0, None, None, None, None, None, None)
@@ -119,15 +119,6 @@ def _signatures(batches):
         yield arrow.batch(_SIGNATURE_ARROW, *columns)
 
 
-def _exploded(batches):
-    out = pa.schema([(n, pa.int64()) for n in ("bucket", "node", "n_shingles", "sketch_a", "sketch_b")])
-    for part in batches:
-        if part.num_rows:
-            buckets = np.frombuffer(b"".join(part.column("bands").to_pylist()), "<i8")
-            rest = (np.repeat(part.column(n).to_numpy(), BANDS) for n in ("node", "n_shingles", "sketch_a", "sketch_b"))
-            yield arrow.batch(out, buckets, *rest)
-
-
 def _whole_buckets(batches):
     """Column arrays of batches cut so that no bucket is torn; buckets of one node are left out."""
     names = ("bucket", "node", "n_shingles", "sketch_a", "sketch_b")
@@ -357,7 +348,7 @@ class _Links:
             return
         self.tested = new if self.tested is None else self.tested.unionByName(new)
         ends = self._texts
-        met = new.join(ends.select(F.col("doc_id").alias("v"), F.col("text").alias("text_v")), "v") \
+        met = sized.small_side(new).join(ends.select(F.col("doc_id").alias("v"), F.col("text").alias("text_v")), "v") \
             .join(ends.select(F.col("doc_id").alias("u"), F.col("text").alias("text_u")), "u")
         self.add(met.select("u", "v", "text_u", "text_v").mapInArrow(_confirm, "u long, v long"))
 
@@ -401,7 +392,7 @@ def near_copies(docs: DataFrame) -> DataFrame:
     first = sized.splittable(nodes.select(F.col("node").alias("doc_id"), "set_a", "set_b"), "doc_id", "set_a", "set_b")
     rows = known.join(first, ["doc_id", "set_a", "set_b"], "left_semi").select(
         F.col("doc_id").alias("node"), "n_shingles", "bands", "sketch_a", "sketch_b")
-    exploded = rows.mapInArrow(_exploded, "bucket long, node long, n_shingles long, sketch_a long, sketch_b long")
+    exploded = rows.select(F.explode("bands").alias("bucket"), "node", "n_shingles", "sketch_a", "sketch_b")
     dealt = exploded.repartition("bucket").sortWithinPartitions("bucket", "node")
     found = stored(dealt.mapInArrow(_pairs_of_buckets, _FOUND), "candidates", _FOUND)
     pairs = stored(found.where("u is not null").groupBy("u", "v").agg(F.min("bits").alias("bits")), "pairs",
