@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import collections
 import random
+import types
 import zlib
 
+import ahocorasick
 import brute
 import numpy as np
 import pyarrow as pa
@@ -285,3 +287,34 @@ def test_elias_fano(values):
     coded = token_files.EliasFano.encode(np.array(values, np.uint64))
     assert coded.select(np.arange(len(values))).tolist() == values
     assert coded.n_bytes <= len(values) * (3 + max(values).bit_length()) / 8 + 200
+
+
+def test_phrases_beside_all_places():
+    """The automaton finds every phrase where it stands, also across overlaps, and never across texts or other words."""
+    rng = np.random.default_rng(8)
+    for words in (3, 60):
+        lengths = rng.integers(0, 60, 80)
+        every, row = rng.integers(0, words, int(lengths.sum())), np.repeat(np.arange(80), lengths)
+        whole = np.flatnonzero(np.append(row[passages.PHRASE - 1:] == row[:1 - passages.PHRASE], np.zeros(passages.PHRASE - 1, bool)))
+        phrases = every[rng.choice(whole, 25)[:, None] + np.arange(passages.PHRASE)]
+        want = np.zeros(len(every), bool)
+        known = set(map(tuple, phrases.tolist()))
+        for at in whole:
+            want[at] = tuple(every[at:at + passages.PHRASE].tolist()) in known
+        assert (passages._occurrences(every, row, phrases, words) == want).all() and want.sum() >= 20
+
+
+def test_branches_of_an_automaton_stay_few(monkeypatch):
+    """A node's branches are searched one after another: there must not be one for each of many words."""
+    made = []
+    monkeypatch.setattr(passages, "ahocorasick", types.SimpleNamespace(
+        Automaton=lambda *kind: made.append(ahocorasick.Automaton(*kind)) or made[-1],
+        STORE_INTS=ahocorasick.STORE_INTS, KEY_SEQUENCE=ahocorasick.KEY_SEQUENCE))
+    text = " ".join(f"w{n}" for n in range(3_000))
+    places = list(range(0, 3_000 - passages.PHRASE, 2))
+    table = pa.table({"doc": [1, 2], "text_key": [1, 2], "text": [text, text], "places": pa.array([places] * 2, pa.list_(pa.int32()))})
+    out = pa.Table.from_batches(list(passages._locate(table.to_batches())))
+    # All windows but the last anchor at a place that is named; of each, the later one is a span.
+    assert set(out.column("doc").to_pylist()) == {1, 2} and sum(out.column("windows").to_pylist()) > 1_000
+    branches = collections.Counter(node for node, *_ in made[0].dump()[1])
+    assert len(made) == 1 and max(branches.values()) <= 60

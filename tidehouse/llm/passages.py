@@ -135,6 +135,45 @@ def _runs(row: np.ndarray, place: np.ndarray) -> np.ndarray:
         np.zeros(0, np.int64)
 
 
+def _spelling(codes: int) -> np.ndarray:
+    """Three letters for every code below ``codes``, of an alphabet for each place: no code begins inside another."""
+    base = max(2, int(np.ceil(np.cbrt(codes))))
+    code = np.arange(codes)
+    return np.stack([code // base ** 2, code // base % base + base, code % base + 2 * base], axis=1).astype("<u2") + np.uint16(1)
+
+
+def _occurrences(every: np.ndarray, row: np.ndarray, phrases: np.ndarray, words: int) -> np.ndarray:
+    """Whether a phrase begins at a place of ``every``: word numbers (below ``words``) of texts, which ``row`` tells apart.
+
+    The automaton searches a node's branches one after another, and its root has one for every word that a phrase begins
+    with. Words are therefore spelled by three letters each: no node has more branches than the cube root of the words.
+    Only stretches of words that are in phrases are streamed; all else breaks every phrase.
+    """
+    used = np.zeros(words, bool)
+    used[phrases] = True
+    codes = np.where(used, np.cumsum(used), 0).astype(np.int32)  # 0 stands between stretches
+    spelling = _spelling(int(used.sum()) + 1)
+    automaton, size = ahocorasick.Automaton(ahocorasick.STORE_INTS), 3 * PHRASE
+    spelled = spelling[codes[phrases]].tobytes().decode("utf-16-le")
+    for begin in range(0, len(spelled), size):
+        automaton.add_word(spelled[begin:begin + size], 1)
+    automaton.make_automaton()
+    known = used[every]
+    begins = np.flatnonzero(np.insert((known[1:] != known[:-1]) | (row[1:] != row[:-1]), 0, True))
+    lengths = np.diff(np.append(begins, len(every)))
+    chosen = known[begins] & (lengths >= PHRASE)
+    begins, lengths = begins[chosen], lengths[chosen]
+    stretch = np.repeat(np.arange(len(begins), dtype=np.int32), lengths)
+    source = np.arange(len(stretch), dtype=np.int32) + (begins - (np.cumsum(lengths) - lengths)).astype(np.int32)[stretch]
+    spot = np.arange(len(stretch), dtype=np.int32) + stretch  # one place is left between stretches
+    stream, place = (np.zeros(len(stretch) + len(begins), np.int32) for _ in range(2))
+    stream[spot], place[spot] = codes[every[source]], source
+    ends = np.fromiter(map(_END, automaton.iter(spelling[stream].tobytes().decode("utf-16-le"))), np.int64)
+    located = np.zeros(len(every), bool)
+    located[place[(ends + 1) // 3 - PHRASE]] = True
+    return located
+
+
 def _locate(batches):
     """``doc, text_key, text, places`` to the windows at recurring phrases, by an automaton a shard.
 
@@ -147,21 +186,14 @@ def _locate(batches):
         texts = [list(map(numbers.__getitem__, text.split())) for text in arrow.raw(part.column("text"))]
         counts = np.fromiter(map(len, texts), np.int64, len(texts))
         every = np.fromiter(itertools.chain.from_iterable(texts), np.int64, int(counts.sum()))
+        del texts
         windows = Windows(hashes.of(list(numbers))[every], counts)
         places = part.column("places")
         at = places.flatten().to_numpy() + np.repeat(np.cumsum(counts) - counts, pc.list_value_length(places).to_numpy())
         if not len(at):
             continue
-        automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
-        for phrase in every[np.unique(at[np.unique(windows.phrases[at], return_index=True)[1]])[:, None] + np.arange(PHRASE)].tolist():
-            automaton.add_word(tuple(phrase), 1)
-        automaton.make_automaton()
-        located, begin = np.zeros(len(every), bool), 0
-        for text in texts:
-            if len(text) >= WINDOW:
-                ends = np.fromiter(map(_END, automaton.iter(tuple(text))), np.int64)
-                located[begin + ends - PHRASE + 1] = True
-            begin += len(text)
+        phrases = every[np.unique(at[np.unique(windows.phrases[at], return_index=True)[1]])[:, None] + np.arange(PHRASE)]
+        located = _occurrences(every, windows.row, phrases, len(numbers))
         is_there = located[windows.anchor]
         starts = windows.starts[is_there]
         if not len(starts):
